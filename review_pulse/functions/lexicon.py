@@ -193,4 +193,4 @@ def lemmatize(
     stops = CLEANED_STOP_WORDS if stop_words is None else stop_words
     words = F.filter(F.split(cleaned, " "), lambda w: ~w.isin(*stops) & (w != ""))
     joined = F.array_join(F.transform(words, lambda w: lemma(w, irregular)), " ")
-    return F.when(joined == "", cleaned).otherwise(joined)
+    return F.coalesce(F.nullif(joined, F.lit("")), cleaned)  # nullif evaluates ``joined`` once

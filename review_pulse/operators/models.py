@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from review_pulse.functions.labels import valid_labels
+from review_pulse.functions.labels import CLASS_CODES, valid_labels
 from review_pulse.operators import features, metrics, sampling
 from review_pulse.sources.tables import fill_missing_text
 
@@ -28,12 +28,16 @@ LOGISTIC_PARAMS = {"maxIter": 20, "regParam": 0.1, "elasticNetParam": 0.5}
 
 FAMILIES = ("svm", "logistic", "forest")
 
+# Training rows that justify one more task per optimiser pass.
+ROWS_PER_TASK = 20_000
+
 
 def _classifier(family: str, overrides: dict):
     columns = {"featuresCol": "features", "labelCol": "indexed_label"}
     if family == "svm":
         base = LinearSVC(**columns, **{**SVM_PARAMS, **overrides})
-        return OneVsRest(classifier=base, **columns)
+        # The binary models are independent, so their jobs run side by side.
+        return OneVsRest(classifier=base, parallelism=len(CLASS_CODES), **columns)
     if family == "logistic":
         return LogisticRegression(**columns, weightCol="weight", **{**LOGISTIC_PARAMS, **overrides})
     if family == "forest":
@@ -79,26 +83,53 @@ def training_splits(reviews: DataFrame, row_id: str = "review_id", order: str =
     return train.unionByName(held_out)
 
 
+def sized(rows: DataFrame) -> DataFrame:
+    """Cached rows in no more partitions than their number justifies.
+
+    An optimiser runs hundreds of short jobs, where near-empty tasks cost more than they save.
+    Large inputs keep their partitions, and with them the cached blocks.
+    """
+    wanted = max(1, -(-rows.count() // ROWS_PER_TASK))
+    return rows.coalesce(wanted) if wanted < rows.rdd.getNumPartitions() else rows
+
+
+def _encode(train: DataFrame, front: list) -> tuple[PipelineModel, DataFrame]:
+    """Fit the feature stages on cached text, and cache what the classifier reads."""
+    text = train.persist(StorageLevel.MEMORY_AND_DISK)
+    encoder = Pipeline(stages=front).fit(text)
+    columns = [c for c in ("features", "indexed_label", "weight") if c != "weight" or "weight" in train.columns]
+    encoded = encoder.transform(text).select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
+    encoded.count()
+    text.unpersist()
+    return encoder, encoded
+
+
+def _training_columns(train: DataFrame, family: str) -> DataFrame:
+    if family == "logistic":
+        return sampling.with_weights(train).select("lemmatized_text", "label", "weight")
+    return train.select("lemmatized_text", "label")
+
+
 def fit(train: DataFrame, family: str = "svm", **overrides) -> PipelineModel:
     """Fit all stages and add one that turns the class index back into the class code.
 
-    The input is cached for the passes of IDF, indexer and optimiser; a lost block is recomputed
-    from its lineage.
+    What is cached between passes is recomputed from its lineage should an executor be lost.
     """
-    columns = ["lemmatized_text", "label"]
-    if family == "logistic":
-        train = sampling.with_weights(train)
-        columns.append("weight")
-    cached = train.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
+    *front, classifier = stages(family, **overrides)
+    encoder, encoded = _encode(_training_columns(train, family), front)
     try:
-        fitted = Pipeline(stages=stages(family, **overrides)).fit(cached)
+        fitted = classifier.fit(sized(encoded))
     finally:
-        cached.unpersist()
-    indexer = next(s for s in fitted.stages if isinstance(s, StringIndexerModel))
+        encoded.unpersist()
+    return _assembled(encoder, fitted)
+
+
+def _assembled(encoder: PipelineModel, classifier) -> PipelineModel:
+    indexer = next(s for s in encoder.stages if isinstance(s, StringIndexerModel))
     # Reviews to be scored carry a dummy label that the training rows may lack.
     indexer.setHandleInvalid("keep")
     back = IndexToString(inputCol="prediction", outputCol="predicted_class", labels=indexer.labels)
-    return PipelineModel(stages=[*fitted.stages, back])
+    return PipelineModel(stages=[*encoder.stages, classifier, back])
 
 
 def score(model: PipelineModel, reviews: DataFrame) -> DataFrame:
@@ -137,23 +168,24 @@ def grid_search(train: DataFrame, family: str = "logistic", reg_params=(0.01, 0.
     """Cross-validated choice of the regularisation; features are fitted once, outside the folds."""
     if family != "logistic":
         raise ValueError("the grid is defined for the logistic model")
-    weighted = sampling.with_weights(train).select("lemmatized_text", "label", "weight")
     *front, classifier = stages(family)
-    encoder = Pipeline(stages=front).fit(weighted)
-    encoded = encoder.transform(weighted).select("features", "indexed_label", "weight")
-    cached = encoded.persist(StorageLevel.MEMORY_AND_DISK)
+    encoder, encoded = _encode(_training_columns(train, family), front)
+    grid = ParamGridBuilder().addGrid(classifier.regParam, list(reg_params)).build()
     try:
         search = CrossValidator(
             estimator=classifier,
-            estimatorParamMaps=ParamGridBuilder().addGrid(classifier.regParam, list(reg_params)).build(),
+            estimatorParamMaps=grid,
             evaluator=MulticlassClassificationEvaluator(labelCol="indexed_label", metricName="f1"),
             numFolds=folds,
             seed=sampling.SPLIT_SEED,
+            parallelism=len(grid),
         )
-        found = search.fit(cached)
+        found = search.fit(sized(encoded))
     finally:
-        cached.unpersist()
-    return PipelineModel(stages=[*encoder.stages, found.bestModel]), list(zip(reg_params, found.avgMetrics))
+        encoded.unpersist()
+    return _assembled(encoder, found.bestModel), [
+        (reg, float(f1)) for reg, f1 in zip(reg_params, found.avgMetrics)
+    ]
 
 
 def save(model: PipelineModel, path: str) -> None:

@@ -98,7 +98,7 @@ def latest_prediction(spark, sf_dir):
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return views.documents(spark, sf_dir).select("doc_id", "text")
 
 
 @query
@@ -149,8 +149,9 @@ def text_snippets(spark, sf_dir):
 
 @query
 def lexicon_lemmas(spark, sf_dir):
-    cleaned = text.with_placeholder(text.clean_batch(F.col("text")))
-    return _documents(spark, sf_dir).select("doc_id", lexicon.lemmatize(cleaned).alias("lemmatized_text"))
+    cleaned = text.with_placeholder(text.clean_batch(F.col("text"))).alias("cleaned_text")
+    rows = _documents(spark, sf_dir).select("doc_id", cleaned)
+    return rows.select("doc_id", lexicon.lemmatize(F.col("cleaned_text")).alias("lemmatized_text"))
 
 
 # --- labels and profile ----------------------------------------------------------------------
@@ -396,7 +397,7 @@ def model_metrics(spark, sf_dir):
 def grid_search(spark, sf_dir):
     rows = models.training_splits(views.curated(spark, sf_dir))
     _, scores = models.grid_search(rows.where(F.col("split") == "train"), folds=2)
-    return spark.createDataFrame([(r, float(s)) for r, s in scores], "reg_param double, f1 double")
+    return spark.createDataFrame(scores, "reg_param double, f1 double")
 
 
 # --- messages, files -------------------------------------------------------------------------

@@ -8,12 +8,17 @@ from pyspark.sql import functions as F
 from review_pulse.functions.labels import NEUTRAL, rating_label
 from review_pulse.plans.jobs import curate
 from review_pulse.sources import messages
+from review_pulse.sources.tables import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"))
+
+
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a rated review without text."""
     stars = 5 - F.least(F.lit(4), F.floor(F.col("value") / 25))
@@ -31,10 +36,10 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rated reviews that have a document as their text."""
-    documents = table(spark, sf_dir, "documents").select(
+    texts = documents(spark, sf_dir).select(
         F.col("doc_id").alias("event_id"), F.col("text").alias("review_text"), "lang", "source"
     )
-    return ratings(spark, sf_dir).join(documents, "event_id").withColumn(
+    return ratings(spark, sf_dir).join(texts, "event_id").withColumn(
         "review_time", F.date_format("ts", "yyyy-MM-dd")
     )
 

@@ -63,3 +63,13 @@ def read_predictions(spark: SparkSession, path: str) -> DataFrame:
 def line_count(spark: SparkSession, path: str) -> DataFrame:
     """Number of lines below a path, as a one-row table."""
     return spark.read.text(path).agg(F.count("*").alias("lines"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of a small table before expensive row work.
+
+    A table read in fewer pieces than there are cores is redistributed; anything larger is
+    returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
