@@ -44,6 +44,7 @@ def build_parser() -> argparse.ArgumentParser:
     score.add_argument("checkpoint")
     score.add_argument("--model")
     score.add_argument("--quarantine")
+    score.add_argument("--lemmatize", action="store_true", help="normalise texts as in training")
     score.add_argument("--format", default="text")
     score.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
     score.add_argument("--available-now", action="store_true", help="process what is there, then stop")
@@ -73,9 +74,10 @@ def main(argv: list[str] | None = None) -> None:
         query = jobs.run_score(
             spark, args.models_base, args.target, args.marts, args.checkpoint,
             source_format=args.format, model_name=args.model, quarantine=args.quarantine,
+            lemmatize=args.lemmatize,
             trigger={"availableNow": True} if args.available_now else None, **_options(args.option),
         )
-        scoring.await_all(spark, [query])
+        scoring.await_all([query])
     else:
         predictions = tables.read_predictions(spark, args.predictions)
         panels = jobs.dashboard(predictions, days_back=args.days, limit=args.limit, asin=args.asin)

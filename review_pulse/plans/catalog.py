@@ -465,7 +465,7 @@ def stream_scored(spark, sf_dir):
     scored = scoring.score_stream(
         stream, scoring.model_scorer(model), target, checkpoint, trigger=ONE_PASS
     )
-    scoring.await_all(spark, [scored])
+    scoring.await_all([scored])
     return tables.read_predictions(spark, target).select("review_id", "asin", "predicted_label")
 
 
@@ -483,7 +483,7 @@ def stream_trend(spark, sf_dir):
     allowed covers the whole month they span."""
     target, checkpoint = scratch_path(spark, "trend"), scratch_path(spark, "checkpoint")
     running = trend.start(_replayed(spark, sf_dir), target, checkpoint, lateness="40 days", trigger=ONE_PASS)
-    scoring.await_all(spark, [running])
+    scoring.await_all([running])
     return trend.current(spark, target).withColumn("day", display.display_day(F.col("day")))
 
 
@@ -504,7 +504,7 @@ def _landed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
         _replayed(spark, sf_dir), as_stored, target, checkpoint,
         after_batch=refresh.refresh(target, mart_path), trigger=ONE_PASS,
     )
-    scoring.await_all(spark, [running])
+    scoring.await_all([running])
     return tables.read_predictions(spark, target), mart_path
 
 

@@ -77,13 +77,14 @@ def run_train(
 def run_score(
     spark: SparkSession, models_base: str, target: str, marts_path: str, checkpoint: str,
     source_format: str = "text", model_name: str | None = None, quarantine: str | None = None,
-    trigger: dict | None = None, **source_options: str,
+    lemmatize: bool = False, trigger: dict | None = None, **source_options: str,
 ):
     """Start scoring a message stream into the predictions table and its marts."""
     _, model = models.resolve(spark, models_base, model_name)
     stream = messages.read_stream(spark, source_format, **source_options)
     return scoring.score_stream(
         stream, scoring.model_scorer(model), target, checkpoint, quarantine=quarantine,
+        normalise=scoring.lemmatized if lemmatize else text.clean_stream,
         after_batch=refresh.refresh(target, marts_path), trigger=trigger,
     )
 

@@ -5,23 +5,32 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from review_pulse import schemas
-from review_pulse.functions import text
+from review_pulse.functions import lexicon, text
 from review_pulse.operators import models
 from review_pulse.sources import messages
 
 Scorer = Callable[[DataFrame], DataFrame]
+Normaliser = Callable[[Column], Column]
 AfterBatch = Callable[[SparkSession, int], None]
 
 
-def preprocess(decoded: DataFrame) -> DataFrame:
-    """Cleaned text under the name the model reads, and the dummy label."""
+def lemmatized(review_text: Column) -> Column:
+    """Full normalisation, as curated training rows have it."""
+    return lexicon.lemmatize(text.with_placeholder(text.clean_batch(review_text)))
+
+
+def preprocess(decoded: DataFrame, normalise: Normaliser = text.clean_stream) -> DataFrame:
+    """Normalised text under the name the model reads, and the dummy label.
+
+    Cleaning alone is the default; pass :func:`lemmatized` to treat texts as in training.
+    """
     return decoded.withColumns({
-        "lemmatized_text": text.clean_stream(F.col("reviewText")),
+        "lemmatized_text": normalise(F.col("reviewText")),
         "label": F.lit(0.0),
     })
 
@@ -78,7 +87,8 @@ def land(
 
 
 def score_stream(
-    stream: DataFrame, scorer: Scorer, path: str, checkpoint: str, quarantine: str | None = None, **options
+    stream: DataFrame, scorer: Scorer, path: str, checkpoint: str, quarantine: str | None = None,
+    normalise: Normaliser = text.clean_stream, **options,
 ) -> StreamingQuery:
     """Start the scoring query over a stream of ``value`` messages.
 
@@ -88,7 +98,7 @@ def score_stream(
     """
 
     def transform(batch: DataFrame) -> DataFrame:
-        return to_predictions(scorer(preprocess(messages.decode(batch))))
+        return to_predictions(scorer(preprocess(messages.decode(batch), normalise)))
 
     def refuse(batch: DataFrame, batch_id: int) -> None:
         refused = messages.quarantined(messages.decode(batch))
@@ -111,15 +121,13 @@ def console_preview(stream: DataFrame, checkpoint: str, trigger: dict | None = N
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
-def await_all(spark: SparkSession, queries: list[StreamingQuery]) -> None:
-    """Wait until every query has ended; the first failure stops the others and is raised."""
+def await_all(queries: list[StreamingQuery], poll_seconds: int = 1) -> None:
+    """Wait until every query has ended; the first failure is raised and stops the others."""
+    running = list(queries)
     try:
-        while any(q.isActive for q in queries):
-            spark.streams.awaitAnyTermination()
-            spark.streams.resetTerminated()
-        for query in queries:
-            if query.exception():
-                raise query.exception()
+        while running:
+            # awaitTermination returns at once for an ended query and raises for a failed one.
+            running = [q for q in running if not q.awaitTermination(poll_seconds)]
     finally:
         for query in queries:
             query.stop()
