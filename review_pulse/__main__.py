@@ -16,6 +16,12 @@ def _options(pairs: list[str]) -> dict[str, str]:
     return dict(pair.split("=", 1) for pair in pairs)
 
 
+def _trigger(args: argparse.Namespace) -> dict | None:
+    if args.available_now:
+        return {"availableNow": True}
+    return {"processingTime": args.every} if args.every else None
+
+
 def build_parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="review_pulse")
     sub = parser.add_subparsers(dest="job", required=True)
@@ -47,6 +53,7 @@ def build_parser() -> argparse.ArgumentParser:
     score.add_argument("--lemmatize", action="store_true", help="normalise texts as in training")
     score.add_argument("--format", default="text")
     score.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
+    score.add_argument("--every", metavar="INTERVAL", help="micro-batch interval, such as '1 minute'")
     score.add_argument("--available-now", action="store_true", help="process what is there, then stop")
 
     show = sub.add_parser("dashboard", help="print every dashboard panel")
@@ -75,7 +82,7 @@ def main(argv: list[str] | None = None) -> None:
             spark, args.models_base, args.target, args.marts, args.checkpoint,
             source_format=args.format, model_name=args.model, quarantine=args.quarantine,
             lemmatize=args.lemmatize,
-            trigger={"availableNow": True} if args.available_now else None, **_options(args.option),
+            trigger=_trigger(args), **_options(args.option),
         )
         scoring.await_all([query])
     else:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
     IDF,
     CountVectorizer,
+    ElementwiseProduct,
     HashingTF,
     NGram,
     Normalizer,
@@ -14,6 +16,7 @@ from pyspark.ml.feature import (
     Tokenizer,
     VectorAssembler,
 )
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -116,14 +119,18 @@ def bigram_tfidf_stages(size: int = HASHED_SIZE_WIDE) -> list:
     ]
 
 
-def vocabulary_stages(text: str = "lemmatized_text", size: int = VOCABULARY_SIZE) -> list:
-    """Vector form of the vocabulary features, unit length."""
-    return [
+def fit_vocabulary(df: DataFrame, text: str = "lemmatized_text", size: int = VOCABULARY_SIZE) -> PipelineModel:
+    """Vector form of :func:`vocab_tfidf`: smoothed TF-IDF over the top terms, unit length."""
+    front = Pipeline(stages=[
         RegexTokenizer(inputCol=text, outputCol="terms", pattern=r"\s+", minTokenLength=MIN_TERM_CHARS),
         CountVectorizer(inputCol="terms", outputCol="counts", vocabSize=size),
-        IDF(inputCol="counts", outputCol="weighted"),
-        Normalizer(inputCol="weighted", outputCol="features", p=2.0),
-    ]
+    ]).fit(df)
+    idf = IDF(inputCol="counts", outputCol="weighted").fit(front.transform(df)).idf
+    scale = ElementwiseProduct(
+        inputCol="counts", outputCol="weighted", scalingVec=Vectors.dense(idf.toArray() + 1.0)
+    )
+    unit = Normalizer(inputCol="weighted", outputCol="features", p=2.0)
+    return PipelineModel(stages=[*front.stages, scale, unit])
 
 
 def label_stage(order: str = "alphabetAsc", on_unknown: str = "error") -> StringIndexer:

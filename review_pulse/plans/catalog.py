@@ -224,6 +224,23 @@ def rebalance_hash(spark, sf_dir):
     return _rebalanced(spark, sf_dir, exact=False)
 
 
+def _lopsided(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only one-star ratings negative, so that the positive class has to be thinned out."""
+    stars = F.col("overall")
+    label = F.when(stars <= 1, labels.NEGATIVE).when(stars <= 3, labels.NEUTRAL).otherwise(labels.POSITIVE)
+    return views.ratings(spark, sf_dir).select("review_id", label.alias("label"))
+
+
+@query
+def downsample_exact(spark, sf_dir):
+    return sampling.rebalance(_lopsided(spark, sf_dir), "review_id", exact=True)
+
+
+@query
+def downsample_hash(spark, sf_dir):
+    return sampling.rebalance(_lopsided(spark, sf_dir), "review_id")
+
+
 @query
 def split_rows(spark, sf_dir):
     return sampling.with_split(views.ratings(spark, sf_dir).select("review_id", "label"), "review_id")

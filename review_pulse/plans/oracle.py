@@ -225,6 +225,10 @@ balanced AS (
   FROM ranked, plan WHERE label < 2 OR {keep})"""
 
 
+_LOPSIDED = f"""{_RATINGS},
+lopsided AS (SELECT review_id, CASE WHEN overall <= 1 THEN 0 WHEN overall <= 3 THEN 1 ELSE 2 END AS label
+             FROM ratings)"""
+
 _KEEP_EXACT = "rank <= target"
 _KEEP_HASH = "draw < 4294967296 * CAST(target AS HUGEINT) // n2"
 
@@ -313,6 +317,10 @@ SELECT review_id, label, weight FROM ratings JOIN weights USING (label)""",
     "rebalance_exact": f"""WITH {_RATINGS}, {_rebalanced('ratings', _KEEP_EXACT)}
 SELECT review_id, label, copy FROM balanced""",
     "rebalance_hash": f"""WITH {_RATINGS}, {_rebalanced('ratings', _KEEP_HASH)}
+SELECT review_id, label, copy FROM balanced""",
+    "downsample_exact": f"""WITH {_LOPSIDED}, {_rebalanced('lopsided', _KEEP_EXACT)}
+SELECT review_id, label, copy FROM balanced""",
+    "downsample_hash": f"""WITH {_LOPSIDED}, {_rebalanced('lopsided', _KEEP_HASH)}
 SELECT review_id, label, copy FROM balanced""",
     "split_rows": f"WITH {_SPLIT_ROWS} SELECT review_id, label, split FROM split_rows",
     "split_sizes": f"WITH {_SPLIT_ROWS} SELECT split, count(*) AS n FROM split_rows GROUP BY split",

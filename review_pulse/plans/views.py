@@ -12,6 +12,7 @@ from review_pulse.sources.tables import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.session.timeZone", "UTC")  # days are UTC days
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -28,13 +28,17 @@ def encode(reviews: DataFrame) -> DataFrame:
 
 def decode(messages: DataFrame) -> DataFrame:
     """Fields of each JSON ``value``; malformed text gives an all-NULL row that keeps the original
-    in ``_corrupt_record``, a wrong-typed field gives NULL for that field."""
+    in ``_corrupt_record``, a wrong-typed field gives NULL for that field.
+
+    The fields come out of a generator: a later filter on one of them would otherwise be pushed
+    below the projection and parse every message a second time.
+    """
     payload = F.from_json(
         F.col("value").cast("string"),
         schemas.MESSAGE,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT},
     )
-    return messages.select(payload.alias("data")).select("data.*")
+    return messages.select(F.inline(F.array(payload)))
 
 
 def quarantined(decoded: DataFrame) -> DataFrame:

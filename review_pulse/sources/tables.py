@@ -65,11 +65,16 @@ def line_count(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).agg(F.count("*").alias("lines"))
 
 
+# A table read in at most this many pieces is small (some 2 GB at Spark's default piece size).
+SMALL_TABLE_PIECES = 16
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give every core a share of a small table before expensive row work.
 
-    A table read in fewer pieces than there are cores is redistributed; anything larger is
-    returned as it is, without a shuffle.
+    Only a table read in fewer pieces than there are cores, and few enough to be small, is
+    redistributed; anything larger is returned as it is, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    pieces = df.rdd.getNumPartitions()
+    return df.repartition(cores) if pieces < min(cores, SMALL_TABLE_PIECES) else df

@@ -229,3 +229,16 @@ def test_vocabulary_size_ties_and_unit_length(spark):
     norms = scaled.groupBy("id").agg(F.sum(F.col("tfidf") * F.col("tfidf")).alias("n")).collect()
     assert {r.id: pytest.approx(1.0) for r in norms} == {r.id: r.n for r in norms}
     assert {r.id for r in norms} == {1, 2}
+
+
+def test_vocabulary_vectors_agree_with_the_relational_form(spark):
+    df = spark.createDataFrame([(1, "bb aa aa"), (2, "cc bb x"), (3, "dd"), (4, "")], "id int, t string")
+    model = features.fit_vocabulary(df, "t")
+    terms = model.stages[1].vocabulary
+    vectors = {
+        (r.id, terms[i]): float(v)
+        for r in model.transform(df).collect() for i, v in zip(r.features.indices, r.features.values)
+    }
+    split = df.select("id", F.split("t", " ").alias("w"))
+    rows = {(r.id, r.term): r.tfidf for r in features.vocab_tfidf(split, "id", "w").collect()}
+    assert vectors == pytest.approx(rows)
