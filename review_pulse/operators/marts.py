@@ -166,6 +166,21 @@ def newest(predictions: DataFrame, limit: int = 10) -> DataFrame:
     return with_prediction(predictions).orderBy(F.desc(MOMENT), F.asc("review_id")).limit(limit)
 
 
+def newest_with_text(predictions: DataFrame, limit: int = 10) -> DataFrame:
+    """As :func:`newest`, for tables that carry the texts.
+
+    The time of the last row to show is found on the narrow columns first; the texts are then read
+    only from that time on, which prunes day folders and row groups. Rows without a time rank last.
+    """
+    scored = with_prediction(predictions)
+    times = scored.select(MOMENT).orderBy(F.desc_nulls_last(MOMENT)).limit(limit)
+    oldest = times.agg(F.min(MOMENT)).scalar()
+    recent = scored.where(F.col(MOMENT) >= oldest)
+    if "ingest_date" in predictions.columns:
+        recent = recent.where(F.col("ingest_date") >= F.to_date(oldest))
+    return newest(recent.unionByName(scored.where(F.col(MOMENT).isNull())), limit)
+
+
 def recent_reviews(
     predictions: DataFrame,
     limit: int = 10,
@@ -177,7 +192,7 @@ def recent_reviews(
     predictions lack it: it is looked up for the ``limit`` chosen rows only, which are what is
     broadcast.
     """
-    chosen = newest(predictions, limit)
+    chosen = newest_with_text(predictions, limit) if texts is None else newest(predictions, limit)
     if texts is not None:
         keys = chosen.select("review_id")
         found = texts.join(F.broadcast(keys), "review_id", "left_semi")

@@ -68,34 +68,56 @@ def keep_fraction(df: DataFrame, plan: RebalancePlan, row_id: str, seed: int, la
     return df.where((F.col(label) != POSITIVE) | kept)
 
 
-def keep_exact(df: DataFrame, plan: RebalancePlan, row_id: str, seed: int, label: str = "label") -> DataFrame:
-    """Exactly ``target`` positive rows, the first ones in hash order; ``row_id`` must be unique.
+@dataclass(frozen=True)
+class Cut:
+    """Where the hash order is cut: the last digest kept, how many rows share it, how many of those stay."""
+
+    digest: str
+    rows: int
+    room: int
+
+
+def _boundary(sizes: DataFrame, key: str, target: int):
+    """The first group, in key order, at which the running total reaches ``target``."""
+    running = F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy(key))
+    before = sizes.withColumn("before", running - F.col("n"))
+    return before.where((F.col("before") < target) & (F.col("before") + F.col("n") >= target)).first()
+
+
+def hash_cut(rows: DataFrame, row_id: str, target: int, seed: int) -> Cut | None:
+    """Where to cut the hash order of ``rows`` so that ``target`` of them come first.
 
-    The order is cut by a histogram over the leading hash digits (65,536 buckets): buckets before
-    the boundary are kept whole, and only the boundary bucket is ranked. No task sees more than
-    one bucket of the class.
+    Two grouped counts: over 65,536 buckets of leading hash digits, then over the digests inside
+    the boundary bucket. The running totals see a bucket list of fixed length, and one bucket's
+    digests; copies of an id are counted, never gathered.
     """
-    spark = df.sparkSession
     digest = hashing.seeded_md5(F.col(row_id), seed)
-    bucket = F.substring(digest, 1, 4)
+    tagged = rows.select(digest.alias("digest"), F.substring(digest, 1, 4).alias("bucket"))
+    bucket = _boundary(tagged.groupBy("bucket").agg(F.count("*").alias("n")), "bucket", target)
+    if bucket is None:  # nothing to keep, or fewer rows than wanted
+        return None
+    inside = tagged.where(F.col("bucket") == bucket["bucket"])
+    room = target - bucket["before"]
+    last = _boundary(inside.groupBy("digest").agg(F.count("*").alias("n")), "digest", room)
+    return Cut(last["digest"], last["n"], room - last["before"])
+
+
+def keep_exact(df: DataFrame, plan: RebalancePlan, row_id: str, seed: int, label: str = "label") -> DataFrame:
+    """Exactly ``target`` positive rows, the first ones in hash order: a filter, no sort.
+
+    Where ids repeat and the cut falls between copies of one id, any of those copies are taken.
+    """
     positive = F.col(label) == POSITIVE
-    sizes = df.where(positive).groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
-    running = sizes.withColumn(
-        "before",
-        F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("bucket")) - F.col("n"),
-    )
-    boundary = running.where(
-        (F.col("before") <= plan.target) & (F.col("before") + F.col("n") > plan.target)
-    ).first()
-    if boundary is None:  # the target is the whole class
+    if plan.target == plan.counts.get(POSITIVE, 0):
         return df
-    tagged = df.withColumns({"__digest": digest, "__bucket": bucket})
-    whole = tagged.where((F.col(label) != POSITIVE) | (F.col("__bucket") < boundary["bucket"]))
-    edge = tagged.where(positive & (F.col("__bucket") == boundary["bucket"]))
-    rank = F.row_number().over(Window.partitionBy("__bucket").orderBy("__digest", row_id))
-    room = plan.target - boundary["before"]
-    edge = edge.withColumn("__rank", rank).where(F.col("__rank") <= room).drop("__rank")
-    return whole.unionByName(edge).drop("__digest", "__bucket")
+    cut = hash_cut(df.where(positive), row_id, plan.target, seed)
+    if cut is None:
+        return df.where(~positive)
+    digest = hashing.seeded_md5(F.col(row_id), seed)
+    if cut.room == cut.rows:
+        return df.where(~positive | (digest <= cut.digest))
+    sure = df.where(~positive | (digest < cut.digest))
+    return sure.unionByName(df.where(positive & (digest == cut.digest)).limit(cut.room))
 
 
 def oversample(df: DataFrame, plan: RebalancePlan, label: str = "label", copy_column: str = "copy") -> DataFrame:

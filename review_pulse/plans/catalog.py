@@ -374,34 +374,33 @@ def overall_metrics(spark, sf_dir):
 # --- models ----------------------------------------------------------------------------------
 
 
-def _fitted(spark: SparkSession, sf_dir: str, family: str, **overrides):
-    """Fit on the training split, store the model and load it back by name."""
+def _fitted(spark: SparkSession, sf_dir: str, family: str):
+    """A model fitted on the training split, and the other rows."""
     rows = models.training_splits(views.curated(spark, sf_dir))
-    fitted = models.fit(rows.where(F.col("split") == "train"), family, **overrides)
-    base = scratch_path(spark, "models")
-    models.save(fitted, f"{base}/{family}")
-    _, model = models.resolve(spark, base, family)
-    return model, rows.where(F.col("split") != "train")
+    return models.fit(rows.where(F.col("split") == "train"), family), rows.where(F.col("split") != "train")
 
 
-def _held_out_scores(spark: SparkSession, sf_dir: str, family: str, **overrides) -> DataFrame:
-    model, held_out = _fitted(spark, sf_dir, family, **overrides)
+def _scores(model, held_out: DataFrame) -> DataFrame:
     return models.score(model, held_out).select("review_id", "split", "label", "predicted_label")
 
 
 @query
 def svm_scores(spark, sf_dir):
-    return _held_out_scores(spark, sf_dir, "svm")
+    """Scores of a model that was stored and loaded back by name."""
+    fitted, held_out = _fitted(spark, sf_dir, "svm")
+    base = scratch_path(spark, "models")
+    models.save(fitted, f"{base}/svm")
+    return _scores(models.resolve(spark, base, "svm")[1], held_out)
 
 
 @query
 def logistic_scores(spark, sf_dir):
-    return _held_out_scores(spark, sf_dir, "logistic")
+    return _scores(*_fitted(spark, sf_dir, "logistic"))
 
 
 @query
 def forest_scores(spark, sf_dir):
-    return _held_out_scores(spark, sf_dir, "forest")
+    return _scores(*_fitted(spark, sf_dir, "forest"))
 
 
 @query

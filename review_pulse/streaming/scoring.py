@@ -121,6 +121,14 @@ def console_preview(stream: DataFrame, checkpoint: str, trigger: dict | None = N
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
+def throughput(query: StreamingQuery) -> dict[str, float]:
+    """Batches, messages and messages per second over the progress Spark still remembers."""
+    progress = [p for p in query.recentProgress if p["numInputRows"]]
+    rows = sum(p["numInputRows"] for p in progress)
+    seconds = sum(p["durationMs"]["triggerExecution"] for p in progress) / 1000
+    return {"batches": len(progress), "messages": rows, "rate": rows / seconds if seconds else 0.0}
+
+
 def await_all(queries: list[StreamingQuery], poll_seconds: int = 1) -> None:
     """Wait until every query has ended; the first failure is raised and stops the others."""
     running = list(queries)

@@ -89,6 +89,16 @@ def test_recent_reviews_order_text_and_missing_time(spark):
     assert got[3].ingestion_time == "Unknown" and len(got[2].lemmatized_text) == 203
 
 
+def test_recent_reviews_reads_texts_from_the_newest_days_only(spark, tmp_path):
+    rows = [(str(i), "r", "p", 2, moment(1 + i), f"text {i}") for i in range(20)]
+    stored = predictions(spark, rows, "timestamp").withColumn("ingest_date", F.to_date("ingestion_time"))
+    stored.write.partitionBy("ingest_date").parquet(str(tmp_path / "p"))
+    recent = marts.recent_reviews(spark.read.parquet(str(tmp_path / "p")), 2)
+    assert [r.lemmatized_text for r in recent.collect()] == ["text 19", "text 18"]
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert any(part.startswith("isnotnull(ingest_date") for part in plan.split("PartitionFilters: [")[1:])
+
+
 def test_recent_reviews_looks_text_up(spark):
     rows = [(str(i), "r", "p", 2, moment(1 + i), None) for i in range(5)]
     texts = spark.createDataFrame([("4", "four"), ("0", "zero")], "review_id string, lemmatized_text string")
@@ -127,6 +137,19 @@ def test_exact_rebalance_matches_brute_force(spark):
     assert kept == {i for _, i in digests[:120]}
 
 
+def test_exact_rebalance_counts_copies_of_an_id(spark):
+    rows = [("hot", 2)] * 300 + [(f"p{i}", 2) for i in range(100)] + [(f"n{i}", 0) for i in range(50)]
+    df = spark.createDataFrame(rows, "id string, label int").repartition(5)
+    got = sampling.rebalance(df, "id", exact=True)
+    assert counts(got) == {0: 150, 2: 150}
+
+
+def test_exact_rebalance_is_a_filter(spark):
+    kept = sampling.rebalance(labelled(spark, 40, 7, 500), "id", exact=True)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+
+
 def test_rebalance_edges(spark):
     # a negative class larger than a third of the positive one: nothing is thinned out
     assert counts(sampling.rebalance(labelled(spark, 50, 10, 60), "id", exact=True)) == {0: 50, 1: 60, 2: 60}

@@ -41,12 +41,14 @@ def run(spark, paths, **options):
         after_batch=refresh.refresh(paths["predictions"], paths["marts"]), trigger=ONE_PASS, **options,
     )
     scoring.await_all([query])
+    return scoring.throughput(query)
 
 
 def test_stream_equals_batch_and_restarts_cleanly(spark, paths):
     messages.publish(reviews(spark, 0, 40).repartition(3), path=paths["messages"])
     spark.createDataFrame([('{"reviewText":"cut',)], "value string").write.mode("append").text(paths["messages"])
-    run(spark, paths)
+    figures = run(spark, paths)
+    assert figures["messages"] == 41 and figures["batches"] > 1 and figures["rate"] > 0
     stored = tables.read_predictions(spark, paths["predictions"])
     assert stored.count() == 41
     assert stored.select("batch_id").distinct().count() > 1
@@ -58,7 +60,7 @@ def test_stream_equals_batch_and_restarts_cleanly(spark, paths):
     refused = spark.read.parquet(paths["quarantine"])
     assert [r.value for r in refused.collect()] == ['{"reviewText":"cut']
 
-    run(spark, paths)  # nothing new
+    assert run(spark, paths)["messages"] == 0  # nothing new
     assert tables.read_predictions(spark, paths["predictions"]).count() == 41
     messages.publish(reviews(spark, 40, 50).coalesce(1), path=paths["messages"])
     run(spark, paths)
