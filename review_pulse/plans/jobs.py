@@ -86,6 +86,7 @@ def run_score(
         stream, scoring.model_scorer(model), target, checkpoint, quarantine=quarantine,
         normalise=scoring.lemmatized if lemmatize else text.clean_stream,
         after_batch=refresh.refresh(target, marts_path), trigger=trigger,
+        report=lambda batch_id, counts: print(f"batch {batch_id}: {counts}"),
     )
 
 

@@ -49,13 +49,18 @@ def accepted(decoded: DataFrame) -> DataFrame:
     return decoded.where(F.col(schemas.CORRUPT).isNull()).drop(schemas.CORRUPT)
 
 
+def message_counts() -> list[Column]:
+    refused = F.col(schemas.CORRUPT).isNotNull()
+    return [
+        F.count(F.lit(1)).alias("total"),
+        F.count_if(~refused).alias("sent"),
+        F.count_if(refused).alias("errors"),
+    ]
+
+
 def ingest_stats(decoded: DataFrame) -> DataFrame:
     """Messages read, accepted, refused, and the success share in percent."""
-    counts = decoded.agg(
-        F.count("*").alias("total"),
-        F.count_if(F.col(schemas.CORRUPT).isNull()).alias("sent"),
-        F.count_if(F.col(schemas.CORRUPT).isNotNull()).alias("errors"),
-    )
+    counts = decoded.agg(*message_counts())
     return counts.withColumn("success_pct", display.percent(F.col("sent"), F.col("total")))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,6 +17,7 @@ from review_pulse.sources import messages
 Scorer = Callable[[DataFrame], DataFrame]
 Normaliser = Callable[[Column], Column]
 AfterBatch = Callable[[SparkSession, int], None]
+Report = Callable[[int, dict], None]
 
 
 def lemmatized(review_text: Column) -> Column:
@@ -88,17 +89,30 @@ def land(
 
 def score_stream(
     stream: DataFrame, scorer: Scorer, path: str, checkpoint: str, quarantine: str | None = None,
-    normalise: Normaliser = text.clean_stream, **options,
+    normalise: Normaliser = text.clean_stream, report: Report | None = None,
+    after_batch: AfterBatch | None = None, **options,
 ) -> StreamingQuery:
     """Start the scoring query over a stream of ``value`` messages.
 
     Every message is scored, malformed ones as empty text; with ``quarantine`` the originals of
     the malformed ones are stored as well. One-vs-rest models cannot transform a streaming frame
-    directly, so scoring happens per micro-batch.
+    directly, so scoring happens per micro-batch. ``report`` receives the message counts of each
+    batch, which are observed while it is written.
     """
+    observed: dict[str, Observation] = {}
 
     def transform(batch: DataFrame) -> DataFrame:
-        return to_predictions(scorer(preprocess(messages.decode(batch), normalise)))
+        decoded = messages.decode(batch)
+        if report:
+            observed["batch"] = Observation()
+            decoded = decoded.observe(observed["batch"], *messages.message_counts())
+        return to_predictions(scorer(preprocess(decoded, normalise)))
+
+    def stored(spark: SparkSession, batch_id: int) -> None:
+        if report:
+            report(batch_id, observed.pop("batch").get)
+        if after_batch:
+            after_batch(spark, batch_id)
 
     def refuse(batch: DataFrame, batch_id: int) -> None:
         refused = messages.quarantined(messages.decode(batch))
@@ -106,7 +120,10 @@ def score_stream(
             f"{quarantine}/batch_id={batch_id}"
         )
 
-    return land(stream, transform, path, checkpoint, side_output=refuse if quarantine else None, **options)
+    return land(
+        stream, transform, path, checkpoint, after_batch=stored,
+        side_output=refuse if quarantine else None, **options,
+    )
 
 
 def console_preview(stream: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
@@ -121,14 +138,6 @@ def console_preview(stream: DataFrame, checkpoint: str, trigger: dict | None = N
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
-def throughput(query: StreamingQuery) -> dict[str, float]:
-    """Batches, messages and messages per second over the progress Spark still remembers."""
-    progress = [p for p in query.recentProgress if p["numInputRows"]]
-    rows = sum(p["numInputRows"] for p in progress)
-    seconds = sum(p["durationMs"]["triggerExecution"] for p in progress) / 1000
-    return {"batches": len(progress), "messages": rows, "rate": rows / seconds if seconds else 0.0}
-
-
 def await_all(queries: list[StreamingQuery], poll_seconds: int = 1) -> None:
     """Wait until every query has ended; the first failure is raised and stops the others."""
     running = list(queries)
