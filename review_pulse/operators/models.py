@@ -12,7 +12,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import IndexToString, StringIndexerModel
+from pyspark.ml.feature import IDF, IndexToString, StringIndexerModel
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,23 +64,25 @@ def prepare(reviews: DataFrame) -> DataFrame:
     return fill_missing_text(labelled)
 
 
-def training_splits(reviews: DataFrame, row_id: str = "review_id", order: str = "split_first") -> DataFrame:
-    """Rows with ``split`` and ``copy``, rebalanced.
+def training_splits(
+    reviews: DataFrame, row_id: str = "review_id", order: str = "split_first"
+) -> tuple[DataFrame, DataFrame]:
+    """Rebalanced training rows, and the held-out rows; both with ``split`` and ``copy``.
 
     ``split_first`` rebalances the training rows only, so no copy of a training row is evaluated;
     ``legacy`` rebalances everything and then splits copies independently.
     """
     prepared = prepare(reviews)
+    is_train = F.col("split") == "train"
     if order == "legacy":
         balanced = sampling.rebalance(prepared, row_id)
         copy_id = F.concat_ws("#", F.col(row_id), F.col("copy").cast("string"))
-        return balanced.withColumn("split", sampling.split_name(copy_id))
+        split = balanced.withColumn("split", sampling.split_name(copy_id))
+        return split.where(is_train), split.where(~is_train)
     if order != "split_first":
         raise ValueError("order is 'split_first' or 'legacy'")
     split = sampling.with_split(prepared, row_id)
-    held_out = split.where(F.col("split") != "train").withColumn("copy", F.lit(1))
-    train = sampling.rebalance(split.where(F.col("split") == "train"), row_id)
-    return train.unionByName(held_out)
+    return sampling.rebalance(split.where(is_train), row_id), split.where(~is_train).withColumn("copy", F.lit(1))
 
 
 def sized(rows: DataFrame) -> DataFrame:
@@ -94,14 +96,21 @@ def sized(rows: DataFrame) -> DataFrame:
 
 
 def _encode(train: DataFrame, front: list) -> tuple[PipelineModel, DataFrame]:
-    """Fit the feature stages on cached text, and cache what the classifier reads."""
-    text = train.persist(StorageLevel.MEMORY_AND_DISK)
-    encoder = Pipeline(stages=front).fit(text)
-    columns = [c for c in ("features", "indexed_label", "weight") if c != "weight" or "weight" in train.columns]
-    encoded = encoder.transform(text).select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
+    """Fit the feature stages, and cache what the classifier reads.
+
+    Everything up to the hashed counts works row by row and is done once; the counts, much smaller
+    than the texts, are cached for fitting the weights and the label index.
+    """
+    extra = [c for c in ("weight",) if c in train.columns]
+    first = next(i for i, stage in enumerate(front) if isinstance(stage, IDF))
+    hashing = Pipeline(stages=front[:first]).fit(train)
+    counts = hashing.transform(train).select("tf", "label", *extra).persist(StorageLevel.MEMORY_AND_DISK)
+    weighting = Pipeline(stages=front[first:]).fit(counts)
+    encoded = weighting.transform(counts).select("features", "indexed_label", *extra)
+    encoded = encoded.persist(StorageLevel.MEMORY_AND_DISK)
     encoded.count()
-    text.unpersist()
-    return encoder, encoded
+    counts.unpersist()
+    return PipelineModel(stages=[*hashing.stages, *weighting.stages]), encoded
 
 
 def _training_columns(train: DataFrame, family: str) -> DataFrame:
@@ -158,9 +167,8 @@ def train_and_evaluate(
     reviews: DataFrame, family: str = "svm", order: str = "split_first", **overrides
 ) -> tuple[PipelineModel, Evaluation]:
     """Fit on the training split and evaluate the other two."""
-    rows = training_splits(reviews, order=order)
-    model = fit(rows.where(F.col("split") == "train"), family, **overrides)
-    held_out = rows.where(F.col("split") != "train")
+    train, held_out = training_splits(reviews, order=order)
+    model = fit(train, family, **overrides)
     return model, evaluate(score(model, held_out), "split")
 
 

@@ -260,8 +260,8 @@ def split_by_class(spark, sf_dir):
 def training_rows(spark, sf_dir):
     """Split first, then only the training rows rebalanced: rows per split and class."""
     reviews = views.ratings(spark, sf_dir).select("review_id", "label", F.col("asin").alias("lemmatized_text"))
-    rows = models.training_splits(reviews)
-    return rows.groupBy("split", F.col("label").cast("int").alias("label")).agg(F.count("*").alias("n"))
+    train, held_out = models.training_splits(reviews)
+    return train.unionByName(held_out).groupBy("split", F.col("label").cast("int").alias("label")).agg(F.count("*").alias("n"))
 
 
 # --- features --------------------------------------------------------------------------------
@@ -376,8 +376,8 @@ def overall_metrics(spark, sf_dir):
 
 def _fitted(spark: SparkSession, sf_dir: str, family: str):
     """A model fitted on the training split, and the other rows."""
-    rows = models.training_splits(views.curated(spark, sf_dir))
-    return models.fit(rows.where(F.col("split") == "train"), family), rows.where(F.col("split") != "train")
+    train, held_out = models.training_splits(views.curated(spark, sf_dir))
+    return models.fit(train, family), held_out
 
 
 def _scores(model, held_out: DataFrame) -> DataFrame:
@@ -411,8 +411,8 @@ def model_metrics(spark, sf_dir):
 
 @query
 def grid_search(spark, sf_dir):
-    rows = models.training_splits(views.curated(spark, sf_dir))
-    _, scores = models.grid_search(rows.where(F.col("split") == "train"), folds=2)
+    train, _ = models.training_splits(views.curated(spark, sf_dir))
+    _, scores = models.grid_search(train, folds=2)
     return spark.createDataFrame(scores, "reg_param double, f1 double")
 
 

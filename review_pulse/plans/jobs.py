@@ -60,14 +60,14 @@ def run_train(
 ) -> models.Evaluation:
     """Fit, evaluate and save; the test rows are exported as messages that can be replayed."""
     curated = tables.read_curated(spark, source)
-    rows = models.training_splits(curated, order=order)
-    model = models.fit(rows.where(F.col("split") == "train"), family)
+    train, held_out = models.training_splits(curated, order=order)
+    model = models.fit(train, family)
     models.save(model, model_path)
     if test_export:
-        test = rows.where(F.col("split") == "test")
+        test = held_out.where(F.col("split") == "test")
         tables.write_json_lines(test.select(*messages.message_columns(), "label"), f"{test_export}/json")
         tables.write_csv(test.select(*schemas.CURATED_CSV.names), f"{test_export}/csv")
-    result = models.evaluate(models.score(model, rows.where(F.col("split") != "train")), "split")
+    result = models.evaluate(models.score(model, held_out), "split")
     result.confusion.orderBy("split", "label", "prediction").show()
     result.per_class.orderBy("split", "class").show()
     result.overall.orderBy("split").show()

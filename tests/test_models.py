@@ -44,7 +44,9 @@ def test_unknown_family_is_refused():
 
 @pytest.mark.parametrize("order", ["split_first", "legacy"])
 def test_training_splits(spark, order):
-    rows = models.training_splits(reviews(spark, (60, 40, 300)), order=order)
+    train, held_out = models.training_splits(reviews(spark, (60, 40, 300)), order=order)
+    rows = train.unionByName(held_out)
+    assert train.where("split <> 'train'").count() == held_out.where("split = 'train'").count() == 0
     ids = {name: {r[0] for r in rows.where(F.col("split") == name).select("review_id").collect()}
            for name in ("train", "validation", "test")}
     assert all(ids.values())
