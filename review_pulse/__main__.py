@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 from review_pulse.operators.models import FAMILIES
 from review_pulse.plans import jobs
 from review_pulse.sources import messages, tables
-from review_pulse.streaming import scoring
+from review_pulse.streaming import refresh, scoring
 
 
 def _options(pairs: list[str]) -> dict[str, str]:
@@ -58,6 +58,7 @@ def build_parser() -> argparse.ArgumentParser:
 
     show = sub.add_parser("dashboard", help="print every dashboard panel")
     show.add_argument("predictions")
+    show.add_argument("--marts", help="read the partial results a scoring stream keeps")
     show.add_argument("--days", type=int, default=7)
     show.add_argument("--limit", type=int, default=10)
     show.add_argument("--asin")
@@ -87,7 +88,11 @@ def main(argv: list[str] | None = None) -> None:
         scoring.await_all([query])
     else:
         predictions = tables.read_predictions(spark, args.predictions)
-        panels = jobs.dashboard(predictions, days_back=args.days, limit=args.limit, asin=args.asin)
+        options = {"days_back": args.days, "limit": args.limit, "asin": args.asin}
+        panels = (
+            refresh.panels(spark, predictions, args.marts, **options)
+            if args.marts else jobs.dashboard(predictions, **options)
+        )
         for name, panel in panels.items():
             print(name)
             panel.show(truncate=False)

@@ -53,10 +53,14 @@ def sentiment_counts(predictions: DataFrame) -> DataFrame:
     return upright(with_prediction(predictions).agg(*class_tallies()))
 
 
-def sentiment_share(predictions: DataFrame) -> DataFrame:
+def shares(counts: DataFrame) -> DataFrame:
     """Share of each class in percent; NULL when there are no predictions at all."""
     share = F.when(F.col("total") > 0, display.percent(F.col("reviews"), F.col("total")))
-    return sentiment_counts(predictions).select("label", "sentiment", share.alias("share_pct"))
+    return counts.select("label", "sentiment", share.alias("share_pct"))
+
+
+def sentiment_share(predictions: DataFrame) -> DataFrame:
+    return shares(sentiment_counts(predictions))
 
 
 def trend_bounds(as_of: Column | datetime, days_back: int) -> tuple[Column, Column]:

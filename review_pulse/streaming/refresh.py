@@ -126,3 +126,33 @@ def store_stats(spark: SparkSession, marts_path: str) -> DataFrame:
         F.max("latest").alias("latest"),
     )
     return marts.stats_row(totals)
+
+
+def latest_moment(spark: SparkSession, marts_path: str) -> Column:
+    """Most recent ingestion time, from the daily partials, as a scalar subquery."""
+    return _read(spark, marts_path, "daily").agg(F.max("latest")).scalar()
+
+
+def panels(
+    spark: SparkSession,
+    predictions: DataFrame,
+    marts_path: str,
+    as_of: Column | datetime | None = None,
+    days_back: int = 7,
+    limit: int = 10,
+    asin: str | None = None,
+) -> dict[str, DataFrame]:
+    """Every dashboard panel from the partial results, by name."""
+    moment = latest_moment(spark, marts_path) if as_of is None else as_of
+    found = {
+        "sentiment_counts": sentiment_counts(spark, marts_path),
+        "sentiment_share": marts.shares(sentiment_counts(spark, marts_path)),
+        "sentiment_trend": sentiment_trend(spark, predictions, marts_path, moment, days_back),
+        "recent_reviews": recent_reviews(spark, marts_path, min(limit, RECENT_ROWS)),
+        "top_reviewers": top_reviewers(spark, marts_path, limit),
+        "top_products": top_products(spark, marts_path, limit),
+        "store_stats": store_stats(spark, marts_path),
+    }
+    if asin is not None:
+        found["product_sentiment"] = product_sentiment(spark, marts_path, asin)
+    return found

@@ -6,7 +6,7 @@ from review_pulse import __main__ as cli
 from review_pulse import schemas
 from review_pulse.plans import jobs
 from review_pulse.sources import messages, tables
-from review_pulse.streaming import scoring
+from review_pulse.streaming import refresh, scoring
 
 RATED = {1.0: "Terrible, broken!", 3.0: "An average thing...", 5.0: "I LOVE it; great"}
 
@@ -56,6 +56,11 @@ def test_from_raw_reviews_to_the_dashboard(spark, tmp_path, capsys):
     assert panels["top_products"].count() == 4
     assert panels["product_sentiment"].first().total == 30
 
+    kept = refresh.panels(spark, stored, at["marts"], asin="p1")
+    assert set(kept) == set(panels)
+    for name, panel in panels.items():
+        assert list(map(tuple, kept[name].collect())) == list(map(tuple, panel.collect())), name
+
 
 def test_texts_are_whole_unless_a_cap_is_asked_for(spark):
     long = " ".join(["word"] * 30_000)
@@ -68,5 +73,5 @@ def test_texts_are_whole_unless_a_cap_is_asked_for(spark):
 def test_command_line_covers_every_job():
     parser = cli.build_parser()
     for line in ("curate in out --csv c", "train in m --family forest --order legacy", "publish in --option path=x",
-                 "score m p marts c --available-now --lemmatize --option path=x", "dashboard p --days 3 --asin a"):
+                 "score m p marts c --available-now --lemmatize --option path=x", "dashboard p --marts m --days 3 --asin a"):
         assert parser.parse_args(line.split()).job == line.split()[0]
