@@ -485,6 +485,36 @@ def stream_scored(spark, sf_dir):
     return tables.read_predictions(spark, target).select("review_id", "asin", "predicted_label")
 
 
+def _payload_stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Messages of mixed quality through the scoring stream: stored rows and quarantined originals.
+
+    The star rating stands in for a model, so that the outcome is known.
+    """
+    source, target, refused, checkpoint = (
+        scratch_path(spark, n) for n in ("messages", "predictions", "quarantine", "checkpoint")
+    )
+    views.payloads(spark, sf_dir).repartition(4).write.text(source)
+    scored = scoring.score_stream(
+        messages.read_stream(spark, path=source, maxFilesPerTrigger="2"),
+        lambda rows: rows.withColumn("predicted_label", labels.rating_label(F.col("overall"))),
+        target, checkpoint, quarantine=refused, trigger=ONE_PASS,
+    )
+    scoring.await_all([scored])
+    return tables.read_predictions(spark, target), spark.read.parquet(refused)
+
+
+@query
+def stream_stored(spark, sf_dir):
+    stored, _ = _payload_stream(spark, sf_dir)
+    return stored.select("review_id", "reviewer_id", "asin", "review_time", "lemmatized_text", "predicted_label")
+
+
+@query
+def stream_quarantine(spark, sf_dir):
+    _, refused = _payload_stream(spark, sf_dir)
+    return refused.select("value")
+
+
 def _replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The predictions as a stream of files, two files per micro-batch."""
     source = scratch_path(spark, "replay")

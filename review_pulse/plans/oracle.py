@@ -247,6 +247,9 @@ rates AS (
   FROM actual LEFT JOIN predicted USING (k)),
 per_class AS (SELECT *, coalesce(2 * precision * recall / nullif(precision + recall, 0), 0.0) AS f1 FROM rates)"""
 
+_QUARANTINE = f"""WITH {_REVIEWS}
+SELECT '{{"reviewTe' AS value FROM reviews WHERE event_id % 50 = 0"""
+
 _CODE_INDEX = "CAST(row_number() OVER (ORDER BY {order}) - 1 AS INTEGER) AS indexed_label"
 
 
@@ -370,8 +373,7 @@ SELECT round(sum(hits) / sum(actual), 6) AS accuracy,
        round(sum(f1 * actual) / sum(actual), 6) AS weighted_f1 FROM per_class""",
     "json_roundtrip": f"""WITH {_REVIEWS}
 SELECT review_id, reviewer_id, asin, review_time, overall, review_text FROM reviews""",
-    "json_quarantine": f"""WITH {_REVIEWS}
-SELECT '{{"reviewTe' AS value FROM reviews WHERE event_id % 50 = 0""",
+    "json_quarantine": _QUARANTINE,
     "ingest_stats": f"""WITH {_REVIEWS},
 counted AS (SELECT count(*) AS total, count(*) FILTER (event_id % 50 <> 0) AS sent,
                    count(*) FILTER (event_id % 50 = 0) AS errors FROM reviews)
@@ -380,6 +382,13 @@ SELECT *, CAST({_percent('sent', 'total')} AS DOUBLE) AS success_pct FROM counte
     "csv_roundtrip": f"""WITH {_REVIEWS}, cleaned AS (SELECT *, {_clean_batch('review_text')} AS t FROM reviews)
 SELECT review_id, reviewer_id, asin, overall, {_placeholder('t')} AS cleaned_text, label FROM cleaned""",
     "jsonl_roundtrip": f"WITH {_REVIEWS} SELECT review_id, reviewer_id, asin, overall, review_text FROM reviews",
+    "stream_stored": f"""WITH {_REVIEWS}, sent AS (SELECT *, event_id % 50 = 0 AS cut FROM reviews)
+SELECT CASE WHEN NOT cut THEN review_id END AS review_id, CASE WHEN NOT cut THEN reviewer_id END AS reviewer_id,
+       CASE WHEN NOT cut THEN asin END AS asin, CASE WHEN NOT cut THEN review_time END AS review_time,
+       CASE WHEN cut THEN '' ELSE {_clean_stream('review_text')} END AS lemmatized_text,
+       CASE WHEN NOT cut THEN label END AS predicted_label
+FROM sent""",
+    "stream_quarantine": _QUARANTINE,
     "stream_trend": f"""WITH {_PREDICTIONS}
 SELECT strftime(CAST(ingestion_time AS DATE), '%Y-%m-%d') AS day, {_TALLIES}
 FROM predictions WHERE predicted_label IS NOT NULL GROUP BY CAST(ingestion_time AS DATE)""",
