@@ -7,6 +7,8 @@ from itertools import chain
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from review_pulse.functions.text import cleaned_words
+
 # The English stop words Spark MLlib ships (StopWordsRemover default).
 STOP_WORDS = """
 i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her
@@ -191,6 +193,6 @@ def lemmatize(
     A text made of stop words only comes back unchanged.
     """
     stops = CLEANED_STOP_WORDS if stop_words is None else stop_words
-    words = F.filter(F.split(cleaned, " "), lambda w: ~w.isin(*stops) & (w != ""))
+    words = F.filter(cleaned_words(cleaned), lambda w: ~w.isin(*stops) & (w != ""))
     joined = F.array_join(F.transform(words, lambda w: lemma(w, irregular)), " ")
     return F.coalesce(F.nullif(joined, F.lit("")), cleaned)  # nullif evaluates ``joined`` once

@@ -49,6 +49,11 @@ def tokens(text: Column) -> Column:
     return F.split(F.lower(text), f"[{WHITESPACE}]")
 
 
+def cleaned_words(cleaned: Column) -> Column:
+    """Words of a cleaned text; the literal separator spares compiling a pattern per row."""
+    return F.split(cleaned, " ")
+
+
 def without_stop_words(words: Column, stop_words: list[str]) -> Column:
     """Keep the words outside the (lower-case) list; a literal list is probed as a hash set."""
     return F.filter(words, lambda w: ~F.lower(w).isin(stop_words))

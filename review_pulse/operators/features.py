@@ -44,7 +44,9 @@ def term_counts(df: DataFrame, row_id: str, words: str) -> DataFrame:
     """Occurrences per (row, term).
 
     Rows are co-located by id before the words are exploded: text moves once, and this grouping
-    as well as later per-row steps need no further exchange.
+    as well as later per-row steps need no further exchange. Short words are dropped inside the
+    array: exploding the bare column lets Spark infer a size filter, which would repeat the
+    expressions that made the words.
     """
     kept = F.filter(F.col(words), lambda w: F.length(w) >= MIN_TERM_CHARS)
     exploded = df.repartition(row_id).select(row_id, F.explode(kept).alias("term"))

@@ -269,7 +269,7 @@ def training_rows(spark, sf_dir):
 
 def _words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with their cleaned words, before and after stop-word removal."""
-    words = text.tokens(text.clean_batch(F.col("text")))
+    words = text.cleaned_words(text.clean_batch(F.col("text")))
     return _documents(spark, sf_dir).select("doc_id", words.alias("words")).withColumn(
         "filtered_words", text.without_stop_words(F.col("words"), lexicon.STOP_WORDS)
     )
