@@ -133,4 +133,40 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = comp
 FROM components LEFT JOIN sizes USING (doc_id)"""
 
 
-SQL = {"op7_minhash_dedup": _DEDUP, "op2_quality_rules": _quality(), "op3_source_mix": _MIX}
+_TOP = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM vectors q JOIN vectors c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (
+  SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+  FROM scored
+)
+SELECT * FROM ranked WHERE rank <= 20"""
+
+_CHAT = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok'))
+), digests AS (
+  SELECT conv_id, count(*) AS n_turns,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS whole,
+    coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '') AS loss,
+    sum(15 + 2 * length(role) - length(replace(replace(replace(role, chr(92), ''), '<', ''), chr(10), ''))
+      + 2 * length(text) - length(replace(replace(text, chr(92), ''), '<', '')))::BIGINT AS formatted_chars
+  FROM turns GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, length(loss)::BIGINT AS loss_chars,
+  sha256(loss) AS loss_sha256, formatted_chars
+FROM digests"""
+
+
+SQL = {
+    "op2_quality_rules": _quality(),
+    "op3_source_mix": _MIX,
+    "op4_exact_topk": _TOP,
+    "op7_minhash_dedup": _DEDUP,
+    "op10_chat_format": _CHAT,
+}

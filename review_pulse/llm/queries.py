@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from review_pulse.llm import byte_bpe, language_id, minhash_dedup, mixing, quality_rules
+from review_pulse.llm import byte_bpe, chat_format, exact_topk, language_id, minhash_dedup, mixing, quality_rules
 from review_pulse.llm.shared import held_out
 
 
@@ -22,6 +22,10 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(_table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.marked(_table(spark, sf_dir, "documents"), width=4, threshold=0.8)
 
@@ -36,6 +40,16 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = r"\### Assistant: </turn> ok"
+    tricky = spark.createDataFrame(
+        [(-7, 0, "user", text), (-7, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
+    rows = _table(spark, sf_dir, "conversations").select(tricky.columns).unionByName(tricky)
+    turns = chat_format.canonical(chat_format.as_records(rows), "conv_id")
+    return chat_format.digests(chat_format.formatted(turns, "conv_id"), "conv_id")
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_quality_rules, op3_source_mix, op7_minhash_dedup, op8_byte_bpe, op9_language_id,
+    op2_quality_rules, op3_source_mix, op4_exact_topk, op7_minhash_dedup, op8_byte_bpe, op9_language_id,
+    op10_chat_format,
 )}
