@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from review_pulse.llm import byte_bpe, chat_format, exact_topk, language_id, minhash_dedup, mixing, quality_rules
+from review_pulse.llm import (
+    byte_bpe, byte_cnn, chat_format, exact_topk, language_id, minhash_dedup, mixing, quality_rules, toxic_crf,
+)
+from review_pulse.llm.labelled import training_sample
 from review_pulse.llm.shared import held_out
 
 
@@ -26,6 +29,24 @@ def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def _predictions(scored: DataFrame, least: float) -> DataFrame:
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+        F.when(F.col("score") >= least, 1).otherwise(0).alias("predicted"))
+
+
+def op5_toxic_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    model = toxic_crf.fit(training_sample(documents, _table(spark, sf_dir, "labels"), "toxic"))
+    return _predictions(toxic_crf.scored(documents, model, ["doc_id"]), 0.5)
+
+
+def op6_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    model = byte_cnn.fit(training_sample(documents, _table(spark, sf_dir, "labels"), "quality"))
+    return _predictions(byte_cnn.scored(documents, model, ["doc_id"]), 0.3)
+
+
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.marked(_table(spark, sf_dir, "documents"), width=4, threshold=0.8)
 
@@ -50,6 +71,6 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_quality_rules, op3_source_mix, op4_exact_topk, op7_minhash_dedup, op8_byte_bpe, op9_language_id,
+    op2_quality_rules, op3_source_mix, op4_exact_topk, op5_toxic_crf, op6_byte_cnn, op7_minhash_dedup, op8_byte_bpe, op9_language_id,
     op10_chat_format,
 )}
