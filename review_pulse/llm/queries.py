@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from review_pulse.llm import (
-    byte_bpe, byte_cnn, chat_format, exact_topk, language_id, minhash_dedup, mixing, quality_rules, toxic_crf,
+    byte_bpe, byte_cnn, chat_format, exact_topk, language_id, masked_lm, minhash_dedup, mixing, quality_rules,
+    toxic_crf,
 )
 from review_pulse.llm.labelled import training_sample
 from review_pulse.llm.shared import held_out
@@ -17,6 +18,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    scored = masked_lm.scored(documents, masked_lm.train(documents), ["doc_id"])
+    return scored.withColumn("mean_log_prob", F.col("log_prob") / F.nullif(F.col("n_tokens"), F.lit(0)))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(_table(spark, sf_dir, "documents"), ["doc_id"])
 
@@ -71,6 +78,6 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_quality_rules, op3_source_mix, op4_exact_topk, op5_toxic_crf, op6_byte_cnn, op7_minhash_dedup, op8_byte_bpe, op9_language_id,
+    op1_masked_lm, op2_quality_rules, op3_source_mix, op4_exact_topk, op5_toxic_crf, op6_byte_cnn, op7_minhash_dedup, op8_byte_bpe, op9_language_id,
     op10_chat_format,
 )}
