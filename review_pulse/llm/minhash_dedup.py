@@ -2,11 +2,13 @@
 
 1. Each text becomes the set of its word shingles (64-bit hashes), 120 minima of universal hashes,
    and 24 band keys of five minima each. Equal sets are one vertex, the smallest id among them.
-2. In each band bucket every vertex is paired with the smallest one only. Pairs whose signatures
-   agree enough are confirmed on the full sets; connected components follow.
-3. Buckets that still hold several components are compared once more, all members of different
-   components, by their signatures, block by block inside a task; what agrees is confirmed on the
-   full sets. So no pair of texts that share a bucket stays untested unless it is connected already.
+2. In each bucket of the first bands every vertex is paired with the smallest one only. Pairs whose
+   signatures agree enough are confirmed on the full sets; connected components follow.
+3. Buckets of any band that still hold several components are compared once more, all members of
+   different components, by their signatures, block by block inside a task; members that agree with
+   one of another component meet again with their full sets, which give the links that join
+   components. Only members and joining links are written, never all pairs. So no pair of texts that share a bucket stays
+   untested unless it is connected already.
 
 Links: ``100 * intersection >= 100 * threshold * union`` of the sets, counted exactly. Two texts at
 the threshold of 0.8 miss all 24 buckets with a probability of 7e-5, more similar ones far less.
@@ -30,6 +32,7 @@ from review_pulse.llm import bytewise
 from review_pulse.llm.shared import remove, stored
 
 BANDS, ROWS = 24, 5
+STAR_BANDS = 8  # bands whose buckets are first joined through their smallest member
 MARGIN = 0.15  # four standard deviations of a signature's agreement at the threshold
 COMPARED = 1 << 22  # signature values compared at once
 _SEED = 20240101
@@ -180,35 +183,93 @@ def connected(edges: DataFrame) -> DataFrame:
         before = now
 
 
-def _across(groups: Iterator[pa.Table], least: float) -> Iterator[pa.RecordBatch]:
-    """Agreeing pairs of different components of one bucket, by blocks of its members."""
-    for table in groups:
-        order = np.argsort(table.column("id").to_numpy(), kind="stable")
-        ids, parts = (table.column(c).to_numpy()[order] for c in ("id", "component"))
-        values = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(len(ids), -1)[order]
-        step = max(1, COMPARED // max(1, values.size))
-        for low in range(0, len(ids), step):
-            mine = values[low : low + step]
-            agree = np.zeros((len(mine), len(ids)), np.uint8)
-            for k in range(values.shape[1]):
-                agree += mine[:, k : k + 1] == values[None, :, k]
-            x, y = np.nonzero((agree >= least * values.shape[1]) & (parts[low : low + step, None] != parts))
-            above = ids[x + low] > ids[y]
-            yield pa.RecordBatch.from_arrays([pa.array(ids[x + low][above]), pa.array(ids[y][above])], ["a", "b"])
-
-
-def _unmerged(members: DataFrame, components: DataFrame, signatures: DataFrame, least: float) -> DataFrame:
-    """Agreeing pairs that share a bucket and are in different components."""
-    placed = members.join(components, "id", "left").select(
-        "id", "bucket", F.coalesce("component", "id").alias("component"))
-    open_buckets = placed.groupBy("bucket").agg(
+class Bucket:
+    """The members of one bucket, by id, with their components and signatures."""
+
+    def __init__(self, rows: pa.Table) -> None:
+        self.table = rows.sort_by("id")
+        self.ids, self.parts = (self.table.column(c).to_numpy().copy() for c in ("id", "component"))
+        self.signatures = self._matrix("signature", np.uint32, BANDS * ROWS)
+
+    def _matrix(self, name: str, kind, width: int) -> np.ndarray:
+        return np.frombuffer(b"".join(self.table.column(name).to_pylist()), kind).reshape(-1, width)
+
+    def agreeing(self, least: float) -> Iterator[tuple[int, np.ndarray]]:
+        """Blocks of members, and which members of other components agree with each."""
+        step = max(1, COMPARED // max(1, self.signatures.size))
+        for low in range(0, len(self.ids), step):
+            mine = self.signatures[low : low + step]
+            agree = np.zeros((len(mine), len(self.ids)), np.uint8)
+            for k in range(self.signatures.shape[1]):
+                agree += mine[:, k : k + 1] == self.signatures[None, :, k]
+            yield low, (agree >= least * self.signatures.shape[1]) & (self.parts[low : low + step, None] != self.parts)
+
+
+def _open_members(group: pa.Table, least: float) -> pa.Table:
+    """The members of a bucket that agree with a member of another component."""
+    bucket = Bucket(group)
+    found = np.zeros(len(bucket.ids), bool)
+    for low, agree in bucket.agreeing(least):
+        found[low : low + len(agree)] = agree.any(1)
+    return bucket.table.select(["id", "bucket", "band", "component"]).filter(pa.array(found))
+
+
+def _bucket_links(group: pa.Table, least: float, threshold: float) -> pa.Table:
+    """Links between components of a bucket, confirmed on the full sets, until no more can join two.
+
+    A pair that shares the bucket of an earlier band is left to that bucket.
+    """
+    bucket = Bucket(group)
+    lists = bucket.table.column("values").combine_chunks()
+    starts, values = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)  # the order they are sorted in
+    sizes = np.diff(starts)
+    bands = np.array(bucket.table.column("bands").to_pylist(), np.int64)[:, : bucket.table.column("band")[0].as_py()]
+    links: list[tuple[int, int]] = []
+    for low, agree in bucket.agreeing(least):
+        for x in range(low, low + len(agree)):
+            others = np.flatnonzero(agree[x - low, :x] & (bucket.parts[:x] != bucket.parts[x]))
+            others = others[~(bands[others] == bands[x]).any(1)]
+            if not len(others):
+                continue
+            own = values[starts[x] : starts[x + 1]]
+            theirs = np.concatenate([values[starts[y] : starts[y + 1]] for y in others])
+            hits = own[np.minimum(np.searchsorted(own, theirs), len(own) - 1)] == theirs
+            common = np.add.reduceat(hits.astype(np.int64), np.cumsum(sizes[others]) - sizes[others])
+            for y in others[100 * common >= round(100 * threshold) * (sizes[x] + sizes[others] - common)]:
+                if bucket.parts[y] != bucket.parts[x]:
+                    links.append((int(bucket.ids[x]), int(bucket.ids[y])))
+                    bucket.parts[bucket.parts == bucket.parts[y]] = bucket.parts[x]
+    a, b = (pa.array([link[k] for link in links], pa.int64()) for k in (0, 1))
+    return pa.table({"a": a, "b": b})
+
+
+def _late_links(documents: DataFrame, members: DataFrame, components: DataFrame, vertices: DataFrame,
+                width: int, threshold: float) -> DataFrame:
+    """Confirmed links between members of one bucket that are in different components.
+
+    Full sets are sent only for members that agree with one of another component.
+    """
+    least = threshold - MARGIN
+    placed = _labelled(members, components)
+    buckets = placed.groupBy("bucket").agg(
         F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
-    inside = placed.join(open_buckets, "bucket").join(signatures.select("id", "signature"), "id")
+    inside = placed.join(buckets, "bucket").join(vertices.select("id", "signature"), "id")
+    agree = stored(inside.groupBy("bucket").applyInArrow(
+        lambda group: _open_members(group, least), "id long, bucket long, band int, component long"), "dedup-open")
+    asked = stored(agree.select("id").distinct(), "dedup-asked")
+    sets = stored(full_sets(documents, asked, width).dropDuplicates(["id", "values"]), "dedup-sets")
+    whole = vertices.join(asked, "id", "left_semi").join(sets, "id")
+    found = agree.join(whole, "id").groupBy("bucket").applyInArrow(
+        lambda group: _bucket_links(group, least, threshold), "a long, b long")
+    links = stored(found.distinct(), "dedup-links")
+    remove(sets)
+    return links
 
-    def run(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _across(iter([pa.Table.from_batches(list(group))]), least)
 
-    return inside.groupBy("bucket").applyInArrow(run, "a long, b long").distinct()
+def _labelled(rows: DataFrame, components: DataFrame) -> DataFrame:
+    """Rows with the component of their id, which is the id itself where it has no links."""
+    named = components.select("id", F.col("component").alias("linked"))
+    return rows.join(named, "id", "left").withColumn("component", F.coalesce("linked", "id")).drop("linked")
 
 
 def grouped(documents: DataFrame, width: int = 5, threshold: float = 0.8) -> DataFrame:
@@ -216,26 +277,28 @@ def grouped(documents: DataFrame, width: int = 5, threshold: float = 0.8) -> Dat
     rows = stored(signed(documents, width), "dedup-signed")
     least = threshold - MARGIN
     usable = rows.where("id is not null and n > 0")
-    classes = usable.groupBy("digest").agg(F.min("id").alias("low"))
-    linked = usable.select("id", "digest").join(classes, "digest").where("id <> low").select(
-        F.col("id").alias("a"), F.col("low").alias("b"))
-    same = stored(linked, "dedup-same")
-    vertices = usable.join(classes, (usable["id"] == classes["low"]) & (usable["digest"] == classes["digest"])).select(
-        "id", "signature", "bands")
-    vertices = stored(vertices.dropDuplicates(["id", "signature"]), "dedup-vertices")
-    spread = vertices.select("id", F.explode("bands").alias("bucket"))
+    classes = stored(usable.groupBy("digest").agg(F.min("id").alias("low")), "dedup-classes")
+    row_class = usable.select("id", "digest").join(classes, "digest").select("id", "low").distinct()
+    several = row_class.groupBy("id").agg(F.min("low").alias("b"), F.max("low").alias("high")).where("b <> high")
+    same_id = row_class.join(several, "id").select(F.col("low").alias("a"), "b")
+    vertices = stored(usable.join(classes, (usable["id"] == classes["low"]) & (usable["digest"] == classes["digest"])).select(
+        "id", "signature", "bands").dropDuplicates(["id", "signature"]), "dedup-vertices")
+    spread = vertices.select("id", F.posexplode("bands").alias("band", "bucket"))
     buckets = spread.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high")
-    members = stored(spread.join(buckets, "bucket").select("id", "bucket", "low"), "dedup-members")
+    members = stored(spread.join(buckets, "bucket").select("id", "band", "bucket", "low"), "dedup-members")
     signatures = vertices.select("id", "signature")
-    stars = members.where("id <> low").select(F.col("id").alias("a"), F.col("low").alias("b")).distinct()
-    pairs = stored(_agreeing(stars, signatures, least), "dedup-pairs")
-    found = _confirmed(documents, pairs.distinct(), width, threshold)
-    components = connected(found)
-    more = stored(_unmerged(members.select("id", "bucket"), components, signatures, least), "dedup-more")
-    links = found.union(_confirmed(documents, more, width, threshold)).union(same)
-    components = connected(links)
-    return rows.select("id", "n").join(components, "id", "left").select(
-        "id", "n", F.coalesce("component", "id").alias("component"))
+    stars = members.where((F.col("id") != F.col("low")) & (F.col("band") < STAR_BANDS)).select(
+        F.col("id").alias("a"), F.col("low").alias("b")).distinct()
+    pairs = stored(_agreeing(stars, signatures, least).distinct(), "dedup-pairs")
+    first = connected(_confirmed(documents, pairs, width, threshold).union(same_id))
+    late = _late_links(documents, members.select("id", "band", "bucket"), first, vertices, width, threshold)
+    late = _labelled(late.withColumnRenamed("a", "id"), first).select(F.col("component").alias("a"), F.col("b").alias("id"))
+    late = _labelled(late, first).select("a", F.col("component").alias("b"))
+    second = connected(late)
+    final = _labelled(_labelled(row_class.select(F.col("id").alias("row_id"), F.col("low").alias("id")), first).select(
+        "row_id", F.col("component").alias("id")), second)
+    final = final.groupBy(F.col("row_id").alias("id")).agg(F.min("component").alias("component"))
+    return _labelled(rows.select("id", "n"), final)
 
 
 def marked(documents: DataFrame, width: int = 5, threshold: float = 0.8) -> DataFrame:
