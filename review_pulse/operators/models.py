@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     LinearSVC,
@@ -28,8 +30,10 @@ LOGISTIC_PARAMS = {"maxIter": 20, "regParam": 0.1, "elasticNetParam": 0.5}
 
 FAMILIES = ("svm", "logistic", "forest")
 
-# Training rows that justify one more task per optimiser pass.
-ROWS_PER_TASK = 20_000
+
+def wants_rebalancing(family: str) -> bool:
+    """The logistic family weights the natural class mix instead."""
+    return family != "logistic"
 
 
 def _classifier(family: str, overrides: dict):
@@ -65,15 +69,19 @@ def prepare(reviews: DataFrame) -> DataFrame:
 
 
 def training_splits(
-    reviews: DataFrame, row_id: str = "review_id", order: str = "split_first"
+    reviews: DataFrame, row_id: str = "review_id", order: str = "split_first", rebalance: bool = True
 ) -> tuple[DataFrame, DataFrame]:
     """Rebalanced training rows, and the held-out rows; both with ``split`` and ``copy``.
 
     ``split_first`` rebalances the training rows only, so no copy of a training row is evaluated;
-    ``legacy`` rebalances everything and then splits copies independently.
+    ``legacy`` rebalances everything and then splits copies independently. Without ``rebalance``
+    the training rows are the rows of the split, one copy each.
     """
     prepared = prepare(reviews)
     is_train = F.col("split") == "train"
+    if not rebalance:
+        split = sampling.with_split(prepared, row_id).withColumn("copy", F.lit(1))
+        return split.where(is_train), split.where(~is_train)
     if order == "legacy":
         balanced = sampling.rebalance(prepared, row_id)
         copy_id = F.concat_ws("#", F.col(row_id), F.col("copy").cast("string"))
@@ -85,16 +93,6 @@ def training_splits(
     return sampling.rebalance(split.where(is_train), row_id), split.where(~is_train).withColumn("copy", F.lit(1))
 
 
-def sized(rows: DataFrame) -> DataFrame:
-    """Cached rows in no more partitions than their number justifies.
-
-    An optimiser runs hundreds of short jobs, where near-empty tasks cost more than they save.
-    Large inputs keep their partitions, and with them the cached blocks.
-    """
-    wanted = max(1, -(-rows.count() // ROWS_PER_TASK))
-    return rows.coalesce(wanted) if wanted < rows.rdd.getNumPartitions() else rows
-
-
 def _encode(train: DataFrame, front: list) -> tuple[PipelineModel, DataFrame]:
     """Fit the feature stages, and cache what the classifier reads.
 
@@ -119,15 +117,17 @@ def _training_columns(train: DataFrame, family: str) -> DataFrame:
     return train.select("lemmatized_text", "label")
 
 
-def fit(train: DataFrame, family: str = "svm", **overrides) -> PipelineModel:
+def fit(train: DataFrame, family: str = "svm", partitions: int | None = None, **overrides) -> PipelineModel:
     """Fit all stages and add one that turns the class index back into the class code.
 
+    ``partitions`` merges the encoded rows into fewer tasks for the optimiser's many short jobs.
+
     What is cached between passes is recomputed from its lineage should an executor be lost.
     """
     *front, classifier = stages(family, **overrides)
     encoder, encoded = _encode(_training_columns(train, family), front)
     try:
-        fitted = classifier.fit(sized(encoded))
+        fitted = classifier.fit(encoded if partitions is None else encoded.coalesce(partitions))
     finally:
         encoded.unpersist()
     return _assembled(encoder, fitted)
@@ -167,7 +167,7 @@ def train_and_evaluate(
     reviews: DataFrame, family: str = "svm", order: str = "split_first", **overrides
 ) -> tuple[PipelineModel, Evaluation]:
     """Fit on the training split and evaluate the other two."""
-    train, held_out = training_splits(reviews, order=order)
+    train, held_out = training_splits(reviews, order=order, rebalance=wants_rebalancing(family))
     model = fit(train, family, **overrides)
     return model, evaluate(score(model, held_out), "split")
 
@@ -188,7 +188,7 @@ def grid_search(train: DataFrame, family: str = "logistic", reg_params=(0.01, 0.
             seed=sampling.SPLIT_SEED,
             parallelism=len(grid),
         )
-        found = search.fit(sized(encoded))
+        found = search.fit(encoded)
     finally:
         encoded.unpersist()
     return _assembled(encoder, found.bestModel), [
@@ -202,15 +202,20 @@ def save(model: PipelineModel, path: str) -> None:
 
 def stored_models(spark: SparkSession, base: str) -> list[str]:
     """Sorted names of the models saved below ``base``, on any file system Spark can read."""
-    metadata = spark.read.format("binaryFile").load(f"{base.rstrip('/')}/*/metadata/part-*")
+    try:
+        metadata = spark.read.format("binaryFile").load(f"{base.rstrip('/')}/*/metadata/part-*")
+    except AnalysisException:  # no such path
+        return []
     name = F.regexp_extract("path", r"([^/]+)/metadata/[^/]+$", 1)
     return [row.name for row in metadata.select(name.alias("name")).distinct().orderBy("name").collect()]
 
 
 def resolve(spark: SparkSession, base: str, name: str | None = None) -> tuple[str, PipelineModel]:
-    """Load the named model, or the first by name when it is absent; fail when there is none."""
+    """Load the named model, or with a warning the first by name when it is absent; fail when there is none."""
     names = stored_models(spark, base)
     if not names:
         raise FileNotFoundError(f"no models below {base}")
     chosen = name if name in names else names[0]
+    if name is not None and chosen != name:
+        warnings.warn(f"no model {name!r} below {base}, using {chosen!r}", stacklevel=2)
     return chosen, PipelineModel.load(f"{base.rstrip('/')}/{chosen}")

@@ -14,8 +14,6 @@ from review_pulse.operators.profile import class_distribution
 # The majority class may be at most this many times the negative class.
 MAJORITY_FACTOR = 3
 SPLIT_SEED = 42
-# Copies made per task before the rest is spread over the cluster.
-COPIES_PER_STEP = 1_000
 
 
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
@@ -123,26 +121,13 @@ def keep_exact(df: DataFrame, plan: RebalancePlan, row_id: str, seed: int, label
 def oversample(df: DataFrame, plan: RebalancePlan, label: str = "label", copy_column: str = "copy") -> DataFrame:
     """Repeat minority rows; ``copy_column`` numbers the copies of a row from 1.
 
-    A single generator per row instead of a union per copy. Beyond ``COPIES_PER_STEP`` copies
-    the row is first split into steps that are spread over the cluster, so that a handful of
-    rows cannot fill one task.
+    A single generator per row instead of a union per copy.
     """
     copies = {code: plan.copies(code) for code in (NEGATIVE, NEUTRAL)}
     n = F.lit(1)
     for code, times in copies.items():
         n = F.when(F.col(label) == code, F.lit(times)).otherwise(n)
-    if max(copies.values()) <= COPIES_PER_STEP:
-        return df.withColumn(copy_column, F.explode(F.sequence(F.lit(1), n)))
-    step = F.lit(COPIES_PER_STEP)
-    minority = F.col(label).isin(*copies)
-    steps = df.where(minority).withColumn("__copies", n).withColumn(
-        "__first", F.explode(F.sequence(F.lit(1), F.col("__copies"), step))
-    )
-    spread = steps.repartition(F.xxhash64(*df.columns, "__first"))
-    last = F.least(F.col("__copies"), F.col("__first") + step - 1)
-    copied = spread.withColumn(copy_column, F.explode(F.sequence(F.col("__first"), last)))
-    rest = df.where(~minority).withColumn(copy_column, F.lit(1))
-    return rest.unionByName(copied.drop("__copies", "__first"))
+    return df.withColumn(copy_column, F.explode(F.sequence(F.lit(1), n)))
 
 
 def rebalance(

@@ -376,7 +376,8 @@ def overall_metrics(spark, sf_dir):
 
 def _fitted(spark: SparkSession, sf_dir: str, family: str):
     """A model fitted on the training split, and the other rows."""
-    train, held_out = models.training_splits(views.curated(spark, sf_dir))
+    train, held_out = models.training_splits(
+        views.curated(spark, sf_dir), rebalance=models.wants_rebalancing(family))
     return models.fit(train, family), held_out
 
 
@@ -411,7 +412,7 @@ def model_metrics(spark, sf_dir):
 
 @query
 def grid_search(spark, sf_dir):
-    train, _ = models.training_splits(views.curated(spark, sf_dir))
+    train, _ = models.training_splits(views.curated(spark, sf_dir), rebalance=False)
     _, scores = models.grid_search(train, folds=2)
     return spark.createDataFrame(scores, "reg_param double, f1 double")
 

@@ -16,20 +16,18 @@ from review_pulse.streaming import refresh, scoring
 
 
 def _row_key() -> Column:
-    """The id a review brought along, else a digest of its content."""
-    content = F.concat_ws("|", "reviewerID", "asin", "reviewTime", "reviewText")
-    return F.coalesce(F.col("review_id"), F.md5(content))
+    """The id a review brought along, else a digest of all its fields, NULLs and rating included."""
+    fields = F.struct("reviewerID", "asin", "reviewTime", "reviewText", F.col("overall").cast("string").alias("overall"))
+    return F.coalesce(F.col("review_id"), F.md5(F.to_json(fields, {"ignoreNullFields": "false"}).cast("binary")))
 
 
-def curate(raw: DataFrame, max_chars: int | None = None) -> DataFrame:
+def curate(raw: DataFrame) -> DataFrame:
     """Raw reviews to curated rows: cleaned, normalised, labelled, unlabelled rows dropped.
 
-    Narrow throughout: no row leaves its partition. Texts are processed whole unless
-    ``max_chars`` sets a cap on what is normalised.
+    Narrow throughout: no row leaves its partition. Texts are processed whole.
     """
     cleaned = raw.withColumn("cleaned_text", text.with_placeholder(text.clean_batch(F.col("reviewText"))))
-    bounded = F.col("cleaned_text") if max_chars is None else text.cap(F.col("cleaned_text"), max_chars)
-    labelled = valid_labels(with_label(cleaned.withColumn("lemmatized_text", lexicon.lemmatize(bounded))))
+    labelled = valid_labels(with_label(cleaned.withColumn("lemmatized_text", lexicon.lemmatize(F.col("cleaned_text")))))
     return labelled.select(
         _row_key().alias("review_id"),
         F.col("reviewerID").alias("reviewer_id"),
@@ -49,6 +47,9 @@ def run_curate(spark: SparkSession, source: str, target: str, csv: str | None =
     profile.histogram(raw).show()
     tables.write_curated(curate(raw), target)
     stored = tables.read_curated(spark, target)
+    read, texts, malformed = raw.agg(F.count("*"), F.count("reviewText"), F.count(schemas.CORRUPT)).first()
+    kept = stored.count()
+    print(f"read {read}, malformed {malformed}, without text {read - texts}, kept {kept}, without a class {read - kept}")
     profile.class_distribution(stored).show()
     if csv:
         tables.write_csv(stored.select(*schemas.CURATED_CSV.names), csv)
@@ -60,7 +61,7 @@ def run_train(
 ) -> models.Evaluation:
     """Fit, evaluate and save; the test rows are exported as messages that can be replayed."""
     curated = tables.read_curated(spark, source)
-    train, held_out = models.training_splits(curated, order=order)
+    train, held_out = models.training_splits(curated, order=order, rebalance=models.wants_rebalancing(family))
     model = models.fit(train, family)
     models.save(model, model_path)
     if test_export:

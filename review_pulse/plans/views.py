@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from review_pulse.functions.labels import NEUTRAL, rating_label
 from review_pulse.plans.jobs import curate
 from review_pulse.sources import messages
-from review_pulse.sources.tables import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,7 +16,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents"))
+    return table(spark, sf_dir, "documents")
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:

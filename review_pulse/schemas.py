@@ -8,7 +8,7 @@ CORRUPT = "_corrupt_record"
 
 REVIEW = T.StructType([
     T.StructField("reviewText", T.StringType()),
-    T.StructField("overall", T.DoubleType()),
+    T.StructField("overall", T.StringType()),
     T.StructField("reviewTime", T.StringType()),
     T.StructField("reviewerID", T.StringType()),
     T.StructField("asin", T.StringType()),

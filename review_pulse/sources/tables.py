@@ -7,16 +7,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from review_pulse import schemas
+from review_pulse.functions.labels import parse_rating
 
 
 def read_reviews(spark: SparkSession, path: str) -> DataFrame:
-    """Raw reviews from JSON lines under a fixed schema; bad lines land in ``_corrupt_record``."""
-    return (
+    """Raw reviews from JSON lines under a fixed schema; bad lines land in ``_corrupt_record``.
+
+    Ratings may be numbers or text: they are read as text and parsed.
+    """
+    raw = (
         spark.read.schema(schemas.REVIEW)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", schemas.CORRUPT)
         .json(path)
     )
+    return raw.withColumn("overall", parse_rating(F.col("overall")))
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:
@@ -51,30 +56,21 @@ def fill_missing_text(df: DataFrame, column: str = "lemmatized_text") -> DataFra
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
-    """Scored reviews of every batch, with ``batch_id`` and ``ingest_date`` as partition columns."""
+    """Scored reviews of every batch; ``stream``, ``batch_id`` and ``ingest_date`` are folders."""
+    return read_batch(spark, path, path)
+
+
+def read_batch(spark: SparkSession, path: str, folder: str) -> DataFrame:
+    """Scored reviews of one folder below ``path``; no other folder is listed."""
     schema = T.StructType([
         *schemas.PREDICTIONS.fields,
+        T.StructField("stream", T.StringType()),
         T.StructField("batch_id", T.LongType()),
         T.StructField("ingest_date", T.DateType()),
     ])
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).option("basePath", path).parquet(folder)
 
 
 def line_count(spark: SparkSession, path: str) -> DataFrame:
     """Number of lines below a path, as a one-row table."""
     return spark.read.text(path).agg(F.count("*").alias("lines"))
-
-
-# A table read in at most this many pieces is small (some 2 GB at Spark's default piece size).
-SMALL_TABLE_PIECES = 16
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of a small table before expensive row work.
-
-    Only a table read in fewer pieces than there are cores, and few enough to be small, is
-    redistributed; anything larger is returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    pieces = df.rdd.getNumPartitions()
-    return df.repartition(cores) if pieces < min(cores, SMALL_TABLE_PIECES) else df

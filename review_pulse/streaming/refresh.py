@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from review_pulse.functions.labels import CLASS_NAMES
 from review_pulse.operators import marts
-from review_pulse.sources.tables import read_predictions
+from review_pulse.sources.tables import read_batch
+from review_pulse.streaming.scoring import batch_path
 
-# Fixed value: rows a pushed "recent reviews" panel shows.
+# Fixed value: rows a pushed "recent reviews" panel shows; wider panels read the predictions.
 RECENT_ROWS = 15
 
 
@@ -33,14 +34,17 @@ def daily_counts(predictions: DataFrame) -> DataFrame:
 def refresh(predictions_path: str, marts_path: str):
     """A callback for :func:`score_stream` that writes the partial results of the stored batch."""
 
-    def run(spark: SparkSession, batch_id: int) -> None:
-        batch = read_predictions(spark, predictions_path).where(F.col("batch_id") == batch_id)
-        refresh_from(batch, batch_id, marts_path)
+    def run(spark: SparkSession, stream: str, batch_id: int) -> None:
+        batch = read_batch(spark, predictions_path, batch_path(predictions_path, stream, batch_id)).persist()
+        try:
+            refresh_from(batch, stream, batch_id, marts_path)
+        finally:
+            batch.unpersist()
 
     return run
 
 
-def refresh_from(batch: DataFrame, batch_id: int, marts_path: str) -> None:
+def refresh_from(batch: DataFrame, stream: str, batch_id: int, marts_path: str) -> None:
     partials = {
         "daily": daily_counts(batch),
         "reviewers": marts.tallies_by(batch, "reviewer_id"),
@@ -50,7 +54,7 @@ def refresh_from(batch: DataFrame, batch_id: int, marts_path: str) -> None:
         ),
     }
     for name, partial in partials.items():
-        partial.write.mode("overwrite").parquet(f"{marts_path}/{name}/batch_id={batch_id}")
+        partial.write.mode("overwrite").parquet(batch_path(f"{marts_path}/{name}", stream, batch_id))
 
 
 def _read(spark: SparkSession, marts_path: str, name: str) -> DataFrame:
@@ -148,7 +152,8 @@ def panels(
         "sentiment_counts": sentiment_counts(spark, marts_path),
         "sentiment_share": marts.shares(sentiment_counts(spark, marts_path)),
         "sentiment_trend": sentiment_trend(spark, predictions, marts_path, moment, days_back),
-        "recent_reviews": recent_reviews(spark, marts_path, min(limit, RECENT_ROWS)),
+        "recent_reviews": recent_reviews(spark, marts_path, limit)
+        if limit <= RECENT_ROWS else marts.recent_reviews(predictions, limit),
         "top_reviewers": top_reviewers(spark, marts_path, limit),
         "top_products": top_products(spark, marts_path, limit),
         "store_stats": store_stats(spark, marts_path),

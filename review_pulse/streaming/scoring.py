@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
@@ -16,7 +17,7 @@ from review_pulse.sources import messages
 
 Scorer = Callable[[DataFrame], DataFrame]
 Normaliser = Callable[[Column], Column]
-AfterBatch = Callable[[SparkSession, int], None]
+AfterBatch = Callable[[SparkSession, str, int], None]
 Report = Callable[[int, dict], None]
 
 
@@ -54,10 +55,33 @@ def to_predictions(scored: DataFrame) -> DataFrame:
     )
 
 
-def write_batch(predictions: DataFrame, batch_id: int, path: str) -> None:
+def batch_path(path: str, stream: str, batch_id: int) -> str:
+    """The folder of one batch of one stream: batch numbers start anew with every checkpoint."""
+    return f"{path}/stream={stream}/batch_id={batch_id}"
+
+
+def write_batch(predictions: DataFrame, stream: str, batch_id: int, path: str) -> None:
     """Replace the folder of this batch, so that a replayed batch leaves no second copy."""
     dated = predictions.withColumn("ingest_date", F.to_date("ingestion_time"))
-    dated.write.mode("overwrite").partitionBy("ingest_date").parquet(f"{path}/batch_id={batch_id}")
+    dated.write.mode("overwrite").partitionBy("ingest_date").parquet(batch_path(path, stream, batch_id))
+
+
+def start_batches(writer, handle: Callable[[DataFrame, str, int], None], trigger: dict | None) -> StreamingQuery:
+    """Start a query whose batches are handled together with the stream's id.
+
+    Spark keeps that id in the checkpoint: it outlives restarts and differs between checkpoints.
+    """
+    running: list[StreamingQuery] = []
+    started = threading.Event()
+
+    def identified(batch: DataFrame, batch_id: int) -> None:
+        started.wait()
+        handle(batch, str(running[0].id), batch_id)
+
+    writer = writer.foreachBatch(identified)
+    running.append((writer.trigger(**trigger) if trigger else writer).start())
+    started.set()
+    return running[0]
 
 
 def land(
@@ -66,25 +90,28 @@ def land(
     path: str,
     checkpoint: str,
     after_batch: AfterBatch | None = None,
-    side_output: Callable[[DataFrame, int], None] | None = None,
+    side_output: Callable[[DataFrame, str, int], None] | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Turn each micro-batch into predictions and store it; empty batches are skipped.
 
-    ``side_output`` sees the raw batch; ``after_batch`` runs once the batch is stored.
+    The batch is kept while it is handled, so that its source is read once. ``side_output`` sees the raw batch; ``after_batch`` runs once the batch is stored.
     """
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        write_batch(transform(batch), batch_id, path)
-        if side_output:
-            side_output(batch, batch_id)
+    def handle(batch: DataFrame, stream_id: str, batch_id: int) -> None:
+        batch.persist()
+        try:
+            if batch.isEmpty():
+                return
+            write_batch(transform(batch), stream_id, batch_id, path)
+            if side_output:
+                side_output(batch, stream_id, batch_id)
+        finally:
+            batch.unpersist()
         if after_batch:
-            after_batch(batch.sparkSession, batch_id)
+            after_batch(batch.sparkSession, stream_id, batch_id)
 
-    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
-    return (writer.trigger(**trigger) if trigger else writer).start()
+    return start_batches(stream.writeStream.option("checkpointLocation", checkpoint), handle, trigger)
 
 
 def score_stream(
@@ -108,16 +135,16 @@ def score_stream(
             decoded = decoded.observe(observed["batch"], *messages.message_counts())
         return to_predictions(scorer(preprocess(decoded, normalise)))
 
-    def stored(spark: SparkSession, batch_id: int) -> None:
+    def stored(spark: SparkSession, stream_id: str, batch_id: int) -> None:
         if report:
             report(batch_id, observed.pop("batch").get)
         if after_batch:
-            after_batch(spark, batch_id)
+            after_batch(spark, stream_id, batch_id)
 
-    def refuse(batch: DataFrame, batch_id: int) -> None:
+    def refuse(batch: DataFrame, stream_id: str, batch_id: int) -> None:
         refused = messages.quarantined(messages.decode(batch))
         refused.select(F.col(schemas.CORRUPT).alias("value")).write.mode("overwrite").parquet(
-            f"{quarantine}/batch_id={batch_id}"
+            batch_path(quarantine, stream_id, batch_id)
         )
 
     return land(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from review_pulse.operators import marts
+from review_pulse.streaming.scoring import batch_path, start_batches
 
 
 def windowed_counts(stream: DataFrame, lateness: str = "1 day") -> DataFrame:
@@ -27,22 +28,19 @@ def windowed_counts(stream: DataFrame, lateness: str = "1 day") -> DataFrame:
 def start(
     stream: DataFrame, path: str, checkpoint: str, lateness: str = "1 day", trigger: dict | None = None
 ) -> StreamingQuery:
-    """Store the days each micro-batch changed, in a folder per batch."""
+    """Store the days each micro-batch changed, in a folder per stream and batch."""
 
-    def handle(changed: DataFrame, batch_id: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    def handle(changed: DataFrame, stream_id: str, batch_id: int) -> None:
+        changed.write.mode("overwrite").parquet(batch_path(path, stream_id, batch_id))
 
-    writer = (
-        windowed_counts(stream, lateness)
-        .writeStream.outputMode("update")
-        .foreachBatch(handle)
-        .option("checkpointLocation", checkpoint)
-    )
-    return (writer.trigger(**trigger) if trigger else writer).start()
+    writer = windowed_counts(stream, lateness).writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+    return start_batches(writer, handle, trigger)
 
 
 def current(spark: SparkSession, path: str) -> DataFrame:
-    """The latest version of every day."""
+    """The latest version of every day of each stream, summed over streams."""
     versions = spark.read.parquet(path)
-    latest = F.max_by(F.struct("negative", "neutral", "positive"), "batch_id").alias("v")
-    return versions.groupBy("day").agg(latest).select("day", "v.*")
+    names = ("negative", "neutral", "positive")
+    latest = F.max_by(F.struct(*names), "batch_id").alias("v")
+    newest = versions.groupBy("stream", "day").agg(latest)
+    return newest.groupBy("day").agg(*[F.sum(F.col("v")[n]).alias(n) for n in names])

@@ -62,12 +62,24 @@ def test_from_raw_reviews_to_the_dashboard(spark, tmp_path, capsys):
         assert list(map(tuple, kept[name].collect())) == list(map(tuple, panel.collect())), name
 
 
-def test_texts_are_whole_unless_a_cap_is_asked_for(spark):
+def test_texts_are_whole(spark):
     long = " ".join(["word"] * 30_000)
-    raw = spark.createDataFrame([(long, 5.0, None, "r", "a", "1", None)], schemas.REVIEW)
+    raw = spark.createDataFrame([(long, "5", None, "r", "a", "1", None)], schemas.REVIEW)
     assert len(jobs.curate(raw).first().lemmatized_text) == len(long)
-    capped = jobs.curate(raw, max_chars=100_000).first()
-    assert len(capped.lemmatized_text) == 99_999 and len(capped.cleaned_text) == len(long)
+
+
+def test_ratings_given_as_text(spark, tmp_path):
+    ratings = ['"5"', "5", '"2.9"', '"abc"', "null"]
+    lines = [f'{{"reviewText":"t{i}","overall":{r}}}' for i, r in enumerate(ratings)]
+    (tmp_path / "raw.json").write_text("\n".join(lines))
+    got = jobs.curate(tables.read_reviews(spark, str(tmp_path / "raw.json"))).select("review_text", "overall", "label")
+    assert sorted(map(tuple, got.collect())) == [("t0", 5.0, 2), ("t1", 5.0, 2), ("t2", 2.9, 0)]
+
+
+def test_different_reviews_have_different_ids(spark):
+    rows = [("same", "5", None, "r", None, None, None), ("same", "1", None, "r", None, None, None),
+            ("same", "5", "r", None, None, None, None)]
+    assert jobs.curate(spark.createDataFrame(rows, schemas.REVIEW)).select("review_id").distinct().count() == 3
 
 
 def test_command_line_covers_every_job():

@@ -86,11 +86,3 @@ def test_scratch_follows_the_configured_folder(spark):
     assert shared_dir(spark) == base
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert first.startswith(base) and first != second
-
-
-def test_spread_leaves_large_tables_alone(spark):
-    cores = spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 100, 1, cores + 2)
-    assert tables.spread(wide) is wide
-    assert tables.spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == cores
-    assert tables.spread(spark.range(0, 100, 1, 1)).agg(F.sum("id")).first()[0] == 4950

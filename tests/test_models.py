@@ -1,5 +1,4 @@
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from review_pulse.operators import models
@@ -55,9 +54,15 @@ def test_training_splits(spark, order):
         assert rows.where((F.col("split") != "train") & (F.col("copy") > 1)).count() == 0
 
 
+def test_logistic_training_keeps_the_natural_mix(spark):
+    rows = reviews(spark, (60, 40, 300))
+    train, held_out = models.training_splits(rows, rebalance=models.wants_rebalancing("logistic"))
+    assert train.count() + held_out.count() == 400 and train.select("review_id").distinct().count() == train.count()
+
+
 def test_save_resolve_and_evaluate(spark, tmp_path):
     base = str(tmp_path)
-    with pytest.raises((FileNotFoundError, AnalysisException)):
+    with pytest.raises(FileNotFoundError):
         models.resolve(spark, base)
     model, result = models.train_and_evaluate(reviews(spark, (60, 60, 80)), "logistic", regParam=0.01)
     assert {r.split for r in result.overall.collect()} == {"validation", "test"}

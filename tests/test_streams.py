@@ -98,7 +98,7 @@ def test_mart_trend_cuts_both_end_days(spark, tmp_path):
         rows, "review_id string, reviewer_id string, asin string, predicted_label int,"
         " ingestion_time timestamp, lemmatized_text string",
     )
-    refresh.refresh_from(stored, 0, str(tmp_path))
+    refresh.refresh_from(stored, "s", 0, str(tmp_path))
     for as_of in (dt.datetime(2024, 1, 5, 7), dt.datetime(2024, 1, 3, 0), dt.datetime(2024, 1, 9)):
         quick = refresh.sentiment_trend(spark, stored, str(tmp_path), as_of, 3)
         full = marts.sentiment_trend(stored, as_of, 3)
@@ -109,13 +109,35 @@ def test_replayed_batch_replaces_itself(spark, paths):
     batch = messages.encode(reviews(spark, 0, 5))
     rows = scoring.to_predictions(by_length(scoring.preprocess(messages.decode(batch))))
     for _ in range(2):
-        scoring.write_batch(rows, 7, paths["predictions"])
+        scoring.write_batch(rows, "s", 7, paths["predictions"])
         stored = tables.read_predictions(spark, paths["predictions"])
-        refresh.refresh_from(stored, 7, paths["marts"])
+        refresh.refresh_from(stored, "s", 7, paths["marts"])
     assert stored.count() == 5
     assert refresh.store_stats(spark, paths["marts"]).first().total_predictions == 5
 
 
+def test_two_checkpoints_into_one_target_keep_all_rows(spark, paths):
+    messages.encode(reviews(spark, 0, 5)).select("value").write.mode("append").text(paths["messages"])
+    for checkpoint in ("a", "b"):
+        scoring.await_all([scoring.score_stream(
+            messages.read_stream(spark, "text", path=paths["messages"]), by_length, paths["predictions"],
+            paths["checkpoint"] + checkpoint, trigger=ONE_PASS,
+            after_batch=refresh.refresh(paths["predictions"], paths["marts"]))])
+    stored = tables.read_predictions(spark, paths["predictions"])
+    assert stored.count() == 10 and stored.select("stream").distinct().count() == 2
+    assert refresh.store_stats(spark, paths["marts"]).first().total_predictions == 10
+
+
+def test_wide_recent_panel_is_whole(spark, paths):
+    rows = scoring.to_predictions(by_length(scoring.preprocess(messages.decode(messages.encode(reviews(spark, 0, 40))))))
+    scoring.write_batch(rows, "s", 0, paths["predictions"])
+    stored = tables.read_predictions(spark, paths["predictions"])
+    refresh.refresh_from(stored, "s", 0, paths["marts"])
+    wide = refresh.panels(spark, stored, paths["marts"], limit=30)["recent_reviews"]
+    assert sorted(map(str, wide.collect())) == sorted(map(str, marts.recent_reviews(stored, 30).collect()))
+    assert wide.count() == 30
+
+
 TIMED = "predicted_label int, ingestion_time timestamp"
 
 
