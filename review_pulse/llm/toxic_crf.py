@@ -32,6 +32,7 @@ BLOCK = 64
 MIN_LIFT = 3.0  # log of how much more frequent in toxic documents
 MIN_SHARE = 0.02  # of the toxic documents of the sample
 SPAN_AT = 0.5
+RATE = 1.0
 
 
 @dataclass
@@ -206,14 +207,14 @@ def fit_chain(model: Model, column: pa.Array, y: np.ndarray, rounds: int) -> Non
         for (w, place), square, penalty in zip(tables, squares, penalties):
             step = np.bincount(place, error, len(w)) - penalty * w
             square += step**2
-            w += 0.5 * step / np.sqrt(square)
+            w += RATE * step / np.sqrt(square)
         shared[0] = 0
         step = observed - expected - 0.1 * transition
         step[0, 0] = 0
         transition_squares += step**2
-        transition += 0.5 * step / np.sqrt(transition_squares)
+        transition += RATE * step / np.sqrt(transition_squares)
         bias_square += error.sum() ** 2
-        model.bias += 0.5 * error.sum() / np.sqrt(bias_square)
+        model.bias += RATE * error.sum() / np.sqrt(bias_square)
     model.word[words] = tables[0][0]
     model.before[:], model.after[:] = tables[1][0], tables[2][0]
     model.stems[:] = shared
