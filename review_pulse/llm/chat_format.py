@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from review_pulse.llm.shared import nullable
+
 # each: path of a list, with the fields of role and text; turns: (role, field) in order, "?" if it may lack
 MAPPINGS: dict[str, dict[str, Any]] = {
     "messages": {"each": "messages", "role": "role", "text": "content"},
@@ -158,7 +160,7 @@ def canonical(records: DataFrame, record_id: str, record: str = "record",
     pairs = records.select(F.struct(record_id).alias("kept"), F.col(record).alias("r"))
     schema = pairs.select("kept", F.lit("").alias("layout"), F.array(F.struct(
         F.lit("").alias("role"), F.lit("").alias("text"))).alias("turns")).schema
-    return pairs.mapInArrow(run, schema).select("kept.*", "layout", "turns")
+    return pairs.mapInArrow(run, nullable(schema)).select("kept.*", "layout", "turns")
 
 
 def formatted(canonical_turns: DataFrame, record_id: str) -> DataFrame:
@@ -176,7 +178,7 @@ def formatted(canonical_turns: DataFrame, record_id: str) -> DataFrame:
     pairs = canonical_turns.select(F.struct(record_id).alias("kept"), "turns")
     schema = pairs.select("kept", F.lit("").alias("formatted"), F.array(F.struct(
         F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("end"))).alias("loss_mask")).schema
-    return pairs.mapInArrow(run, schema).select("kept.*", "formatted", "loss_mask")
+    return pairs.mapInArrow(run, nullable(schema)).select("kept.*", "formatted", "loss_mask")
 
 
 def digests(formatted_texts: DataFrame, record_id: str) -> DataFrame:
@@ -203,7 +205,7 @@ def digests(formatted_texts: DataFrame, record_id: str) -> DataFrame:
     long, text = F.lit(0).cast("long"), F.lit("")
     schema = pairs.select("kept", long.alias("n_turns"), text.alias("turns_sha256"), long.alias("loss_chars"),
                           text.alias("loss_sha256"), long.alias("formatted_chars")).schema
-    return pairs.mapInArrow(run, schema).select("kept.*", *schema.names[1:])
+    return pairs.mapInArrow(run, nullable(schema)).select("kept.*", *schema.names[1:])
 
 
 def as_records(turn_rows: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from review_pulse.session import scratch_path
 
@@ -33,6 +34,11 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def nullable(schema: T.StructType) -> T.StructType:
+    """``schema`` with every column allowed to be NULL."""
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
+
+
 def packed(df: DataFrame) -> DataFrame:
     """``df`` with all its columns once more in ``whole_row``, safe from columns added later."""
     return df.withColumn("whole_row", F.struct(*[F.col(f"`{c}`") for c in df.columns]))
