@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
     IDF,
     CountVectorizer,
+    CountVectorizerModel,
     ElementwiseProduct,
     HashingTF,
     NGram,
@@ -17,7 +20,7 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Sizes of the hashed feature spaces and of the vocabulary.
@@ -40,40 +43,62 @@ def idf_terms(df: DataFrame, words: str) -> DataFrame:
     return frequency.withColumn("idf", F.log((total + 1.0) / (F.col("doc_freq") + 1.0)))
 
 
-def term_counts(df: DataFrame, row_id: str, words: str) -> DataFrame:
-    """Occurrences per (row, term).
+def kept_terms(words: str) -> Column:
+    return F.filter(F.col(words), lambda w: F.length(w) >= MIN_TERM_CHARS)
+
+
+def vocabulary(df: DataFrame, words: str, size: int = VOCABULARY_SIZE) -> DataFrame:
+    """The ``size`` terms with most occurrences (ties by term), and the rows that hold each.
 
-    Rows are co-located by id before the words are exploded: text moves once, and this grouping
-    as well as later per-row steps need no further exchange. Short words are dropped inside the
-    array: exploding the bare column lets Spark infer a size filter, which would repeat the
-    expressions that made the words.
+    A row contributes every occurrence and, once more, every distinct term; only sums are shuffled.
     """
-    kept = F.filter(F.col(words), lambda w: F.length(w) >= MIN_TERM_CHARS)
-    exploded = df.repartition(row_id).select(row_id, F.explode(kept).alias("term"))
-    return exploded.groupBy(row_id, "term").agg(F.count("*").alias("tf"))
+    kept = kept_terms(words)
 
+    def tagged(terms: Column, occurrence: int, row: int) -> Column:
+        return F.transform(terms, lambda t: F.struct(
+            t.alias("term"), F.lit(occurrence).alias("occurrence"), F.lit(row).alias("row")))
 
-def vocabulary(counts: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:
-    """The ``size`` terms with most occurrences (ties by term) out of :func:`term_counts`."""
-    totals = counts.groupBy("term").agg(F.sum("tf").alias("total_tf"), F.count("*").alias("doc_freq"))
+    entries = df.select(F.inline(F.concat(tagged(kept, 1, 0), tagged(F.array_distinct(kept), 0, 1))))
+    totals = entries.groupBy("term").agg(F.sum("occurrence").alias("total_tf"), F.sum("row").alias("doc_freq"))
     return totals.orderBy(F.desc("total_tf"), F.asc("term")).limit(size)
 
 
+def nonzero(vector: Column) -> Column:
+    """``array<struct<index, value>>`` of the non-zero entries of a vector, in order of index.
+
+    The vector's own fields are read from its JSON form, so that sparse ones are never widened.
+    """
+    fields = F.from_json(F.to_json(F.struct(vector.alias("v"))), "v struct<indices: array<int>, values: array<double>>")
+    return F.transform(F.array(fields["v"]), lambda v: F.filter(
+        F.zip_with(
+            F.coalesce(v["indices"], F.transform(v["values"], lambda _, k: k)), v["values"],
+            lambda k, x: F.struct(k.alias("index"), x.alias("value"))),
+        lambda entry: entry["value"] != 0))[0]
+
+
 def vocab_tfidf(df: DataFrame, row_id: str, words: str, size: int = VOCABULARY_SIZE) -> DataFrame:
     """Smoothed TF-IDF over the top terms, each row scaled to unit length: (row, term, tf, tfidf).
 
-    The vocabulary is at most ``size`` rows, which bounds both the broadcast and the per-row
-    window. Both branches read the same exchange of the text.
+    Only term totals are shuffled. The vocabulary, ``size`` terms at most, is read back and counted
+    against each row in place, so rows that share an id stay apart.
     """
-    total = df.agg(F.count("*")).scalar()
-    idf = F.log((total + 1.0) / (F.col("doc_freq") + 1.0)) + 1.0
-    counts = term_counts(df, row_id, words)
-    terms = vocabulary(counts, size).select("term", idf.alias("idf"))
-    weighted = counts.join(F.broadcast(terms), "term").select(
-        row_id, "term", "tf", (F.col("tf") * F.col("idf")).alias("raw")
-    )
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(row_id)))
-    return weighted.select(row_id, "term", "tf", (F.col("raw") / norm).alias("tfidf"))
+    spark = df.sparkSession
+    rows = df.count()
+    found = vocabulary(df, words, size).collect()
+    if not found:
+        return df.select(row_id, F.lit("").alias("term"), F.lit(0).cast("long").alias("tf"), F.lit(0.0).alias("tfidf")).limit(0)
+    terms = [r["term"] for r in found]
+    idf = [math.log((rows + 1.0) / (r["doc_freq"] + 1.0)) + 1.0 for r in found]
+    counter = CountVectorizerModel.from_vocabulary(terms, inputCol="kept_terms", outputCol="term_counts")
+    counted = counter.transform(df.select(row_id, kept_terms(words).alias("kept_terms"))).select(
+        row_id, nonzero(F.col("term_counts")).alias("entries"))
+    weights = spark.createDataFrame([(k, t, w) for k, (t, w) in enumerate(zip(terms, idf))], "index int, term string, idf double")
+    lookup = F.array(*[F.lit(w) for w in idf])
+    raw = counted.withColumn("norm", F.sqrt(F.aggregate(
+        F.transform("entries", lambda e: F.pow(e["value"] * F.element_at(lookup, e["index"] + 1), F.lit(2))),
+        F.lit(0.0), lambda total, x: total + x)))
+    return raw.select(row_id, "norm", F.inline("entries")).join(F.broadcast(weights), "index").select(
+        row_id, "term", F.col("value").cast("long").alias("tf"), (F.col("value") * F.col("idf") / F.col("norm")).alias("tfidf"))
 
 
 def label_index_frequency(df: DataFrame, label: str = "label") -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     LinearSVC,
     LogisticRegression,
+    LogisticRegressionModel,
     OneVsRest,
     RandomForestClassifier,
 )
@@ -210,6 +211,27 @@ def grid_search(train: DataFrame, family: str = "logistic", reg_params=(0.01, 0.
     ]
 
 
+def evaluator_metrics(scored: DataFrame, code: float) -> list[float]:
+    """Precision, recall and F1 of one class by MLlib's evaluator, over ``label`` and ``prediction``."""
+    judge = MulticlassClassificationEvaluator(labelCol="label", metricLabel=code)
+    return [judge.evaluate(scored, {judge.metricName: name})
+            for name in ("precisionByLabel", "recallByLabel", "fMeasureByLabel")]
+
+
+def logistic_stage(model: PipelineModel) -> LogisticRegressionModel:
+    return next(s for s in model.stages if isinstance(s, LogisticRegressionModel))
+
+
+def logistic_margins(model: PipelineModel) -> tuple[list[tuple[int, list[float]]], list[float], list[str]]:
+    """Non-zero coefficients by feature, intercepts, and the class name of each margin."""
+    fitted = logistic_stage(model)
+    weights = fitted.coefficientMatrix.toArray()
+    used = weights.any(axis=0).nonzero()[0]
+    names = next(s for s in model.stages if isinstance(s, IndexToString)).getLabels()
+    return ([(int(k), weights[:, k].tolist()) for k in used], fitted.interceptVector.toArray().tolist(),
+            list(names)[: fitted.numClasses])
+
+
 def save(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import IDF, HashingTF
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -313,17 +313,17 @@ def vocab_tfidf(spark, sf_dir):
 def hashed_features(spark, sf_dir):
     """Hashed word, bigram and trigram counts per document, summed per block of the vector."""
     rows = _words(spark, sf_dir)
-    stages = [s for s in features.ngram_tfidf_stages() if s.__class__.__name__ != "IDF"]
+    stages = [s for s in features.ngram_tfidf_stages() if not isinstance(s, IDF)]
     hashed = Pipeline(stages=stages).fit(rows).transform(rows)
+    dimensions = sum(s.getNumFeatures() for s in stages if isinstance(s, HashingTF))
 
     def block(column: str) -> Column:
-        counts = vector_to_array(F.col(column))
-        return F.aggregate(counts, F.lit(0.0), lambda total, x: total + x).cast("bigint")
+        counts = features.nonzero(F.col(column))
+        return F.aggregate(counts, F.lit(0.0), lambda total, x: total + x["value"]).cast("bigint")
 
     return hashed.select(
         "doc_id", block("tf_uni").alias("n_words"), block("tf_bi").alias("n_bigrams"),
-        block("tf_tri").alias("n_trigrams"),
-        F.size(vector_to_array(F.col("tf"))).cast("bigint").alias("dimensions"),
+        block("tf_tri").alias("n_trigrams"), F.lit(dimensions).cast("bigint").alias("dimensions"),
     )
 
 
@@ -374,6 +374,12 @@ def overall_metrics(spark, sf_dir):
 # --- models ----------------------------------------------------------------------------------
 
 
+def stored_rows(rows: DataFrame, path: str) -> DataFrame:
+    """Rows written once and read by every later pass."""
+    rows.write.parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
 def _fitted(spark: SparkSession, sf_dir: str, family: str):
     """A model fitted on the training split, and the other rows."""
     train, held_out = models.training_splits(
@@ -381,40 +387,78 @@ def _fitted(spark: SparkSession, sf_dir: str, family: str):
     return models.fit(train, family), held_out
 
 
-def _scores(model, held_out: DataFrame) -> DataFrame:
-    return models.score(model, held_out).select("review_id", "split", "label", "predicted_label")
+def _reloaded_agrees(spark: SparkSession, sf_dir: str, family: str) -> DataFrame:
+    """Every held-out row, and whether the model, stored and loaded back by name, scores it alike."""
+    fitted, held_out = _fitted(spark, sf_dir, family)
+    base = scratch_path(spark, "models")
+    models.save(fitted, f"{base}/{family}")
+    expected = models.score(fitted, held_out).select(
+        "review_id", "split", "label", "lemmatized_text", F.col("predicted_label").alias("expected"))
+    found = models.score(models.resolve(spark, base, family)[1], expected)
+    agrees = F.col("predicted_label").eqNullSafe(F.col("expected")).alias("agrees")
+    return found.select("review_id", "split", "label", agrees)
 
 
 @query
 def svm_scores(spark, sf_dir):
-    """Scores of a model that was stored and loaded back by name."""
-    fitted, held_out = _fitted(spark, sf_dir, "svm")
-    base = scratch_path(spark, "models")
-    models.save(fitted, f"{base}/svm")
-    return _scores(models.resolve(spark, base, "svm")[1], held_out)
+    return _reloaded_agrees(spark, sf_dir, "svm")
 
 
 @query
 def logistic_scores(spark, sf_dir):
-    return _scores(*_fitted(spark, sf_dir, "logistic"))
+    """Every held-out row, and whether its class is the one with the largest margin.
+
+    Margins are summed from the model's non-zero coefficients, a table bounded by the feature size.
+    """
+    model, held_out = _fitted(spark, sf_dir, "logistic")
+    coefficients, intercepts, names = models.logistic_margins(model)
+    weights = spark.createDataFrame(coefficients, "index int, weights array<double>")
+    keys = ["review_id", "split", "label", "predicted_label"]
+    entries = models.score(model, held_out).select(
+        *keys, F.explode_outer(features.nonzero(F.col("features"))).alias("entry")).select(*keys, "entry.*")
+    sums = entries.join(F.broadcast(weights), "index", "left").groupBy(*keys).agg(*[
+        F.coalesce(F.sum(F.col("value") * F.col("weights")[k]), F.lit(0.0)).alias(f"margin_{k}")
+        for k in range(len(names))
+    ])
+    margins = F.array(*[F.col(f"margin_{k}") + F.lit(b) for k, b in enumerate(intercepts)])
+    classes = F.array(*[F.lit(int(float(name))) for name in names])
+    largest = F.element_at(classes, F.array_position(margins, F.array_max(margins)).cast("int"))
+    return sums.select(*keys[:3], F.col("predicted_label").eqNullSafe(largest).alias("agrees"))
 
 
 @query
 def forest_scores(spark, sf_dir):
-    return _scores(*_fitted(spark, sf_dir, "forest"))
+    return _reloaded_agrees(spark, sf_dir, "forest")
 
 
 @query
 def model_metrics(spark, sf_dir):
+    """Rows per split and class, and whether the metrics are those of MLlib's evaluator."""
     model, held_out = _fitted(spark, sf_dir, "svm")
-    return _rounded(models.evaluate(models.score(model, held_out), "split").per_class)
+    pairs = models.score(model, held_out).select("split", "label", F.col("predicted_label").cast("double").alias("prediction"))
+    scored = stored_rows(pairs, scratch_path(spark, "scored"))
+    found = models.evaluate(scored.withColumn("predicted_label", F.col("prediction").cast("int")), "split").per_class
+    reference = spark.createDataFrame(
+        [(split, code, *models.evaluator_metrics(scored.where(F.col("split") == split), code))
+         for split in ("validation", "test") for code in map(float, labels.CLASS_CODES)],
+        "split string, class double, p double, r double, f double")
+    agrees = F.lit(True)
+    for ours, theirs in (("precision", "p"), ("recall", "r"), ("f1", "f")):
+        agrees = agrees & (F.abs(F.col(ours) - F.col(theirs)) < 1e-9)
+    return found.join(reference, ["split", "class"], "left").select(
+        "split", "class", "actual", F.coalesce(agrees, F.lit(False)).alias("agrees"))
 
 
 @query
 def grid_search(spark, sf_dir):
+    """The values tried, the rows learned from, and whether the best score's value was chosen."""
     train, _ = models.training_splits(views.curated(spark, sf_dir), rebalance=False)
-    _, scores = models.grid_search(train, folds=2)
-    return spark.createDataFrame(scores, "reg_param double, f1 double")
+    model, scores = models.grid_search(train, folds=2)
+    chosen = dict(scores)[models.logistic_stage(model).getRegParam()]
+    rows = train.count()
+    return spark.createDataFrame(
+        [(reg, rows, 0 < f1 <= 1, chosen == max(f for _, f in scores)) for reg, f1 in scores],
+        "reg_param double, train_rows long, valid boolean, best_chosen boolean")
 
 
 # --- messages, files -------------------------------------------------------------------------
@@ -474,16 +518,18 @@ ONE_PASS = {"availableNow": True}
 
 @query
 def stream_scored(spark, sf_dir):
-    """Reviews published as messages, scored by the stored model in several micro-batches."""
+    """Reviews published as messages and scored in micro-batches: does each get its batch score?"""
     model, _ = _fitted(spark, sf_dir, "svm")
+    scorer = scoring.model_scorer(model)
     source, target, checkpoint = (scratch_path(spark, n) for n in ("messages", "predictions", "checkpoint"))
-    messages.publish(views.reviews(spark, sf_dir).repartition(4, "review_id"), path=source)
+    messages.publish(views.reviews(spark, sf_dir), path=source)
     stream = messages.read_stream(spark, path=source, maxFilesPerTrigger="2")
-    scored = scoring.score_stream(
-        stream, scoring.model_scorer(model), target, checkpoint, trigger=ONE_PASS
-    )
+    scored = scoring.score_stream(stream, scorer, target, checkpoint, trigger=ONE_PASS)
     scoring.await_all([scored])
-    return tables.read_predictions(spark, target).select("review_id", "asin", "predicted_label")
+    at_once = scorer(scoring.preprocess(messages.decode(spark.read.text(source)))).select(
+        "review_id", F.col("predicted_label").alias("expected"))
+    agrees = F.col("predicted_label").eqNullSafe(F.col("expected")).alias("agrees")
+    return tables.read_predictions(spark, target).join(at_once, "review_id", "left").select("review_id", "asin", agrees)
 
 
 def _payload_stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -494,7 +540,7 @@ def _payload_stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     source, target, refused, checkpoint = (
         scratch_path(spark, n) for n in ("messages", "predictions", "quarantine", "checkpoint")
     )
-    views.payloads(spark, sf_dir).repartition(4).write.text(source)
+    views.payloads(spark, sf_dir).write.text(source)
     scored = scoring.score_stream(
         messages.read_stream(spark, path=source, maxFilesPerTrigger="2"),
         lambda rows: rows.withColumn("predicted_label", labels.rating_label(F.col("overall"))),
@@ -519,7 +565,7 @@ def stream_quarantine(spark, sf_dir):
 def _replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The predictions as a stream of files, two files per micro-batch."""
     source = scratch_path(spark, "replay")
-    views.predictions(spark, sf_dir).repartition(4, "review_id").write.parquet(source)
+    views.predictions(spark, sf_dir).write.parquet(source)
     schema = spark.read.parquet(source).schema
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(source)
 

@@ -210,6 +210,12 @@ _SPLIT = (
 _SPLIT_ROWS = f"{_RATINGS}, split_rows AS (SELECT review_id, label, {_SPLIT} AS split FROM ratings)"
 
 
+_REVIEW_SPLIT = f"{_REVIEWS}, split_rows AS (SELECT review_id, label, {_SPLIT} AS split FROM reviews)"
+
+_HELD_OUT_ROWS = f"""WITH {_REVIEW_SPLIT}
+SELECT review_id, split, CAST(label AS DOUBLE) AS label, true AS agrees FROM split_rows WHERE split <> 'train'"""
+
+
 def _rebalanced(source: str, keep: str) -> str:
     """CTEs: class sizes, the target, ranked rows and the rebalanced rows ``balanced``."""
     return f"""sizes AS (SELECT count(*) FILTER (label = 0) AS n0, count(*) FILTER (label = 1) AS n1,
@@ -281,11 +287,11 @@ SELECT review_id, {_placeholder('t')} AS cleaned_text FROM cleaned""",
 SELECT count(*) AS n_texts, count(*) FILTER (t = '') AS n_empty FROM cleaned""",
     "text_cap": """SELECT doc_id, length(text) AS n_chars, length(left(text, 100000)) AS n_capped,
        md5(left(text, 100000)) AS capped_md5 FROM documents""",
-    "text_preview": f"""WITH {_REVIEWS}, sent AS (SELECT *, event_id % 50 = 0 AS cut FROM reviews)
+    "text_preview": f"""WITH {_REVIEWS}, sent AS (SELECT *, event_id % 50 IN (0, 2) AS cut FROM reviews)
 SELECT CASE WHEN NOT cut THEN review_id END AS review_id,
        CASE WHEN cut THEN 'N/A' ELSE reviewer_id END AS reviewer_id,
        CASE WHEN cut THEN 'N/A' ELSE coalesce(asin, 'N/A') END AS asin,
-       CASE WHEN cut THEN 'N/A' ELSE CAST(overall AS VARCHAR) END AS rating,
+       CASE WHEN cut OR event_id % 50 = 1 THEN 'N/A' ELSE CAST(overall AS VARCHAR) END AS rating,
        CASE WHEN cut THEN '' ELSE left(review_text, 100) END AS preview
 FROM sent""",
     "text_snippets": f"SELECT doc_id, {_SNIPPET} AS snippet FROM documents",
@@ -371,22 +377,34 @@ SELECT round(sum(hits) / sum(actual), 6) AS accuracy,
        round(sum(precision * actual) / sum(actual), 6) AS weighted_precision,
        round(sum(recall * actual) / sum(actual), 6) AS weighted_recall,
        round(sum(f1 * actual) / sum(actual), 6) AS weighted_f1 FROM per_class""",
+    "svm_scores": _HELD_OUT_ROWS,
+    "logistic_scores": _HELD_OUT_ROWS,
+    "forest_scores": _HELD_OUT_ROWS,
+    "model_metrics": f"""WITH {_REVIEW_SPLIT}
+SELECT split, CAST(label AS DOUBLE) AS class, count(*) AS actual, true AS agrees
+FROM split_rows WHERE split <> 'train' GROUP BY split, label""",
+    "grid_search": f"""WITH {_REVIEW_SPLIT}
+SELECT CAST(unnest([0.01, 0.1]) AS DOUBLE) AS reg_param, count(*) FILTER (split = 'train') AS train_rows,
+       true AS valid, true AS best_chosen
+FROM split_rows""",
+    "stream_scored": f"WITH {_REVIEWS} SELECT review_id, asin, true AS agrees FROM reviews",
     "json_roundtrip": f"""WITH {_REVIEWS}
 SELECT review_id, reviewer_id, asin, review_time, overall, review_text FROM reviews""",
     "json_quarantine": _QUARANTINE,
     "ingest_stats": f"""WITH {_REVIEWS},
-counted AS (SELECT count(*) AS total, count(*) FILTER (event_id % 50 <> 0) AS sent,
-                   count(*) FILTER (event_id % 50 = 0) AS errors FROM reviews)
+counted AS (SELECT count(*) AS total, count(*) FILTER (event_id % 50 NOT IN (0, 2)) AS sent,
+                   count(*) FILTER (event_id % 50 = 0) AS errors, count(*) FILTER (event_id % 50 = 1) AS wrong_typed,
+                   count(*) FILTER (event_id % 50 = 2) AS missing FROM reviews)
 SELECT *, CAST({_percent('sent', 'total')} AS DOUBLE) AS success_pct FROM counted""",
     "published_lines": f"WITH {_REVIEWS} SELECT count(*) AS lines FROM reviews",
     "csv_roundtrip": f"""WITH {_REVIEWS}, cleaned AS (SELECT *, {_clean_batch('review_text')} AS t FROM reviews)
 SELECT review_id, reviewer_id, asin, overall, {_placeholder('t')} AS cleaned_text, label FROM cleaned""",
     "jsonl_roundtrip": f"WITH {_REVIEWS} SELECT review_id, reviewer_id, asin, overall, review_text FROM reviews",
-    "stream_stored": f"""WITH {_REVIEWS}, sent AS (SELECT *, event_id % 50 = 0 AS cut FROM reviews)
+    "stream_stored": f"""WITH {_REVIEWS}, sent AS (SELECT *, event_id % 50 IN (0, 2) AS cut FROM reviews)
 SELECT CASE WHEN NOT cut THEN review_id END AS review_id, CASE WHEN NOT cut THEN reviewer_id END AS reviewer_id,
        CASE WHEN NOT cut THEN asin END AS asin, CASE WHEN NOT cut THEN review_time END AS review_time,
        CASE WHEN cut THEN '' ELSE {_clean_stream('review_text')} END AS lemmatized_text,
-       CASE WHEN NOT cut THEN label END AS predicted_label
+       CASE WHEN NOT cut AND event_id % 50 <> 1 THEN label END AS predicted_label
 FROM sent""",
     "stream_quarantine": _QUARANTINE,
     "stream_trend": f"""WITH {_PREDICTIONS}

@@ -66,10 +66,15 @@ def prediction_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reviews as JSON messages; those with an id divisible by 50 arrive cut short."""
-    body = F.to_json(F.struct(*messages.message_columns()))
-    cut = F.col("event_id") % 50 == 0
-    return reviews(spark, sf_dir).select(F.when(cut, F.substring(body, 1, 10)).otherwise(body).alias("value"))
+    """Reviews as JSON messages; of each 50 ids one arrives cut short, one with a rating that is no
+    number, and one without a payload."""
+    columns = messages.message_columns()
+    body = F.to_json(F.struct(*columns))
+    columns[1] = F.lit("bad").alias("overall")
+    kind = F.col("event_id") % 50
+    value = F.when(kind == 0, F.substring(body, 1, 10)).when(kind == 1, F.to_json(F.struct(*columns))).when(
+        kind == 2, F.lit(None)).otherwise(body)
+    return reviews(spark, sf_dir).select(value.alias("value"))
 
 
 def curated(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
+MISSING = "_no_payload"
 
 REVIEW = T.StructType([
     T.StructField("reviewText", T.StringType()),

@@ -27,8 +27,10 @@ def encode(reviews: DataFrame) -> DataFrame:
 
 
 def decode(messages: DataFrame) -> DataFrame:
-    """Fields of each JSON ``value``; malformed text gives an all-NULL row that keeps the original
-    in ``_corrupt_record``, a wrong-typed field gives NULL for that field.
+    """Fields of each JSON ``value``, and whether the payload was NULL or blank.
+
+    Malformed text gives an all-NULL row that keeps the original in ``_corrupt_record``; a
+    wrong-typed field gives NULL for that field, and keeps the original as well.
 
     The fields come out of a generator: a later filter on one of them would otherwise be pushed
     below the projection and parse every message a second time.
@@ -38,28 +40,43 @@ def decode(messages: DataFrame) -> DataFrame:
         schemas.MESSAGE,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT},
     )
-    return messages.select(F.inline(F.array(payload)))
+    blank = F.coalesce(F.trim(F.col("value").cast("string")) == "", F.lit(True))
+    return messages.select(blank.alias(schemas.MISSING), F.inline(F.array(payload)))
+
+
+def malformed() -> Column:
+    """The payload is no JSON object. Only originals that were kept are looked at again."""
+    original = F.col(schemas.CORRUPT)
+    return original.isNotNull() & F.from_json(original, "map<string,string>").isNull()
+
+
+def wrong_typed() -> Column:
+    """A JSON object of which a field does not have its type."""
+    return F.col(schemas.CORRUPT).isNotNull() & ~malformed()
 
 
 def quarantined(decoded: DataFrame) -> DataFrame:
-    return decoded.where(F.col(schemas.CORRUPT).isNotNull())
+    return decoded.where(malformed())
 
 
 def accepted(decoded: DataFrame) -> DataFrame:
-    return decoded.where(F.col(schemas.CORRUPT).isNull()).drop(schemas.CORRUPT)
+    return decoded.where(~malformed() & ~F.col(schemas.MISSING)).drop(schemas.CORRUPT, schemas.MISSING)
 
 
 def message_counts() -> list[Column]:
-    refused = F.col(schemas.CORRUPT).isNotNull()
+    missing = F.col(schemas.MISSING)
     return [
         F.count(F.lit(1)).alias("total"),
-        F.count_if(~refused).alias("sent"),
-        F.count_if(refused).alias("errors"),
+        F.count_if(~malformed() & ~missing).alias("sent"),
+        F.count_if(malformed()).alias("errors"),
+        F.count_if(wrong_typed()).alias("wrong_typed"),
+        F.count_if(missing).alias("missing"),
     ]
 
 
 def ingest_stats(decoded: DataFrame) -> DataFrame:
-    """Messages read, accepted, refused, and the success share in percent."""
+    """Messages read, accepted (of these, with a field of the wrong type), malformed and without a
+    payload, and the success share in percent."""
     counts = decoded.agg(*message_counts())
     return counts.withColumn("success_pct", display.percent(F.col("sent"), F.col("total")))
 
