@@ -21,7 +21,7 @@ from collections.abc import Iterator
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from review_pulse.llm.shared import nullable
@@ -215,10 +215,14 @@ def as_records(turn_rows: DataFrame) -> DataFrame:
     """
     rows = turn_rows.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     turns = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("t"))
-    roles = F.concat_ws(",", F.transform("t", lambda t: t["role"]))
-    text = lambda k: F.col("t")[k]["text"]
-    return turns.select("conv_id", F.when(roles == "user,assistant", F.to_json(F.struct(
-        text(0).alias("prompt"), text(1).alias("response")))).when(roles == "system,user,assistant", F.to_json(F.struct(
+    roles = F.transform("t", lambda t: t["role"])
+    text = lambda k: F.get(F.col("t"), k)["text"]
+
+    def are(*names: str) -> Column:
+        return roles == F.array(*map(F.lit, names))
+
+    return turns.select("conv_id", F.when(are("user", "assistant"), F.to_json(F.struct(
+        text(0).alias("prompt"), text(1).alias("response")))).when(are("system", "user", "assistant"), F.to_json(F.struct(
             text(0).alias("instruction"), text(1).alias("input"), text(2).alias("output")))).otherwise(
         F.to_json(F.struct(F.transform("t", lambda t: F.struct(
             t["role"].alias("role"), t["text"].alias("content"))).alias("messages")))).alias("record"))

@@ -24,7 +24,8 @@ def training_sample(documents: DataFrame, labels: DataFrame, label: str, per_cla
     """At most ``per_class`` texts of either label, chosen by a hash of their id.
 
     Rows that are held out, have no label of 0 or 1, or a text above ``max_chars`` are not used; an
-    id with both labels counts as 1, and equal texts are used once. Both bounds are what keeps the sample small enough to fit on.
+    id with both labels counts as 1, the least text of an id that repeats stands for it, and equal
+    texts are used once. Both bounds are what keeps the sample small enough to fit on.
     """
     usable = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     usable = usable.groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
@@ -34,6 +35,7 @@ def training_sample(documents: DataFrame, labels: DataFrame, label: str, per_cla
     spark = documents.sparkSession
     few = spark.createDataFrame(ids, "doc_id long, y int")
     rows = documents.where(F.length("text") <= max_chars).select("doc_id", "text").join(F.broadcast(few), "doc_id")
+    rows = rows.groupBy("doc_id", "y").agg(F.min("text").alias("text"))
     once = {r["text"]: r for r in sorted(rows.collect(), key=lambda r: -r["doc_id"])}
     found = sorted((r["doc_id"], r["y"], r["text"]) for r in once.values())
     y = np.array([r[1] for r in found], float)

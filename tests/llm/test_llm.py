@@ -267,3 +267,17 @@ def test_word_hashes_see_whole_words_only():
     hashes = bytewise.hash_spans(data, begin, end)
     assert list(np.diff(first)) == [2, 0, 1, 1, 70_001]
     assert hashes[0] == hashes[3] and hashes[1] == hashes[2] and hashes[0] != hashes[1]
+
+
+def test_a_role_that_holds_a_comma_is_one_turn(spark):
+    rows = spark.createDataFrame([(1, 0, "user,assistant", "x"), (2, 1, "assistant", "b"), (2, 0, "user", "a")],
+                                 "conv_id long, turn int, role string, text string")
+    turns = chat_format.canonical(chat_format.as_records(rows), "conv_id")
+    found = {r.conv_id: [tuple(t) for t in r.turns] for r in turns.collect()}
+    assert found == {1: [("user,assistant", "x")], 2: [("user", "a"), ("assistant", "b")]}
+
+
+def test_a_repeated_id_gives_one_text_to_learn_from(spark, labels):
+    documents = spark.createDataFrame([(i, f"text {k}") for i in range(50) for k in (i, i + 100)], "doc_id long, text string")
+    sample = training_sample(documents, labels, "toxic")
+    assert 0 < len(sample.texts) <= 50 and len(sample.texts) == len(set(sample.texts))
