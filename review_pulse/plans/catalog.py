@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import IDF, HashingTF
+from pyspark.ml.feature import IDF
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -315,15 +316,15 @@ def hashed_features(spark, sf_dir):
     rows = _words(spark, sf_dir)
     stages = [s for s in features.ngram_tfidf_stages() if not isinstance(s, IDF)]
     hashed = Pipeline(stages=stages).fit(rows).transform(rows)
-    dimensions = sum(s.getNumFeatures() for s in stages if isinstance(s, HashingTF))
 
     def block(column: str) -> Column:
-        counts = features.nonzero(F.col(column))
-        return F.aggregate(counts, F.lit(0.0), lambda total, x: total + x["value"]).cast("bigint")
+        counts = vector_to_array(F.col(column))
+        return F.aggregate(counts, F.lit(0.0), lambda total, x: total + x).cast("bigint")
 
     return hashed.select(
         "doc_id", block("tf_uni").alias("n_words"), block("tf_bi").alias("n_bigrams"),
-        block("tf_tri").alias("n_trigrams"), F.lit(dimensions).cast("bigint").alias("dimensions"),
+        block("tf_tri").alias("n_trigrams"),
+        F.size(vector_to_array(F.col("tf"))).cast("bigint").alias("dimensions"),
     )
 
 
