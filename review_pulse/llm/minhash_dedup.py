@@ -5,10 +5,11 @@
 2. In each bucket of the first bands every vertex is paired with the smallest one only. Pairs whose
    signatures agree enough are confirmed on the full sets; connected components follow.
 3. Buckets of any band that still hold several components are compared once more, all members of
-   different components, by their signatures, block by block inside a task; members that agree with
-   one of another component meet again with their full sets, which give the links that join
-   components. Only members and joining links are written, never all pairs. So no pair of texts that share a bucket stays
-   untested unless it is connected already.
+   different components, by their signatures; members that agree with one of another component meet
+   again with their full sets, which give the links that join components. A bucket is cut into blocks
+   of bounded size, and each task sees one block or two; members of one large component never meet.
+   Only members and joining links are written, never all pairs. So no pair of texts that share a
+   bucket stays untested unless it is connected already.
 
 Links: ``100 * intersection >= 100 * threshold * union`` of the sets, counted exactly. Two texts at
 the threshold of 0.8 miss all 24 buckets with a probability of 7e-5, more similar ones far less.
@@ -35,6 +36,8 @@ BANDS, ROWS = 24, 5
 STAR_BANDS = 8  # bands whose buckets are first joined through their smallest member
 MARGIN = 0.15  # four standard deviations of a signature's agreement at the threshold
 COMPARED = 1 << 22  # signature values compared at once
+BLOCK_BYTES = 1 << 24  # of a bucket's members that one task sees twice at most, in two blocks
+MEMBER_BYTES = 1 << 12  # what a member counts for besides its set
 _SEED = 20240101
 
 
@@ -84,6 +87,10 @@ def signature(values: np.ndarray, odd: np.ndarray, shift: np.ndarray) -> np.ndar
     return out
 
 
+def digest_of(values: np.ndarray) -> bytes:
+    return hashlib.blake2b(values.tobytes(), digest_size=16).digest()
+
+
 def signed(documents: DataFrame, width: int) -> DataFrame:
     """doc_id, n_shingles, digest of the set, signature bytes and band keys of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,7 +107,7 @@ def signed(documents: DataFrame, width: int) -> DataFrame:
                 key = numbers.copy()
                 for k in range(ROWS):
                     key = bytewise.mixed(key * np.uint64(0x9E3779B97F4A7C15) + minima[k::ROWS].astype(np.uint64))
-                digests.append(hashlib.blake2b(values.tobytes(), digest_size=16).digest())
+                digests.append(digest_of(values))
                 signatures.append(minima.tobytes())
                 bands.append(key.view(np.int64))
             yield pa.RecordBatch.from_arrays([
@@ -113,14 +120,16 @@ def signed(documents: DataFrame, width: int) -> DataFrame:
 
 
 def full_sets(documents: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """id and sorted set of the rows whose id is asked for."""
+    """id, digest and sorted set of the rows whose id is asked for."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [s.view(np.int64) for s in shingle_sets(batch.column(1), width)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["id", "values"])
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), pa.array([digest_of(s) for s in sets], pa.binary()),
+                pa.array(sets, pa.list_(pa.int64()))], ["id", "digest", "values"])
 
     rows = documents.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("t"))
-    return rows.join(ids, "id", "left_semi").mapInArrow(run, "id long, values array<long>")
+    return rows.join(ids, "id", "left_semi").mapInArrow(run, "id long, digest binary, values array<long>")
 
 
 def _agreeing(pairs: DataFrame, signatures: DataFrame, least: float) -> DataFrame:
@@ -184,25 +193,33 @@ def connected(edges: DataFrame) -> DataFrame:
 
 
 class Bucket:
-    """The members of one bucket, by id, with their components and signatures."""
+    """The members of one block of a bucket, or of two, with their components and signatures.
+
+    Each row meets the first ``until`` rows: of its own block those of components sorted before its
+    own, of two blocks all those of the first.
+    """
 
     def __init__(self, rows: pa.Table) -> None:
-        self.table = rows.sort_by("id")
+        self.table = rows.sort_by([(c, "ascending") for c in ("late", "component", "id", "digest")])
         self.ids, self.parts = (self.table.column(c).to_numpy().copy() for c in ("id", "component"))
-        self.signatures = self._matrix("signature", np.uint32, BANDS * ROWS)
-
-    def _matrix(self, name: str, kind, width: int) -> np.ndarray:
-        return np.frombuffer(b"".join(self.table.column(name).to_pylist()), kind).reshape(-1, width)
+        joined = b"".join(self.table.column("signature").to_pylist())
+        self.signatures = np.frombuffer(joined, np.uint32).reshape(-1, BANDS * ROWS)
+        late = self.table.column("late").to_numpy()
+        if self.table.column("alike")[0].as_py():
+            self.until = np.searchsorted(self.parts, self.parts)
+        else:
+            self.until = np.where(late, len(late) - late.sum(), 0)
 
     def agreeing(self, least: float) -> Iterator[tuple[int, np.ndarray]]:
-        """Blocks of members, and which members of other components agree with each."""
+        """Runs of rows, and which of the rows that each is to meet agree with it."""
+        by_place = np.ascontiguousarray(self.signatures.T)
         step = max(1, COMPARED // max(1, self.signatures.size))
-        for low in range(0, len(self.ids), step):
-            mine = self.signatures[low : low + step]
-            agree = np.zeros((len(mine), len(self.ids)), np.uint8)
-            for k in range(self.signatures.shape[1]):
-                agree += mine[:, k : k + 1] == self.signatures[None, :, k]
-            yield low, (agree >= least * self.signatures.shape[1]) & (self.parts[low : low + step, None] != self.parts)
+        for low in range(int(np.searchsorted(self.until, 1)), len(self.ids), step):
+            until = self.until[low : low + step]
+            agree = np.zeros((len(until), until[-1]), np.uint8)
+            for mine, theirs in zip(by_place[:, low : low + step], by_place[:, : until[-1]]):
+                agree += mine[:, None] == theirs
+            yield low, (agree >= least * len(by_place)) & (np.arange(until[-1]) < until[:, None])
 
 
 def _open_members(group: pa.Table, least: float) -> pa.Table:
@@ -210,8 +227,9 @@ def _open_members(group: pa.Table, least: float) -> pa.Table:
     bucket = Bucket(group)
     found = np.zeros(len(bucket.ids), bool)
     for low, agree in bucket.agreeing(least):
-        found[low : low + len(agree)] = agree.any(1)
-    return bucket.table.select(["id", "bucket", "band", "component"]).filter(pa.array(found))
+        found[low : low + len(agree)] |= agree.any(1)
+        found[: agree.shape[1]] |= agree.any(0)
+    return bucket.table.select(["id", "digest", "bucket", "band", "component"]).filter(pa.array(found))
 
 
 def _bucket_links(group: pa.Table, least: float, threshold: float) -> pa.Table:
@@ -227,7 +245,8 @@ def _bucket_links(group: pa.Table, least: float, threshold: float) -> pa.Table:
     links: list[tuple[int, int]] = []
     for low, agree in bucket.agreeing(least):
         for x in range(low, low + len(agree)):
-            others = np.flatnonzero(agree[x - low, :x] & (bucket.parts[:x] != bucket.parts[x]))
+            others = np.flatnonzero(agree[x - low])
+            others = others[bucket.parts[others] != bucket.parts[x]]
             others = others[~(bands[others] == bands[x]).any(1)]
             if not len(others):
                 continue
@@ -243,6 +262,38 @@ def _bucket_links(group: pa.Table, least: float, threshold: float) -> pa.Table:
     return pa.table({"a": a, "b": b})
 
 
+def in_blocks(members: DataFrame, block_bytes: int) -> DataFrame:
+    """Members of buckets once for each pair of blocks that theirs is in: columns first and second,
+    with ``late`` for members of the second and ``alike`` where both are one block.
+
+    A component above the size of a block has blocks of its own, dealt by a hash of the member, which
+    never meet each other; all others of a bucket share blocks by a hash of the component. So two
+    blocks hold at most a few times ``block_bytes``, and members of one component are compared in none.
+    """
+    parts = members.groupBy("bucket", "component").agg(F.sum("bytes").alias("bytes"))
+    alone = F.col("bytes") > block_bytes
+    parts = parts.select(
+        "bucket", "component", F.col("bytes").alias("all"), alone.alias("alone"),
+        F.when(alone, F.lit(0)).otherwise(F.col("bytes")).alias("shared"))
+    shared = parts.groupBy("bucket").agg(F.ceil(F.sum("shared") / block_bytes).alias("n"), F.count("*").alias("several"))
+    sized = parts.join(shared.where("several > 1"), "bucket").select(
+        "bucket", "component", "alone", F.when(F.col("alone"), F.ceil(F.col("all") / block_bytes)).otherwise(F.col("n")).alias("n"))
+    owner = F.when(F.col("alone"), F.col("component")).otherwise(0)
+    block = lambda salt: F.struct("alone", owner.alias("owner"), salt.alias("salt"))
+    salt = F.pmod(F.when(F.col("alone"), F.xxhash64("id", "digest")).otherwise(F.xxhash64("component", "bucket")), F.col("n"))
+    placed = members.join(sized, ["bucket", "component"]).withColumn("block", block(salt)).drop("alone", "n")
+    blocks = sized.select("bucket", "alone", owner.alias("component"), "n").distinct().select(
+        "bucket", "alone", "component", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("salt"))
+    blocks = blocks.select("bucket", F.struct("alone", F.col("component").alias("owner"), "salt").alias("first"))
+    apart = (F.col("first") <= F.col("second")) & ~(
+        F.col("first.alone") & F.col("second.alone") & (F.col("first.owner") == F.col("second.owner")))
+    met = blocks.join(blocks.withColumnRenamed("first", "second"), "bucket").where(apart)
+    asked = met.select("bucket", "first", "second", F.explode(F.array_distinct(F.array("first", "second"))).alias("block"))
+    return placed.join(asked, ["bucket", "block"]).select(
+        *members.columns, "first", "second", (F.col("block") == F.col("second")).alias("late"),
+        (F.col("first") == F.col("second")).alias("alike"))
+
+
 def _late_links(documents: DataFrame, members: DataFrame, components: DataFrame, vertices: DataFrame,
                 width: int, threshold: float) -> DataFrame:
     """Confirmed links between members of one bucket that are in different components.
@@ -253,15 +304,20 @@ def _late_links(documents: DataFrame, members: DataFrame, components: DataFrame,
     placed = _labelled(members, components)
     buckets = placed.groupBy("bucket").agg(
         F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
-    inside = placed.join(buckets, "bucket").join(vertices.select("id", "signature"), "id")
-    agree = stored(inside.groupBy("bucket").applyInArrow(
-        lambda group: _open_members(group, least), "id long, bucket long, band int, component long"), "dedup-open")
-    asked = stored(agree.select("id").distinct(), "dedup-asked")
-    sets = stored(full_sets(documents, asked, width).dropDuplicates(["id", "values"]), "dedup-sets")
-    whole = vertices.join(asked, "id", "left_semi").join(sets, "id")
-    found = agree.join(whole, "id").groupBy("bucket").applyInArrow(
-        lambda group: _bucket_links(group, least, threshold), "a long, b long")
-    links = stored(found.distinct(), "dedup-links")
+    inside = stored(placed.join(buckets, "bucket").withColumn("bytes", F.lit(MEMBER_BYTES).cast("long")), "dedup-inside")
+    each = in_blocks(inside, BLOCK_BYTES).join(vertices.select("id", "digest", "signature"), ["id", "digest"])
+    agree = stored(each.groupBy("bucket", "first", "second").applyInArrow(
+        lambda group: _open_members(group, least),
+        "id long, digest binary, bucket long, band int, component long").distinct(), "dedup-open")
+    remove(inside)
+    asked = stored(agree.select("id", "digest").distinct(), "dedup-asked")
+    sets = stored(full_sets(documents, asked.select("id").distinct(), width).dropDuplicates(["id", "digest"]).join(
+        asked, ["id", "digest"], "left_semi"), "dedup-sets")
+    whole = vertices.join(sets, ["id", "digest"])
+    weights = sets.select("id", "digest", (F.size("values") * 8 + MEMBER_BYTES).cast("long").alias("bytes"))
+    found = in_blocks(agree.join(weights, ["id", "digest"]), BLOCK_BYTES).join(whole, ["id", "digest"])
+    links = stored(found.groupBy("bucket", "first", "second").applyInArrow(
+        lambda group: _bucket_links(group, least, threshold), "a long, b long").distinct(), "dedup-links")
     remove(sets)
     return links
 
@@ -282,16 +338,16 @@ def grouped(documents: DataFrame, width: int = 5, threshold: float = 0.8) -> Dat
     several = row_class.groupBy("id").agg(F.min("low").alias("b"), F.max("low").alias("high")).where("b <> high")
     same_id = row_class.join(several, "id").select(F.col("low").alias("a"), "b")
     vertices = stored(usable.join(classes, (usable["id"] == classes["low"]) & (usable["digest"] == classes["digest"])).select(
-        "id", "signature", "bands").dropDuplicates(["id", "signature"]), "dedup-vertices")
-    spread = vertices.select("id", F.posexplode("bands").alias("band", "bucket"))
+        "id", usable["digest"], "signature", "bands").dropDuplicates(["id", "digest"]), "dedup-vertices")
+    spread = vertices.select("id", "digest", F.posexplode("bands").alias("band", "bucket"))
     buckets = spread.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high")
-    members = stored(spread.join(buckets, "bucket").select("id", "band", "bucket", "low"), "dedup-members")
+    members = stored(spread.join(buckets, "bucket").select("id", "digest", "band", "bucket", "low"), "dedup-members")
     signatures = vertices.select("id", "signature")
     stars = members.where((F.col("id") != F.col("low")) & (F.col("band") < STAR_BANDS)).select(
         F.col("id").alias("a"), F.col("low").alias("b")).distinct()
     pairs = stored(_agreeing(stars, signatures, least).distinct(), "dedup-pairs")
     first = connected(_confirmed(documents, pairs, width, threshold).union(same_id))
-    late = _late_links(documents, members.select("id", "band", "bucket"), first, vertices, width, threshold)
+    late = _late_links(documents, members.select("id", "digest", "band", "bucket"), first, vertices, width, threshold)
     late = _labelled(late.withColumnRenamed("a", "id"), first).select(F.col("component").alias("a"), F.col("b").alias("id"))
     late = _labelled(late, first).select("a", F.col("component").alias("b"))
     second = connected(late)

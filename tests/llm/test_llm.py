@@ -107,6 +107,28 @@ def test_dedup_components_equal_brute_force(spark):
     assert got == dict(enumerate(label))
 
 
+def test_dedup_buckets_meet_in_bounded_blocks(spark):
+    rows = [(k, b"", 0, 0 if k < 300 else k, 10) for k in range(360)]  # a large component and 60 outsiders
+    members = spark.createDataFrame(rows, "id long, digest binary, bucket long, component long, bytes long")
+    met, groups = set(), {}
+    for r in minhash_dedup.in_blocks(members, 200).collect():
+        groups.setdefault((r.first, r.second), []).append(r)
+    for group in groups.values():
+        assert sum(r.bytes for r in group) <= 1200
+        for x, y in itertools.combinations(sorted(group, key=lambda r: r.id), 2):
+            if x.component != y.component and (x.alike or x.late != y.late):
+                assert (x.id, y.id) not in met
+                met.add((x.id, y.id))
+        assert not all(r.component == 0 for r in group)
+    assert len(met) == 300 * 60 + 60 * 59 // 2
+
+
+def test_dedup_in_small_blocks_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(minhash_dedup, "BLOCK_BYTES", 8 * minhash_dedup.MEMBER_BYTES)
+    monkeypatch.setattr(minhash_dedup, "STAR_BANDS", 0)  # all links from the buckets
+    test_dedup_components_equal_brute_force(spark)
+
+
 def test_bpe_equals_tiktoken(spark):
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     reference = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
