@@ -8,12 +8,16 @@ exact and do not depend on the order of rows.
 
 Defined results: NULL or empty text has no words, fails the base rules and is not kept. A document
 is judged by a histogram only above a minimum length (``MIN_CHARS``, ``MIN_WORDS``); shorter
-documents, and documents in languages without a word list or a reference, are kept if they pass
-the base rules. Repeated rows get the same verdict each. Texts are read whole.
+documents are kept if they pass the base rules. A document without a language, or in one without a
+word list, is judged by its smallest distance to any reference. A distance is NULL, and rejects
+nothing, where a histogram has no counts or there is no reference at all. Repeated rows get the same
+verdict each. Texts are read whole.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -93,18 +97,16 @@ def class_counts(text: Column) -> Column:
     return let(known, lambda k: F.concat(k, F.array(F.length(whole) - _total(k))))
 
 
-def common_counts(text: Column, language: Column) -> Column:
-    """Occurrences of each common word of the language, and of all other words; NULL without a list."""
+def common_counts(text: Column, lists: list[Column]) -> Column:
+    """For each of some word lists, occurrences of each of its words, and of all other words."""
     every = sorted({w for words in COMMON_WORDS.values() for w in words.split()})
     lowered = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}]+")
-    lists = F.coalesce(*[F.when(language == name, F.array(*map(F.lit, words.split())))
-                         for name, words in COMMON_WORDS.items()])
 
     def counted(all_words: Column) -> Column:
         usual = F.filter(all_words, lambda w: w.isin(every))
-        return let(usual, lambda u: let(
-            F.transform(lists, lambda c: F.size(F.filter(u, lambda w: w == c)).cast("long")),
-            lambda n: F.concat(n, F.array(F.size(all_words) - _total(n)))))
+        return let(usual, lambda u: F.transform(F.array(*lists), lambda words: let(
+            F.transform(words, lambda c: F.size(F.filter(u, lambda w: w == c)).cast("long")),
+            lambda n: F.concat(n, F.array(F.size(all_words) - _total(n))))))
 
     return let(F.filter(lowered, lambda w: w != ""), counted)
 
@@ -126,7 +128,8 @@ def distance(left: Column, right: Column) -> Column:
 
     def divergence(p: Column, q: Column) -> Column:
         terms = F.zip_with(p, q, lambda a, b: let((a + b) / 2, lambda m: (part(a, m) + part(b, m)) / 2))
-        return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda s, t: s + t), F.lit(0.0)))
+        total = F.aggregate(terms, F.lit(0.0), lambda s, t: s + t)
+        return F.when(p.isNotNull() & q.isNotNull(), F.sqrt(F.greatest(total, F.lit(0.0))))
 
     def normal(h: Column) -> Column:
         return let(_total(h), lambda total: F.when(total > 0, F.transform(h, lambda n: n / total)))
@@ -137,13 +140,16 @@ def distance(left: Column, right: Column) -> Column:
 def measured(documents: DataFrame, keep: list[str]) -> DataFrame:
     """Columns ``keep`` with base counts, ``base_failed`` and both histograms."""
     text = F.col("text")
+    lists = {name: F.array(*map(F.lit, words.split())) for name, words in COMMON_WORDS.items()}
+    own = F.coalesce(*[F.when(F.col("lang") == name, words) for name, words in lists.items()])
     counted = documents.withColumn("words", text_words(text)).select(
         F.struct(*keep).alias("kept_columns"),
         F.col("lang").alias("language"),
         *[c.alias(n) for n, c in base_counts(text).items()],
         F.length(F.coalesce(text, F.lit(""))).cast("long").alias("n_chars_read"),
         class_counts(text).alias("class_counts"),
-        common_counts(text, F.col("lang")).alias("common_counts"),
+        F.when(own.isNotNull(), common_counts(text, [own])[0]).alias("common_counts"),
+        F.when(own.isNull(), common_counts(text, list(lists.values()))).alias("counts_by_list"),
     )
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return counted.withColumn("base_failed", failed)
@@ -169,11 +175,22 @@ def judged(documents: DataFrame, keep: list[str]) -> DataFrame:
     The measures are stored once, so that texts are analysed a single time for references and verdicts.
     """
     rows = stored(measured(documents, keep), "quality-measures")
-    both = rows.join(references(rows), "language", "left")
-    class_distance = F.when(F.col("n_chars_read") >= MIN_CHARS, distance(
-        shares(F.col("class_counts")), F.col("class_reference")))
-    word_distance = F.when(F.col("n_words") >= MIN_WORDS, distance(
-        shares(F.col("common_counts")), F.col("word_reference")))
+    every = references(rows).agg(F.collect_list(
+        F.struct("language", "class_reference", "word_reference")).alias("references"))  # a row per listed language
+    both = rows.crossJoin(F.broadcast(every)).withColumn(
+        "own", F.get(F.filter("references", lambda r: r["language"] == F.col("language")), F.lit(0)))
+    listed = F.col("common_counts").isNotNull()
+
+    def nearest(counts: Callable[[Column], Column], reference: str) -> Column:
+        return F.array_min(F.transform("references", lambda r: distance(shares(counts(r)), r[reference])))
+
+    names = F.array(*map(F.lit, COMMON_WORDS))
+    class_distance = F.when(F.col("n_chars_read") >= MIN_CHARS, F.when(
+        listed, distance(shares(F.col("class_counts")), F.col("own.class_reference"))).otherwise(
+        nearest(lambda r: F.col("class_counts"), "class_reference")))
+    word_distance = F.when(F.col("n_words") >= MIN_WORDS, F.when(
+        listed, distance(shares(F.col("common_counts")), F.col("own.word_reference"))).otherwise(
+        nearest(lambda r: F.get("counts_by_list", F.array_position(names, r["language"]).cast("int") - 1), "word_reference")))
     return both.select(
         "kept_columns.*", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         F.round(class_distance, 6).alias("class_distance"),

@@ -129,6 +129,21 @@ def test_dedup_in_small_blocks_equals_brute_force(spark, monkeypatch):
     test_dedup_components_equal_brute_force(spark)
 
 
+def test_quality_of_rows_without_a_listed_language(spark):
+    draw = random.Random(5)
+    some = [f"{a}{b}" for a in ("mar", "ten", "sol", "pri") for b in ("ket", "der", "id", "ce", "ow")]
+    words = lambda: draw.choices(some + quality_rules.COMMON_WORDS["en"].split(), k=150)
+    good = [(i, " ".join(words()), "en") for i in range(20)]
+    junk = " ".join(w + "###" for w in words())
+    rows = good + [(20, junk, "en"), (21, junk, None), (22, junk, "zz"), (23, good[0][1], None), (24, good[0][1], "zz"),
+                   (25, " ".join(map(str, range(150))), "en"), (26, " ".join(map(str, range(150))), None)]
+    got = {r.doc_id: r for r in quality_rules.judged(
+        spark.createDataFrame(rows, "doc_id long, text string, lang string"), ["doc_id"]).collect()}
+    assert [got[i].kept for i in range(20, 25)] == [False] * 3 + [True] * 2
+    assert got[21].class_distance == got[20].class_distance and got[23].word_distance == got[0].word_distance
+    assert got[25].word_distance is None and got[26].word_distance is None
+
+
 def test_bpe_equals_tiktoken(spark):
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     reference = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
