@@ -365,7 +365,16 @@ def marked(documents: DataFrame, width: int = 5, threshold: float = 0.8) -> Data
 
 
 def deduplicated(documents: DataFrame, width: int = 5, threshold: float = 0.8) -> DataFrame:
-    """The documents without the ones that another document of their group stands for."""
-    dropped = stored(marked(documents, width, threshold).where(~F.col("kept")).select(
-        F.col("doc_id").alias("dropped_id")).distinct(), "dedup-dropped")
-    return documents.join(dropped, F.col("doc_id") == F.col("dropped_id"), "left_anti")
+    """One row of each group of near duplicates: of the smallest id, rows without an id last.
+
+    Rows are told apart by a number of their own, so copies that repeat an id or have none count as
+    copies, and rows of one id with unlike texts do not. Texts without words are all kept.
+    """
+    rows = stored(documents.select(
+        F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("whole_row"),
+        F.monotonically_increasing_id().alias("number")), "dedup-rows")
+    groups = grouped(rows.select(F.col("number").alias("doc_id"), F.col("whole_row.text").alias("text")), width, threshold)
+    named = groups.join(rows.select(F.col("number").alias("id"), F.col("whole_row.doc_id").alias("doc_id")), "id")
+    best = named.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "id")).alias("best"))
+    kept = stored(best.select(F.col("best.id").alias("number")), "dedup-kept")
+    return rows.join(kept, "number", "left_semi").select("whole_row.*")

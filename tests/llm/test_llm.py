@@ -144,6 +144,14 @@ def test_quality_of_rows_without_a_listed_language(spark):
     assert got[25].word_distance is None and got[26].word_distance is None
 
 
+def test_dedup_keeps_one_row_of_repeated_and_missing_ids(spark):
+    rows = [(4, "one two"), (4, "one two"), (4, "other text"), (9, "One two"), (None, "one  two"), (None, "no id"),
+            (None, "no id"), (5, ""), (5, None)]
+    got = minhash_dedup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(
+        [(4, "one two"), (4, "other text"), (None, "no id"), (5, ""), (5, None)], key=repr)
+
+
 def test_bpe_equals_tiktoken(spark):
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     reference = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
