@@ -5,8 +5,8 @@ before and after a position, each through a matrix of its own place, make one hi
 predicts the class and, given the class, the member of the hidden word. A document's score is the
 sum of these conditional log-probabilities over all its words.
 
-Training reads every document. In each round a hash of the position masks a share of all positions
-(another one each round); every task trains a copy of the network on the masked positions of its
+Training reads every document. A hash of the position deals all positions over the rounds, so that
+each is masked in exactly one; every task trains a copy of the network on the masked positions of its
 partition with AdaGrad, and the copies are averaged in Spark, weighted by positions, parameter by
 parameter. The network has a fixed size, whatever the corpus; only it comes back to the driver.
 
@@ -33,8 +33,7 @@ END = TOKENS  # the mark beyond either end
 HIDDEN = 16
 SPAN = 3
 OFFSETS = tuple(o for o in range(-SPAN, SPAN + 1) if o)
-MASKED = 0.075  # share of positions that a round trains on
-ROUNDS = 2
+ROUNDS = 2  # each trains on its share of the positions, together on all
 BATCH = 2048
 SLICE = 1 << 13
 
@@ -155,11 +154,11 @@ def train_step(network: Network, squares: Network, padded: np.ndarray, at: np.nd
     network.flat -= rate * grad.flat / np.sqrt(squares.flat + 1e-8)
 
 
-def masked(padded: np.ndarray, at: np.ndarray, round_number: int) -> np.ndarray:
-    """The places that a round hides, chosen by a hash of the surrounding tokens."""
+def masked(padded: np.ndarray, at: np.ndarray, number: int, rounds: int) -> np.ndarray:
+    """The places that a round hides, chosen by a hash of the surrounding tokens; each place in one round."""
     near = padded[at].astype(np.uint64) << np.uint64(26) | padded[at - 1].astype(np.uint64) << np.uint64(13)
-    near = bytewise.mixed((near | padded[at + 1].astype(np.uint64)) + np.uint64(round_number) * np.uint64(0x9E3779B97F4A7C15) + at.astype(np.uint64))
-    return at[near < np.uint64(int(MASKED * 2**64))]
+    near = bytewise.mixed((near | padded[at + 1].astype(np.uint64)) + at.astype(np.uint64))
+    return at[near % np.uint64(rounds) == number]
 
 
 def train(documents: DataFrame, text: str = "text", rounds: int = ROUNDS, rate: float = 0.2) -> Network:
@@ -172,7 +171,7 @@ def train(documents: DataFrame, text: str = "text", rounds: int = ROUNDS, rate:
             mine, squares, used = Network(shared.value.copy()), Network(np.zeros_like(shared.value)), 0
             for batch in batches:
                 for padded, _ in tokens_of(batch.column(0)):
-                    places = masked(padded, positions_of(padded), number)
+                    places = masked(padded, positions_of(padded), number, rounds)
                     for low in range(0, len(places), BATCH):
                         train_step(mine, squares, padded, places[low : low + BATCH], rate)
                     used += len(places)

@@ -279,6 +279,14 @@ def test_lm_probabilities_are_normalised_and_summed(spark):
     assert rows[1].n_tokens == 27 and np.isclose(rows[1].log_prob, total, rtol=1e-4) and rows[2].log_prob == 0
 
 
+def test_lm_trains_on_every_position_once():
+    padded, _ = next(masked_lm.tokens_of(pa.array(["a", None, "b c", LONG])))
+    at = masked_lm.positions_of(padded)
+    for rounds in (1, 2, 5):
+        hidden = [masked_lm.masked(padded, at, k, rounds) for k in range(rounds)]
+        assert sorted(np.concatenate(hidden)) == at.tolist()
+
+
 def test_lm_learns_from_the_corpus(spark, sf_dir):
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     before, after = (masked_lm.scored(documents, n, ["doc_id"]).agg(F.sum("log_prob")).first()[0]
