@@ -163,10 +163,117 @@ SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, length(loss)::BIGINT AS
 FROM digests"""
 
 
+def _crc_table() -> list[int]:
+    table = []
+    for k in range(256):
+        for _ in range(8):
+            k = k >> 1 ^ (0xEDB88320 if k & 1 else 0)
+        table.append(k)
+    return table
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_SPELLING = f"""
+WITH RECURSIVE table_of AS MATERIALIZED (SELECT {_crc_table()}::UBIGINT[] AS crc),
+runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') || ':' || run AS spelled, run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[a-zÀ-ÿ]+')) AS run FROM documents) GROUP BY ALL
+), checked AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295::UBIGINT, flatten(list_transform(string_split(spelled, ''),
+    lambda c: CASE WHEN ord(c) < 128 THEN [ord(c)::UBIGINT] ELSE [195::UBIGINT, (128 + (ord(c) & 63))::UBIGINT] END))),
+    lambda sum, byte: xor(sum >> 8, crc[(xor(sum, byte) & 255)::BIGINT + 1])), 4294967295::UBIGINT)::BIGINT AS h
+  FROM runs, table_of
+), counted AS (
+  SELECT CASE WHEN h % 31 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word,
+    sum(n)::BIGINT AS n
+  FROM checked GROUP BY 1
+), words AS MATERIALIZED (SELECT word, n FROM counted WHERE length(word) >= 7 AND n >= 2),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+skipped AS MATERIALIZED (SELECT word, n, i, word[:i - 1] || word[i + 1:] AS rest FROM places),
+near AS (
+  SELECT a.word, b.word AS other, b.n FROM skipped a JOIN skipped b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM skipped a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM skipped a JOIN words b ON a.rest = b.word
+), best AS (
+  SELECT word, count(*)::BIGINT AS n_near, max(n) AS most FROM near GROUP BY word
+), formed AS MATERIALIZED (
+  SELECT words.word, words.n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN most >= 10 * words.n THEN (
+      SELECT min(other COLLATE "C") FROM near WHERE near.word = words.word AND near.n = most) END AS form,
+    CASE WHEN most >= 10 * words.n THEN most END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), followed AS (
+  SELECT word, word AS root, form AS ahead FROM formed
+  UNION ALL SELECT f.word, f.ahead, g.form FROM followed f JOIN formed g ON g.word = f.ahead
+)
+SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n
+FROM formed f JOIN followed r ON r.word = f.word AND r.ahead IS NULL"""
+
+_DECONTAMINATION = f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS words
+  FROM documents
+), items AS (
+  SELECT item_id, regexp_extract_all({_LOWER}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS words FROM benchmark
+), windows AS MATERIALIZED (
+  SELECT DISTINCT item_id, size, array_to_string(words[k:k + size - 1], ' ') AS passage
+  FROM (SELECT *, unnest(range(1, len(words) - size + 2)) AS k
+        FROM (SELECT *, least(10, len(words)) AS size FROM items) WHERE size > 0)
+), passages AS MATERIALIZED (
+  SELECT r, k, size, array_to_string(words[k:k + size - 1], ' ') AS passage
+  FROM (SELECT r, words, size, unnest(range(1, len(words) - size + 2)) AS k
+        FROM texts, (SELECT DISTINCT size FROM windows))
+), found AS MATERIALIZED (
+  SELECT r, k, size, item_id FROM passages JOIN windows USING (size, passage)
+), hit AS (
+  SELECT r, count(DISTINCT place) AS n_hit
+  FROM (SELECT DISTINCT r, unnest(range(k, k + size)) AS place FROM found) GROUP BY r
+), listed AS (
+  SELECT r, count(DISTINCT item_id) AS n_items,
+    array_to_string(list_sort(list_distinct(list(item_id::VARCHAR))), ',') AS ids
+  FROM found WHERE item_id IS NOT NULL GROUP BY r
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+  coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM texts LEFT JOIN hit USING (r) LEFT JOIN listed USING (r)"""
+
+_LEXICAL = f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS words
+  FROM documents
+), sizes AS (
+  SELECT count(*) FILTER (len(words) > 0) AS documents, sum(len(words))::BIGINT AS all_words FROM texts
+), postings AS MATERIALIZED (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(words) AS term FROM texts) GROUP BY r, term
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * documents + 2) / (2 * df + 1)))::BIGINT AS weight
+  FROM (SELECT term, count(*) AS df FROM postings GROUP BY term), sizes
+), queries AS (
+  SELECT q, item_id, term, count(*) AS times
+  FROM (SELECT row_number() OVER () AS q, item_id,
+          unnest(regexp_extract_all({_LOWER}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')) AS term FROM benchmark)
+  GROUP BY ALL
+), scores AS (
+  SELECT q, item_id, r, doc_id, sum(times * weight * ((1000000000 * tf)
+    // (1000 * tf + 8 * (25 + (75 * len(words) * documents) // all_words))))::BIGINT AS score
+  FROM queries JOIN weights USING (term) JOIN postings USING (term) JOIN texts USING (r), sizes
+  GROUP BY q, item_id, r, doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+  FROM scores WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+
 SQL = {
     "op2_quality_rules": _quality(),
     "op3_source_mix": _MIX,
     "op4_exact_topk": _TOP,
     "op7_minhash_dedup": _DEDUP,
     "op10_chat_format": _CHAT,
+    "op11_spelling_variants": _SPELLING,
+    "op12_decontamination": _DECONTAMINATION,
+    "op13_lexical_search": _LEXICAL,
 }

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from review_pulse.llm import (
-    byte_bpe, byte_cnn, chat_format, exact_topk, language_id, masked_lm, minhash_dedup, mixing, quality_rules,
-    toxic_crf,
+    byte_bpe, byte_cnn, chat_format, decontaminate, exact_topk, language_id, lexical, masked_lm, minhash_dedup, mixing,
+    quality_rules, spelling, toxic_crf,
 )
 from review_pulse.llm.labelled import training_sample
 from review_pulse.llm.shared import held_out
@@ -77,7 +77,20 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.formatted(turns, "conv_id"), "conv_id")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(_table(spark, sf_dir, "documents"), slips=31))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return decontaminate.judged(documents, benchmark, ["doc_id"])
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_masked_lm, op2_quality_rules, op3_source_mix, op4_exact_topk, op5_toxic_crf, op6_byte_cnn, op7_minhash_dedup, op8_byte_bpe, op9_language_id,
-    op10_chat_format,
+    op10_chat_format, op11_spelling_variants, op12_decontamination, op13_lexical_search,
 )}

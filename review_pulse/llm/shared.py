@@ -44,11 +44,10 @@ def packed(df: DataFrame) -> DataFrame:
     return df.withColumn("whole_row", F.struct(*[F.col(f"`{c}`") for c in df.columns]))
 
 
-def stored(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
+def stored(df: DataFrame, label: str, options: dict[str, int] | None = None) -> DataFrame:
     """``df`` written once below the shared folder and read back: its lineage ends there."""
     path = scratch_path(df.sparkSession, label)
-    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-    writer.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
