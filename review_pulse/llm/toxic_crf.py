@@ -2,7 +2,7 @@
 
 Documents are labelled, words are not; words get labels first: in documents marked toxic, a word is
 labelled when it, or a stem that it begins with, is far more frequent in toxic documents than in others. One half of the
-sample fits the field, the other half what makes a score of its marginals. The field has two
+sample fits the field, the other half what makes a score of its marginals; near copies mostly stay in one half. The field has two
 tags, weights for the hashed word, its stems (first bytes), the word before and the one after, and
 transition weights. Its exact marginals (forward-backward over whole texts, in blocks of words side by side)
 give offending spans, and, through two numbers per document, the document's score.
@@ -149,21 +149,60 @@ def _two_numbers(marginal: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
+def halves(column: pa.Array) -> np.ndarray:
+    """The half, 0 or 1, of each text, by the least hash of its runs of four words: near copies mostly share it.
+
+    A run that names more than one text in sixteen is common, not a copy: those texts alternate.
+    """
+    data, starts = bytewise.utf8(column)
+    own = bytewise.mixed(np.arange(len(column)).astype(np.uint64))
+    keys = own.copy()
+    for low, high in bytewise.groups(starts):
+        ids, _, _, first, _ = words_of(data, starts, low, high)
+        runs = ids.astype(np.uint64)
+        for k in range(1, 4):
+            runs = bytewise.mixed(runs * np.uint64(31) + np.roll(ids, -k).astype(np.uint64))
+        full = np.flatnonzero(np.diff(first))
+        if len(full):
+            keys[low + full] = np.minimum.reduceat(runs, first[full])
+    _, place, count = np.unique(keys, return_inverse=True, return_counts=True)
+    keys = np.where(count[place] * 16 > len(keys), own, keys)
+    return np.unique(keys, return_inverse=True)[1] % 2
+
+
+def fit_total(numbers: np.ndarray, y: np.ndarray, start: np.ndarray, penalty: float = 0.05) -> np.ndarray:
+    """Weights of a small penalised logistic regression: Newton steps, halved until the likelihood rises."""
+    def likelihood(weights: np.ndarray) -> float:
+        score = numbers @ weights
+        return float(score @ y - np.logaddexp(0, score).sum() - 0.5 * penalty * weights @ weights)
+
+    weights, now = start.copy(), likelihood(start)
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(numbers @ weights, -30, 30)))
+        hessian = (numbers * (p * (1 - p))[:, None]).T @ numbers + penalty * np.eye(len(weights))
+        step = np.linalg.solve(hessian, numbers.T @ (y - p) - penalty * weights)
+        while (then := likelihood(weights + step)) <= now and np.abs(step).max() > 1e-9:
+            step = step / 2
+        if then <= now:
+            break
+        weights, now = weights + step, then
+    return weights
+
+
 def fit(sample: Sample, rounds: int = 30) -> Model:
     y = sample.labels
     model = Model(np.zeros(BUCKETS, np.float32), np.zeros(NEARBY, np.float32), np.zeros(NEARBY, np.float32),
                   np.zeros(STEMS, np.float32), -4.0, np.ones((2, 2)), np.zeros(3))
     model.total[0] = sample.prior
-    if len(set(y[0::2])) < 2 or len(set(y[1::2])) < 2:
+    column = pa.array(sample.texts, pa.string())
+    half = halves(column)
+    if any(len(set(y[half == k])) < 2 for k in (0, 1)):
         return model
-    fit_chain(model, pa.array(sample.texts[0::2], pa.string()), y[0::2], rounds)
-    column, y = pa.array(sample.texts[1::2], pa.string()), y[1::2]
+    fit_chain(model, column.filter(pa.array(half == 0)), y[half == 0], rounds)
+    column, y = column.filter(pa.array(half == 1)), y[half == 1]
     data, starts = bytewise.utf8(column)
     numbers = np.concatenate([chain_numbers(model, data, starts, a, b)[0] for a, b in bytewise.groups(starts)])
-    for _ in range(25):  # Newton steps of a small penalised logistic regression
-        p = 1 / (1 + np.exp(-np.clip(numbers @ model.total, -30, 30)))
-        hessian = (numbers * (p * (1 - p))[:, None]).T @ numbers + 0.05 * np.eye(3)
-        model.total += np.linalg.solve(hessian, numbers.T @ (y - p) - 0.05 * model.total)
+    model.total[:] = fit_total(numbers, y, model.total)
     model.total[0] += sample.shift
     return model
 
