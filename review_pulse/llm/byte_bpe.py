@@ -1,10 +1,10 @@
 """Byte-level BPE: encoding by ranked merges and decoding by concatenated pieces.
 
 Within a task, a run of whole texts is split by the tokenizer's pattern. The ranked merges are
-folded over the byte arrays of its distinct pieces only, all pieces of about one length side by
+folded over the byte arrays of its distinct new pieces only, all pieces of about one length side by
 side in numpy, with a table of the rank of every pair of tokens; the ids then go back to the
-documents by place. Decoding concatenates the byte strings of the ids. Nothing is shuffled, and a
-run holds about ``RUN`` characters or one document.
+documents by place. Decoding concatenates the byte strings of the ids. Nothing is shuffled; a run
+holds about ``RUN`` characters or one document, and a task remembers about ``KNOWN`` pieces.
 
 The fold moves a whole row with every merge, so its work grows with the square of a piece; pieces
 above the last of ``WIDTHS`` bytes (runs without a space) are merged with a heap, with the same result.
@@ -19,6 +19,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-RUN = 4 << 20
+RUN = 1 << 20
+KNOWN = 1 << 17  # distinct pieces that a task remembers
 WIDTHS = (8, 16, 32, 64, 128)
 NONE = np.int32(2**31 - 1)
 
@@ -152,44 +154,56 @@ def _places(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.repeat(starts - begun, counts) + np.arange(int(counts.sum()))
 
 
-def _encoded(table: tuple, pattern: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _runs(table: tuple, pattern: str, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Runs of documents: their kept columns, the numbers of each one's pieces, and all pieces' ids.
+
+    The ids of piece k are ``flat[ends[k]:ends[k + 1]]``; the last result is the first new piece. Pieces stay known from run to run until there
+    are ``KNOWN`` of them, so a piece is folded about once per task.
+    """
     import regex
 
-    find = regex.compile(pattern).findall
-    kept, places, index, size = [], [], {}, 0
+    matcher = regex.compile(pattern)
+    index: dict[str, int] = {}
+    flat, ends = np.empty(0, np.int32), np.zeros(1, np.int64)
+    kept, places, size = [], [], 0
 
-    def run() -> Iterator[pa.RecordBatch]:
-        flat, starts = fold_pieces(table, [p.encode("utf-8", "surrogatepass") for p in index])
-        counts = np.diff(starts)
-        rows = pa.concat_arrays(kept)
-        low = 0
-        while low < len(places):  # a few documents at a time: ids take four bytes each
-            high, room = low, RUN
-            while high < len(places) and (high == low or room >= 0):
-                room -= len(places[high])
-                high += 1
-            own = np.concatenate(places[low:high])
-            ids = flat[_places(starts[own], counts[own])]
-            sums = np.concatenate([[0], np.cumsum(counts[own])])
-            ends = sums[np.concatenate([[0], np.cumsum([len(p) for p in places[low:high]])])]
-            listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))
-            yield pa.RecordBatch.from_arrays([rows.slice(low, high - low), listed], ["kept", "ids"])
-            low = high
+    def folded() -> tuple:
+        nonlocal flat, ends
+        first = len(ends) - 1
+        new = list(itertools.islice(index, first, None))
+        ids, more = fold_pieces(table, [p.encode("utf-8", "surrogatepass") for p in new])
+        flat, ends = np.concatenate([flat, ids]), np.concatenate([ends, ends[-1] + more[1:]])
+        return pa.concat_arrays(kept), places, flat, ends, first
 
     for batch in batches:
         low = 0
-        for i, text in enumerate(batch.column(1).to_pylist()):
-            pieces = find(text or "")
-            places.append(np.fromiter((index.setdefault(p, len(index)) for p in pieces), np.int64, len(pieces)))
-            size += len(text or "")
+        for i in range(batch.num_rows):
+            text = batch.column(1)[i].as_py() or ""
+            pieces = matcher.findall(text) if len(text) <= RUN else (m[0] for m in matcher.finditer(text))
+            places.append(np.fromiter((index.setdefault(p, len(index)) for p in pieces), np.int32))
+            size += len(text)
             if size >= RUN:
                 kept.append(batch.column(0).slice(low, i + 1 - low))
-                yield from run()
-                kept, places, index, size, low = [], [], {}, 0, i + 1
+                yield folded()
+                kept, places, size, low = [], [], 0, i + 1
+                if len(index) >= KNOWN:
+                    index.clear()
+                    flat, ends = np.empty(0, np.int32), np.zeros(1, np.int64)
         if low < batch.num_rows:
             kept.append(batch.column(0).slice(low))
     if kept:
-        yield from run()
+        yield folded()
+
+
+def _encoded(table: tuple, pattern: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows, places, flat, starts, _ in _runs(table, pattern, batches):
+        counts = np.diff(starts)
+        own = np.concatenate(places)
+        ids = flat[_places(starts[own], counts[own])]
+        sums = np.concatenate([[0], np.cumsum(counts[own])])
+        ends = sums[np.concatenate([[0], np.cumsum([len(p) for p in places])])]
+        listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))
+        yield pa.RecordBatch.from_arrays([rows, listed], ["kept", "ids"])
 
 
 def encode(documents: DataFrame, ranks: dict[bytes, int], pattern: str, keep: list[str], text: str = "text") -> DataFrame:
@@ -213,40 +227,50 @@ def _token_list(ranks: dict[bytes, int]) -> list[bytes]:
     return out
 
 
-def decode(encodings: DataFrame, ranks: dict[bytes, int], keep: list[str], digests: bool = False) -> DataFrame:
-    """Columns ``keep`` and ``decoded``, the bytes of ``ids``; NULL ids decode to no bytes.
-
-    With ``digests``, the number of ids and hexadecimal SHA-256 of the ids as little-endian
-    unsigned 32-bit integers and of the bytes instead of the bytes themselves.
-    """
+def decode(encodings: DataFrame, ranks: dict[bytes, int], keep: list[str]) -> DataFrame:
+    """Columns ``keep`` and ``decoded``, the bytes of ``ids``; NULL ids decode to no bytes."""
     shared = encodings.sparkSession.sparkContext.broadcast(_token_list(ranks))
-    names = ["n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["decoded"]
-    kinds = [F.lit(0).cast("long"), F.lit(""), F.lit("")] if digests else [F.lit(b"")]
     pairs = encodings.select(F.struct(*keep).alias("kept"), "ids")
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = shared.value
         for batch in batches:
-            out: list[list] = [[] for _ in names]
-            for own in batch.column(1):
-                ids = own.values.to_numpy() if own.is_valid and len(own.values) else np.empty(0, np.int32)
-                if not digests:
-                    out[0].append(b"".join(decoded(tokens, ids)))
-                    continue
-                content = hashlib.sha256()
-                for some in decoded(tokens, ids):
-                    content.update(some)
-                row = len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(), content.hexdigest()
-                for column, value in zip(out, row):
-                    column.append(value)
-            types = [pa.int64(), pa.string(), pa.string()] if digests else [pa.binary()]
-            columns = [pa.array(values, kind) for values, kind in zip(out, types)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["kept", *names])
+            out = [b"".join(decoded(shared.value, own.values.to_numpy())) if own.is_valid and len(own.values) else b""
+                   for own in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["kept", "decoded"])
 
-    schema = pairs.select("kept", *[k.alias(n) for k, n in zip(kinds, names)]).schema
-    return pairs.mapInArrow(joined, schema).select("kept.*", *names)
+    schema = pairs.select("kept", F.lit(b"").alias("decoded")).schema
+    return pairs.mapInArrow(joined, schema).select("kept.*", "decoded")
 
 
 def digests(documents: DataFrame, ranks: dict[bytes, int], pattern: str, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` with the number of tokens and digests of the ids and of the decoded bytes."""
-    return decode(encode(documents, ranks, pattern, keep), ranks, keep, digests=True)
+    """Columns ``keep`` with the number of tokens and digests of the ids and of the decoded bytes.
+
+    One pass encodes, decodes and hashes: neither ids nor bytes of more than a run are ever held, and
+    every piece is decoded once from its ids.
+    """
+    shared = documents.sparkSession.sparkContext.broadcast((pair_table(ranks), _token_list(ranks)))
+    pairs = documents.select(F.struct(*keep).alias("kept"), F.col("text").alias("t"))
+    names = ["n_tokens", "ids_sha256", "decoded_sha256"]
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, tokens = shared.value
+        known: list[bytes] = []
+        for rows, places, flat, starts, first in _runs(table, pattern, batches):
+            del known[first:]
+            known += [b"".join(decoded(tokens, flat[starts[k]:starts[k + 1]])) for k in range(len(known), len(starts) - 1)]
+            counts = np.diff(starts)
+            out: list[list] = [[], [], []]
+            for own in places:
+                ids, content = hashlib.sha256(), hashlib.sha256()
+                for low in range(0, len(own), 1 << 16):
+                    some = own[low : low + (1 << 16)]
+                    ids.update(flat[_places(starts[some], counts[some])].astype("<u4").tobytes())
+                    content.update(b"".join(map(known.__getitem__, some.tolist())))
+                for column, value in zip(out, (int(counts[own].sum()), ids.hexdigest(), content.hexdigest())):
+                    column.append(value)
+            columns = [pa.array(values, kind) for values, kind in zip(out, (pa.int64(), pa.string(), pa.string()))]
+            yield pa.RecordBatch.from_arrays([rows, *columns], ["kept", *names])
+
+    kinds = [F.lit(0).cast("long"), F.lit(""), F.lit("")]
+    schema = pairs.select("kept", *[k.alias(n) for k, n in zip(kinds, names)]).schema
+    return pairs.mapInArrow(hashed, schema).select("kept.*", *names)
