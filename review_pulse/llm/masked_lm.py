@@ -1,14 +1,20 @@
 """Masked pseudo-likelihood: a bidirectional window network predicts every token from both sides.
 
-Tokens are lower-cased words, hashed into CLASSES x MEMBERS buckets. The words up to ``SPAN`` places
-before and after a position, each through a matrix of its own place, make one hidden vector; it
-predicts the class and, given the class, the member of the hidden word. A document's score is the
-sum of these conditional log-probabilities over all its words.
-
-Training reads every document. A hash of the position deals all positions over the rounds, so that
-each is masked in exactly one; every task trains a copy of the network on the masked positions of its
-partition with AdaGrad, and the copies are averaged in Spark, weighted by positions, parameter by
-parameter. The network has a fixed size, whatever the corpus; only it comes back to the driver.
+Tokens are lower-cased words. The ``VOCABULARY`` most frequent of the whole corpus (counted in Spark)
+have a number of their own; all others are predicted as one, REST, and then spelled byte by byte by a
+model of byte pairs, so that every word has a probability of its own. As context, rare words go
+to one of ``SHADES`` hashed numbers. The words up to ``SPAN`` places before and after a position, each
+through a matrix of its own place, make one hidden vector; it predicts the class and, given the class,
+the member of the word in the middle, which it never sees. A document's score is the sum of these
+conditional log-probabilities over all its words.
+
+Training reads every document and predicts every position once. Runs of texts are dealt over the rounds;
+every task trains a copy of the network on its runs of the round with AdaGrad, and the copies are
+averaged in Spark, weighted by positions, in a tree: no task and no driver sees more than ``FAN`` of
+them at once. Which texts share a run depends on files and partitions, so another layout gives
+slightly other weights, and scores; the same layout gives the same.
+
+The vocabulary and the network have a fixed size, whatever the corpus; only they come to the driver.
 
 Defined results: NULL, empty or blank text has no tokens and a log-probability of 0; the context
 beyond either end of a text is an end mark; repeated rows score alike; for a table without words
@@ -22,30 +28,33 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from review_pulse.llm import bytewise
 
 CLASSES, MEMBERS = 64, 64
-TOKENS = CLASSES * MEMBERS
-END = TOKENS  # the mark beyond either end
+REST = 0  # the target that stands for all words without a number
+VOCABULARY = CLASSES * MEMBERS - 1
+SHADES = 1 << 12
+END = CLASSES * MEMBERS + SHADES  # the mark beyond either end
 HIDDEN = 16
 SPAN = 3
 OFFSETS = tuple(o for o in range(-SPAN, SPAN + 1) if o)
-ROUNDS = 2  # each trains on its share of the positions, together on all
-BATCH = 2048
-SLICE = 1 << 13
+ROUNDS = 2  # each trains on its share of the runs, together on all
+STEP = 1 << 12  # positions of a training step, and of a slice when scoring
+FAN = 32
 
 _SHAPES = {
-    "embed": (TOKENS + 1, HIDDEN), "place": (len(OFFSETS), HIDDEN, HIDDEN), "bias": (HIDDEN,),
-    "classes": (HIDDEN, CLASSES), "class_bias": (CLASSES,),
-    "members": (CLASSES, HIDDEN, MEMBERS), "member_bias": (CLASSES, MEMBERS),
+    "embed": (END + 1, HIDDEN), "place": (len(OFFSETS), HIDDEN, HIDDEN), "bias": (HIDDEN,),
+    "classes": (HIDDEN + 1, CLASSES), "members": (CLASSES, HIDDEN + 1, MEMBERS),
 }
 
 
 @dataclass
 class Network:
+    """All weights in one vector; the last row of ``classes`` and ``members`` are their biases."""
     flat: np.ndarray
 
     def __getattr__(self, name: str) -> np.ndarray:
@@ -58,148 +67,271 @@ class Network:
         raise AttributeError(name)
 
 
+@dataclass
+class Model:
+    """Hashes of the numbered words, sorted, with their numbers; the network; log-probabilities of byte pairs."""
+    hashes: np.ndarray
+    numbers: np.ndarray
+    network: Network
+    spelling: np.ndarray  # of the second byte given the first; byte 0x20 stands before and after a word
+
+
 def untrained(seed: int = 11) -> Network:
     network = Network(np.zeros(sum(int(np.prod(s)) for s in _SHAPES.values()), np.float32))
     rng = np.random.default_rng(seed)
     for name in ("embed", "place", "classes", "members"):
         part = getattr(network, name)
         part[:] = rng.normal(0, 0.25, part.shape)
+    network.classes[-1], network.members[:, -1] = 0, 0
     return network
 
 
-def tokens_of(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Tokens of runs of texts, SPAN end marks around each text, and each text's first token."""
+def blank_model() -> Model:
+    return Model(np.empty(0, np.uint64), np.empty(0, np.int64), untrained(), np.full((256, 256), -np.log(256)))
+
+
+def _word_runs(column: pa.Array) -> Iterator[tuple[np.ndarray, ...]]:
+    """Lower-cased bytes, begin, end and hash of the words of runs of texts, and each text's first word."""
     data, starts = bytewise.utf8(column)
     for low, high in bytewise.groups(starts):
         some = bytewise.LOWER[data[starts[low] : starts[high]]]
         begin, end, first = bytewise.spans(some, starts[low : high + 1] - starts[low], ~bytewise.IS_SPACE)
-        ids = (bytewise.hash_spans(some, begin, end) >> np.uint64(52)).astype(np.int32)
-        counts = np.diff(first)
-        room = SPAN * np.arange(1, high - low + 1)
-        padded = np.full(len(ids) + SPAN * (high - low + 1), END, np.int32)
-        padded[np.arange(len(ids)) + np.repeat(room, counts)] = ids
-        yield padded, np.append(first[:-1] + room, len(ids) + SPAN * (high - low + 1))
+        yield some, begin, end, bytewise.hash_spans(some, begin, end), first
+
+
+def numbered(model: Model, hashes: np.ndarray) -> np.ndarray:
+    """The number of each word: its own, or for a rare word the one of its shade."""
+    if not len(model.hashes):
+        return CLASSES * MEMBERS + (hashes % np.uint64(SHADES)).astype(np.int64)
+    at = np.minimum(np.searchsorted(model.hashes, hashes), len(model.hashes) - 1)
+    shade = CLASSES * MEMBERS + (hashes % np.uint64(SHADES)).astype(np.int64)
+    return np.where(model.hashes[at] == hashes, model.numbers[at], shade)
+
+
+def padded_runs(model: Model, column: pa.Array) -> Iterator[tuple[np.ndarray, ...]]:
+    """Word numbers with SPAN end marks around each text, each text's first place, and how each word is spelled."""
+    for data, begin, end, hashes, first in _word_runs(column):
+        counts, texts = np.diff(first), len(first) - 1
+        room = SPAN * np.arange(1, texts + 1)
+        padded = np.full(len(hashes) + SPAN * (texts + 1), END, np.int64)
+        padded[np.arange(len(hashes)) + np.repeat(room, counts)] = numbered(model, hashes)
+        yield padded, np.append(first[:-1] + room, len(padded)), (data, begin, end)
+
+
+def spelled(model: Model, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The log-probability of each word's bytes, one after another, up to its end."""
+    before = np.empty(len(data), np.uint8)
+    before[1:] = data[:-1]
+    before[begin] = 0x20
+    sums = np.concatenate([[0], np.cumsum(model.spelling[before, data])])
+    return sums[end] - sums[begin] + model.spelling[data[end - 1], 0x20]
+
+
+def pair_counts(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """How often each pair of bytes occurs in some words, with the space around each."""
+    sizes = end - begin
+    starts = np.cumsum(sizes) - sizes
+    flat = data[np.repeat(begin - starts, sizes) + np.arange(int(sizes.sum()))].astype(np.int64)
+    before = np.empty_like(flat)
+    before[1:] = flat[:-1]
+    before[starts] = 0x20
+    pairs = np.bincount(before * 256 + flat, minlength=1 << 16)
+    return pairs + np.bincount(data[end - 1].astype(np.int64) * 256 + 0x20, minlength=1 << 16)
 
 
 def positions_of(padded: np.ndarray) -> np.ndarray:
     return np.flatnonzero(padded != END)
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(1, keepdims=True))
-    return x / x.sum(1, keepdims=True)
-
-
-def _hidden(network: Network, padded: np.ndarray, at: np.ndarray, projected: np.ndarray | None = None) -> np.ndarray:
-    total = np.tile(network.bias, (len(at), 1))
-    for k, offset in enumerate(OFFSETS):
-        context = padded[at + offset]
-        total += projected[k].take(context, 0) if projected is not None else network.embed.take(context, 0) @ network.place[k]
-    return np.tanh(total)
-
-
-def log_probabilities(network: Network, padded: np.ndarray, at: np.ndarray, projected: np.ndarray) -> np.ndarray:
-    """The log-probability of the token at each place, given the tokens around it."""
-    out = np.empty(len(at))
-    for low in range(0, len(at), SLICE):
-        places = at[low : low + SLICE]
-        h = _hidden(network, padded, places, projected)
-        target = padded[places]
-        cls, member = target // MEMBERS, target % MEMBERS
-        logits = h @ network.classes + network.class_bias
-        mine = logits[np.arange(len(places)), cls] - np.log(np.exp(logits).sum(1))
-        order = np.argsort(cls, kind="stable")
-        bounds = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
-            own = order[bounds[c] : bounds[c + 1]]
-            if len(own):
-                logits = h[own] @ network.members[c] + network.member_bias[c]
-                mine[own] += logits[np.arange(len(own)), member[own]] - np.log(np.exp(logits).sum(1))
-        out[low : low + SLICE] = mine
+def targets_of(padded: np.ndarray) -> np.ndarray:
+    return np.where(padded < CLASSES * MEMBERS, padded, REST)
+
+
+def _shifted(rows: np.ndarray, offset: int) -> tuple[np.ndarray, np.ndarray]:
+    """Views of the rows that have a row ``offset`` further on, and of those further on."""
+    return (rows[: len(rows) - offset], rows[offset:]) if offset > 0 else (rows[-offset:], rows[: len(rows) + offset])
+
+
+def _hidden(network: Network, context: np.ndarray) -> np.ndarray:
+    """Hidden vectors of all places of a slice, given the embeddings of its tokens; the last column, of ones, meets the biases."""
+    inner = np.tile(network.bias, (len(context), 1))
+    for offset, place in zip(OFFSETS, network.place):
+        mine, ahead = _shifted(inner, offset)[0], _shifted(context, offset)[1]
+        mine += ahead @ place
+    out = np.ones((len(context), HIDDEN + 1), np.float32)
+    np.tanh(inner, out=out[:, :-1])
     return out
 
 
-def train_step(network: Network, squares: Network, padded: np.ndarray, at: np.ndarray, rate: float) -> None:
-    """One AdaGrad step on the tokens at some places."""
-    grad = Network(np.zeros_like(network.flat))
-    h = _hidden(network, padded, at)
-    target = padded[at]
-    cls, member = target // MEMBERS, target % MEMBERS
-    error = _softmax(h @ network.classes + network.class_bias)
-    error[np.arange(len(at)), cls] -= 1
-    grad.classes[:], grad.class_bias[:] = h.T @ error, error.sum(0)
-    back = error @ network.classes.T
+def _by_class(targets: np.ndarray) -> tuple[np.ndarray, list[slice]]:
+    """An order of the targets by class, and the part of that order which each class takes."""
+    cls = (targets // MEMBERS).astype(np.uint8)
     order = np.argsort(cls, kind="stable")
-    bounds = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        own = order[bounds[c] : bounds[c + 1]]
-        if len(own):
-            error = _softmax(h[own] @ network.members[c] + network.member_bias[c])
-            error[np.arange(len(own)), member[own]] -= 1
-            grad.members[c], grad.member_bias[c] = h[own].T @ error, error.sum(0)
-            back[own] += error @ network.members[c].T
-    back *= 1 - h**2
+    bounds = np.searchsorted(cls[order], np.arange(CLASSES + 1)).tolist()
+    return order, [slice(a, b) for a, b in zip(bounds, bounds[1:])]
+
+
+_ONES = np.ones(max(CLASSES, MEMBERS), np.float32)
+
+
+def log_probabilities(network: Network, padded: np.ndarray) -> np.ndarray:
+    """The log-probability of the number (or of REST) of each word, given the tokens around it."""
+    classes, members, embed = network.classes, network.members, network.embed
+    found = [np.empty(0)]
+    for low in range(0, len(padded) - 2 * SPAN, STEP):
+        part = padded[low : low + STEP + 2 * SPAN]
+        at = SPAN + positions_of(part[SPAN : len(part) - SPAN])
+        targets = targets_of(part[at])
+        order, own = _by_class(targets)
+        targets, row = targets[order], np.arange(len(at))
+        h = _hidden(network, embed.take(part, 0))[at[order]]
+        logits = h @ classes
+        mine = logits[row, targets // MEMBERS] - np.log(np.exp(logits, out=logits) @ _ONES[:CLASSES])
+        for some, weights in zip(own, members):
+            np.matmul(h[some], weights, out=logits[some])
+        mine += logits[row, targets % MEMBERS] - np.log(np.exp(logits, out=logits) @ _ONES[:MEMBERS])
+        out = np.empty(len(at))
+        out[order] = mine
+        found.append(out)
+    return np.concatenate(found)
+
+
+def train_step(network: Network, squares: Network, padded: np.ndarray, rate: float) -> int:
+    """One AdaGrad step on all places of a slice but the SPAN at either end; gives their number."""
+    at = SPAN + positions_of(padded[SPAN : len(padded) - SPAN])
+    if not len(at):
+        return 0
+    embed, classes, members = network.embed, network.classes, network.members
+    grad = Network(np.zeros_like(network.flat))
+    targets = targets_of(padded[at])
+    order, own = _by_class(targets)
+    at, targets, row = at[order], targets[order], np.arange(len(at))
+    context = embed.take(padded, 0)
+    h = _hidden(network, context)[at]
+
+    def error_of(logits: np.ndarray, right: np.ndarray) -> np.ndarray:
+        np.exp(logits, out=logits)
+        logits *= (1 / (logits @ _ONES[: logits.shape[1]]))[:, None]
+        logits[row, right] -= 1
+        return logits
+
+    error = error_of(h @ classes, targets // MEMBERS)
+    grad.classes[:] = h.T @ error
+    back = error @ classes[:-1].T
+    for some, weights in zip(own, members):
+        np.matmul(h[some], weights, out=error[some])
+    error = error_of(error, targets % MEMBERS)
+    for some, weights, step in zip(own, members, grad.members):
+        np.matmul(h[some].T, error[some], out=step)
+        back[some] += error[some] @ weights[:-1].T
+    back *= 1 - h[:, :-1] ** 2
     grad.bias[:] = back.sum(0)
-    embed = np.zeros((TOKENS + 1, HIDDEN), np.float32)
-    for k, offset in enumerate(OFFSETS):
-        context = padded[at + offset]
-        grad.place[k] = network.embed.take(context, 0).T @ back
-        inner = back @ network.place[k].T
-        order = np.argsort(context, kind="stable")
-        ids, begun = np.unique(context[order], return_index=True)
-        embed[ids] += np.add.reduceat(inner[order], begun)
-    grad.embed[:] = embed
+    placed = np.zeros((len(padded), HIDDEN), np.float32)
+    placed[at] = back
+    returned = np.zeros_like(placed)  # what each token of the slice gets back from the places around it
+    for offset, place, step in zip(OFFSETS, network.place, grad.place):
+        (mine, _), (_, ahead) = _shifted(placed, offset), _shifted(context, offset)
+        step[:] = ahead.T @ mine
+        into = _shifted(returned, offset)[1]
+        into += mine @ place.T
+    order = np.argsort(padded.astype(np.uint16), kind="stable")
+    tokens, begun = np.unique(padded[order], return_index=True)
+    grad.embed[tokens] = np.add.reduceat(returned[order], begun, 0)
     grad.flat /= len(at)
     squares.flat += grad.flat**2
     network.flat -= rate * grad.flat / np.sqrt(squares.flat + 1e-8)
+    return len(at)
+
 
+def vocabulary(documents: DataFrame, text: str = "text", size: int = VOCABULARY) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of the ``size`` most frequent words (ties by hash), and their numbers from 1."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = [h for _, _, _, h, _ in _word_runs(batch.column(0))]
+            words, counts = np.unique(np.concatenate([np.empty(0, np.uint64), *hashes]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(counts)], ["word", "n"])
+
+    counts = documents.select(F.col(text).alias("t")).mapInArrow(count, "word long, n long")
+    total = counts.groupBy("word").agg(F.sum("n").alias("n"))
+    top = total.orderBy(F.desc("n"), "word").limit(size).collect()
+    hashes = np.array([r["word"] for r in top], np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], order + 1
+
+
+def _summed(copies: DataFrame, parts: int) -> DataFrame:
+    """One row of arrays added up: ``parts`` partitions become fewer by ``FAN`` at a time."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            for k in range(batch.num_rows):
+                some = np.frombuffer(batch.column(0)[k].as_py(), np.float64)
+                total = some.copy() if total is None else np.add(total, some, out=total)
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], ["sums"])
 
-def masked(padded: np.ndarray, at: np.ndarray, number: int, rounds: int) -> np.ndarray:
-    """The places that a round hides, chosen by a hash of the surrounding tokens; each place in one round."""
-    near = padded[at].astype(np.uint64) << np.uint64(26) | padded[at - 1].astype(np.uint64) << np.uint64(13)
-    near = bytewise.mixed((near | padded[at + 1].astype(np.uint64)) + at.astype(np.uint64))
-    return at[near % np.uint64(rounds) == number]
+    while parts > 1:
+        parts = -(-parts // FAN)
+        copies = copies.repartition(parts).mapInArrow(add, "sums binary")
+    return copies
 
 
-def train(documents: DataFrame, text: str = "text", rounds: int = ROUNDS, rate: float = 0.2) -> Network:
+def train(documents: DataFrame, text: str = "text", rounds: int = ROUNDS, rate: float = 0.2, size: int = VOCABULARY) -> Model:
     spark = documents.sparkSession
-    network = untrained()
+    model = blank_model()
+    model.hashes, model.numbers = vocabulary(documents, text, min(size, VOCABULARY))
+    pairs = np.zeros(1 << 16)
+    column = documents.select(F.col(text).alias("t"))
     for number in range(rounds):
-        shared = spark.sparkContext.broadcast(network.flat)
+        shared = spark.sparkContext.broadcast((model.hashes, model.numbers, model.network.flat))
 
         def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            mine, squares, used = Network(shared.value.copy()), Network(np.zeros_like(shared.value)), 0
+            hashes, numbers, flat = shared.value
+            mine, squares = Network(flat.copy()), Network(np.zeros_like(flat))
+            known = Model(hashes, numbers, mine, np.empty(0))
+            used, pairs = 0, np.zeros(1 << 16)
+            turn = TaskContext.get().partitionId()  # else single-run partitions would all have the same round
             for batch in batches:
-                for padded, _ in tokens_of(batch.column(0)):
-                    places = masked(padded, positions_of(padded), number, rounds)
-                    for low in range(0, len(places), BATCH):
-                        train_step(mine, squares, padded, places[low : low + BATCH], rate)
-                    used += len(places)
+                for padded, _, (data, begin, end) in padded_runs(known, batch.column(0)):
+                    turn += 1
+                    if turn % rounds != number:
+                        continue
+                    for low in range(0, len(padded) - 2 * SPAN, STEP):
+                        used += train_step(mine, squares, padded[low : low + STEP + 2 * SPAN], rate)
+                    rare = padded[padded != END] >= CLASSES * MEMBERS
+                    if rare.any():
+                        pairs += pair_counts(data, begin[rare], end[rare])
             if used:
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.arange(len(mine.flat), dtype=np.int32)), pa.array(mine.flat.astype(float) * used),
-                    pa.array(np.full(len(mine.flat), used, np.int64))], ["place", "value", "used"])
-
-        copies = documents.select(F.col(text).alias("t")).mapInArrow(local, "place int, value double, used long")
-        mean = copies.groupBy("place").agg((F.sum("value") / F.sum("used")).alias("value")).toPandas()
-        flat = network.flat.copy()
-        flat[mean["place"].to_numpy()] = mean["value"].to_numpy()
-        network = Network(flat)
-    return network
+                sums = np.concatenate([[used], pairs, mine.flat.astype(np.float64) * used])
+                yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()])], ["sums"])
+
+        copies = column.mapInArrow(local, "sums binary")
+        row = _summed(copies, copies.rdd.getNumPartitions()).first()
+        if row:
+            sums = np.frombuffer(row["sums"], np.float64)
+            pairs += sums[1 : 1 + (1 << 16)]
+            model.network = Network((sums[1 + (1 << 16):] / sums[0]).astype(np.float32))
+    table = pairs.reshape(256, 256) + 0.01
+    model.spelling = np.log(table / table.sum(1, keepdims=True))
+    return model
 
 
-def scored(documents: DataFrame, network: Network, keep: list[str], text: str = "text") -> DataFrame:
+def scored(documents: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
     """Columns ``keep`` with n_tokens and log_prob, the summed conditional log-probabilities."""
-    shared = documents.sparkSession.sparkContext.broadcast(network.flat)
+    shared = documents.sparkSession.sparkContext.broadcast(
+        (model.hashes, model.numbers, model.network.flat, model.spelling))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network = Network(shared.value)
-        projected = np.stack([network.embed @ w for w in network.place])
+        hashes, numbers, flat, spelling = shared.value
+        model = Model(hashes, numbers, Network(flat), spelling)
         for batch in batches:
             counts, sums = [np.empty(0, np.int64)], [np.empty(0)]
-            for padded, first in tokens_of(batch.column(1)):
+            for padded, first, (data, begin, end) in padded_runs(model, batch.column(1)):
                 at = positions_of(padded)
-                total = np.concatenate([[0], np.cumsum(log_probabilities(network, padded, at, projected))])
+                each = log_probabilities(model.network, padded)
+                rare = padded[at] >= CLASSES * MEMBERS
+                each[rare] += spelled(model, data, begin[rare], end[rare])
+                total = np.concatenate([[0], np.cumsum(each)])
                 bounds = np.searchsorted(at, first)
                 counts.append(np.diff(bounds))
                 sums.append(total[bounds[1:]] - total[bounds[:-1]])
