@@ -2,9 +2,11 @@
 
 Counts of hashed 2- and 3-grams per language are summed over all rows that may be learned from,
 inside Spark; the matrix of log-probabilities (languages x buckets, bounded by two parameters) is
-broadcast, and each batch of texts is scored in numpy through prefix sums of looked-up values.
+broadcast, and each batch of texts is scored in numpy through prefix sums of looked-up values. With more
+than ``BLOCK`` languages the matrix is cut into blocks, and the texts pass one block after another
+with the best language and the summed probability so far; no language is left out.
 
-Defined results: NULL, empty or letterless text is ``und`` with score 0; ties go to the first
+Defined results: NULL or empty text, and one in which no character is a letter by Unicode category, is ``und`` with score 0; ties go to the first
 language in code-point order; repeated rows are scored alike; without any labelled row every text
 is ``und``; other columns, whatever their names, do not matter. Texts are read whole, piece by
 piece.
@@ -12,7 +14,6 @@ piece.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,17 +22,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from review_pulse.llm.shared import held_out
+from review_pulse.llm.shared import held_out, stored
 
 UNKNOWN = "und"
 ORDERS = (2, 3)
 PIECE = 1 << 17
-_LETTER = re.compile(r"[^\W\d_]")
+BLOCK = 256
 _MIX = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
 
 
 @dataclass
 class Model:
+    """A block of languages."""
     languages: list[str]
     log_prob: np.ndarray  # languages x buckets
     prior: np.ndarray
@@ -80,16 +82,19 @@ def _ngrams(codes: np.ndarray, starts: np.ndarray, order: int, buckets: int) ->
 
 
 def fit(documents: DataFrame, text: str = "text", language: str = "lang", may_learn: Column | None = None,
-        buckets: int = 8192, max_languages: int = 256) -> Model:
-    """Counts over every row with a language; the most frequent ``max_languages`` are learned."""
+        buckets: int = 8192) -> list[Model]:
+    """Blocks of languages, with counts over every row that has a language and may be learned from."""
     rows = documents.where(F.col(language).isNotNull())
     rows = rows if may_learn is None else rows.where(may_learn)
-    ranked = rows.groupBy(F.col(language).alias("language")).count().orderBy(F.desc("count"), "language")
-    frequent = {r["language"]: r["count"] for r in ranked.limit(max_languages).collect()}
-    names = sorted(frequent)
-    if not names:
-        return Model([], np.zeros((0, buckets)), np.zeros(0))
+    counts = rows.groupBy(F.col(language).alias("language")).count().collect()
+    number = {r["language"]: r["count"] for r in counts}
+    every = sorted(number)
+    total = sum(number.values())
+    blocks = [every[k : k + BLOCK] for k in range(0, len(every), BLOCK)]
+    return [_fit_block(rows, text, language, names, np.array([number[n] for n in names]) / total, buckets) for names in blocks]
 
+
+def _fit_block(rows: DataFrame, text: str, language: str, names: list[str], share: np.ndarray, buckets: int) -> Model:
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros(len(names) * buckets, np.int64)
         index = {name: k for k, name in enumerate(names)}
@@ -111,8 +116,7 @@ def fit(documents: DataFrame, text: str = "text", language: str = "lang", may_le
     counts = np.zeros(len(names) * buckets)
     counts[cells["cell"].to_numpy(np.int64)] = cells["n"].to_numpy(np.float64)
     smoothed = counts.reshape(len(names), buckets) + 0.5
-    share = np.array([frequent[n] for n in names], float)
-    return Model(names, np.log(smoothed / smoothed.sum(1, keepdims=True)), np.log(share / share.sum()))
+    return Model(names, np.log(smoothed / smoothed.sum(1, keepdims=True)), np.log(share))
 
 
 def log_scores(model: Model, texts: list[str | None]) -> np.ndarray:
@@ -129,33 +133,49 @@ def log_scores(model: Model, texts: list[str | None]) -> np.ndarray:
     return out
 
 
-def identify(documents: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
+def has_letter(text: str | None) -> bool:
+    return any(map(str.isalpha, text or ""))
+
+
+def identify(documents: DataFrame, models: list[Model], keep: list[str], text: str = "text") -> DataFrame:
     """Columns ``keep`` with ``lang_pred`` and ``score``, the probability of the language named."""
-    shared = documents.sparkSession.sparkContext.broadcast((model.languages, model.log_prob, model.prior))
+    rows = documents.select(
+        F.struct(*keep).alias("kept"), F.col(text).alias("t"), F.lit(UNKNOWN).alias("lang_pred"),
+        F.lit(float("-inf")).alias("best"), F.lit(float("-inf")).alias("total"))
+    for k, model in enumerate(models):
+        rows = _identify_block(stored(rows, "language-block") if k else rows, model, last=k + 1 == len(models))
+    score = F.when(F.col("best") == float("-inf"), 0.0).otherwise(F.exp(F.col("best") - F.col("total")))
+    return rows.select("kept.*", "lang_pred", score.alias("score"))
+
+
+def _identify_block(rows: DataFrame, model: Model, last: bool) -> DataFrame:
+    """The best language so far, its log-probability and that of all languages so far together.
+
+    The texts are passed on unless this is the last block.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast((model.languages, model.log_prob, model.prior))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*shared.value)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-            known = [i for i, t in enumerate(texts) if t and _LETTER.search(t)] if model.languages else []
+            texts, names = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            bests, totals = (batch.column(k).to_numpy(zero_copy_only=False).copy() for k in (3, 4))
+            known = [i for i, t in enumerate(texts) if has_letter(t)]
             if known:
                 logs = log_scores(model, [texts[i] for i in known])
-                best = logs.argmax(1)
-                sure = 1 / np.exp(logs - logs.max(1, keepdims=True)).sum(1)
-                for i, k, s in zip(known, best, sure):
-                    names[i], scores[i] = model.languages[k], s
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                ["kept", "lang_pred", "score"],
-            )
+                most = logs.max(1)
+                totals[known] = np.logaddexp(totals[known], most + np.log(np.exp(logs - most[:, None]).sum(1)))
+                for i, k, log in zip(known, logs.argmax(1), most):
+                    if log > bests[i]:
+                        names[i], bests[i] = model.languages[k], log
+            out = pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(bests), pa.array(totals)],
+                batch.schema.names)
+            yield out.drop_columns(["t"]) if last else out
 
-    pairs = documents.select(F.struct(*keep).alias("kept"), F.col(text).alias("t"))
-    schema = pairs.select("kept", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
-    return pairs.mapInArrow(scored, schema).select("kept.*", "lang_pred", "score")
+    return rows.mapInArrow(scored, rows.drop("t").schema if last else rows.schema)
 
 
 def identified(documents: DataFrame, keep: list[str]) -> DataFrame:
     """Fit on the rows that are not held out and name the language of all rows."""
-    model = fit(documents, may_learn=~held_out(F.col("doc_id")))
-    return identify(documents, model, keep)
+    return identify(documents, fit(documents, may_learn=~held_out(F.col("doc_id"))), keep)
