@@ -13,12 +13,11 @@ def _quality() -> str:
     classes = ", ".join(
         f"length({text}) - length(regexp_replace({text}, '[{c}]', '', 'g'))" for c in quality.CLASSES
     )
-    lists = " ".join(
-        f"WHEN '{n}' THEN [{', '.join(repr(w) for w in words.split())}]" for n, words in quality.COMMON_WORDS.items()
-    )
+    fixed = ", ".join(
+        f"('{n}', [{', '.join(repr(w) for w in words.split())}])" for n, words in quality.COMMON_WORDS.items())
+    names = ", ".join(map(repr, quality.COMMON_WORDS))
     share = "list_transform({0}, lambda n: n * {1} // greatest(list_sum({0}), 1))".format
     width = len(quality.CLASSES) + 1
-    words = 1 + max(len(w.split()) for w in quality.COMMON_WORDS.values())
     sums = lambda name, n: "[" + ", ".join(f"sum({name}[{k}])::BIGINT" for k in range(1, n + 1)) + "]"
     normal = lambda h: f"CASE WHEN list_sum({h}) > 0 THEN list_transform({h}, lambda n: n / list_sum({h})) END"
     part = "CASE WHEN {0} > 0 THEN {0} * log2({0} / (({1} + {2}) / 2)) ELSE 0.0 END".format
@@ -28,50 +27,63 @@ def _quality() -> str:
         f"list_transform(list_zip({p}, {q}), lambda z: {term})), 0.0)) END"
     )
     return f"""
-WITH texts AS (
-  SELECT doc_id, lang, {text} AS text, {_WORDS} AS words, [{classes}] AS known,
-    CASE lang {lists} END AS list,
+WITH texts AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, lang, {text} AS text, {_WORDS} AS words, [{classes}] AS known,
     list_filter(regexp_split_to_array(lower({text}), '[^\\p{{L}}]+'), lambda w: w <> '') AS letters,
     list_filter(string_split({text}, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
   FROM documents
+), others AS (
+  SELECT lang FROM texts WHERE lang IS NOT NULL AND lang NOT IN ({names})
+  GROUP BY lang HAVING count(*) >= {quality.MIN_LIST_DOCS} ORDER BY count(*) DESC, lang LIMIT {quality.MAX_LISTS}
+), own_words AS (
+  SELECT lang, word, count(*) AS n FROM (SELECT lang, unnest(letters) AS word FROM texts JOIN others USING (lang)) GROUP BY ALL
+), lists AS MATERIALIZED (
+  SELECT * FROM (VALUES {fixed}) AS fixed(list_lang, list)
+  UNION ALL
+  SELECT o.lang, coalesce(list(word ORDER BY n DESC, word) FILTER (word IS NOT NULL), []) FROM others o LEFT JOIN (
+    SELECT * FROM own_words QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) <= {quality.LIST_WORDS}) w
+    USING (lang) GROUP BY o.lang
 ), windows AS (
-  SELECT doc_id, unnest(range(1, len(words) - 1)) AS i, words FROM texts
+  SELECT r, unnest(range(1, len(words) - 1)) AS i, words FROM texts
 ), repeated AS (
-  SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (
-    PARTITION BY doc_id, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]) AS n FROM windows) WHERE n > 1
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (
+    PARTITION BY r, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]) AS n FROM windows) WHERE n > 1
 ), covered AS (
-  SELECT doc_id, sum(least(3, coalesce(following - i, 3))) AS n FROM (
-    SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS following FROM repeated) GROUP BY doc_id
+  SELECT r, sum(least(3, coalesce(following - i, 3))) AS n FROM (
+    SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS following FROM repeated) GROUP BY r
 ), counted AS (
-  SELECT doc_id, lang, len(words)::BIGINT AS n_words,
+  SELECT r, doc_id, lang, letters, len(words)::BIGINT AS n_words,
     coalesce(list_sum(list_transform(words, lambda w: length(w))), 0)::BIGINT AS word_chars,
     (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
     (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
     coalesce(c.n, 0)::BIGINT AS n_repeat_words, length(text) AS n_chars_read,
-    list_append(known, length(text) - list_sum(known)) AS class_counts,
-    list_transform(list, lambda w: len(list_filter(letters, lambda x: x = w))) AS usual, len(letters) AS n_letters
-  FROM texts LEFT JOIN covered c USING (doc_id)
-), shared AS (
-  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-    {share('class_counts', quality.MILLION)} AS c,
-    {share('list_append(usual, n_letters - list_sum(usual))', quality.MILLION)} AS w
+    list_append(known, length(text) - list_sum(known)) AS class_counts
+  FROM texts LEFT JOIN covered c USING (r)
+), based AS MATERIALIZED (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, {share('class_counts', quality.MILLION)} AS c,
+    lang IN (SELECT list_lang FROM lists) AS listed
   FROM counted
+), pairs AS MATERIALIZED (
+  SELECT r, list_lang, listed AND lang IS NOT NULL AS is_own, base_failed, n_chars_read, n_words, c,
+    {share('list_append(usual, n_letters - coalesce(list_sum(usual), 0))', quality.MILLION)} AS w
+  FROM (SELECT *, list_transform(list, lambda w: len(list_filter(letters, lambda x: x = w))) AS usual, len(letters) AS n_letters
+        FROM based JOIN lists ON lang = list_lang OR lang IS NULL OR NOT listed)
 ), reference AS (
-  SELECT lang, {sums('c', width)} AS rc, {sums('w', words)} AS rw
-  FROM shared WHERE NOT base_failed AND w IS NOT NULL GROUP BY lang
+  SELECT list_lang, {sums('c', width)} AS rc, list_filter({sums('w', quality.LIST_WORDS + 1)}, lambda n: n IS NOT NULL) AS rw
+  FROM pairs WHERE is_own AND NOT base_failed GROUP BY list_lang
 ), normal AS (
-  SELECT s.*, {normal('c')} AS pc, {normal('w')} AS pw, {normal('rc')} AS qc, {normal('rw')} AS qw
-  FROM shared s LEFT JOIN reference USING (lang)
+  SELECT r, n_chars_read, n_words, {normal('c')} AS pc, {normal('w')} AS pw, {normal('rc')} AS qc, {normal('rw')} AS qw
+  FROM pairs JOIN reference USING (list_lang)
 ), judged AS (
-  SELECT *,
-    round(CASE WHEN n_chars_read >= {quality.MIN_CHARS} THEN {distance('pc', 'qc')} END, 6) AS class_distance,
-    round(CASE WHEN n_words >= {quality.MIN_WORDS} THEN {distance('pw', 'qw')} END, 6) AS word_distance
-  FROM normal
+  SELECT r,
+    round(min(CASE WHEN n_chars_read >= {quality.MIN_CHARS} THEN {distance('pc', 'qc')} END), 6) AS class_distance,
+    round(min(CASE WHEN n_words >= {quality.MIN_WORDS} THEN {distance('pw', 'qw')} END), 6) AS word_distance
+  FROM normal GROUP BY r
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, class_distance, word_distance,
   NOT base_failed AND coalesce(class_distance <= {quality.MAX_CLASS_DISTANCE}, true)
     AND coalesce(word_distance <= {quality.MAX_WORD_DISTANCE}, true) AS kept
-FROM judged"""
+FROM based LEFT JOIN judged USING (r)"""
 
 
 _MIX = f"""
