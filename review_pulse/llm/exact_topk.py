@@ -4,8 +4,10 @@ Vectors become integers, floor(scale * component). For each dimension there is a
 sorted by value, read from the top for queries whose component is positive and from the bottom for
 negative ones. After reading every list down to one depth, a candidate's lower bound takes the least
 value of a list where it has not been met, its upper bound the list's frontier. Candidates whose
-upper bound is below the k-th lower bound cannot qualify and are left; reading goes deeper until no
-outsider can, and the final scores of what is left are resolved.
+upper bound is below the k-th lower bound cannot qualify and are out. Reading goes on, twice as deep each
+time, until few enough are left; only their scores are resolved. Where the bounds leave most
+candidates, as for evenly spread vectors of many dimensions, the lists are read to their end, and
+what has been read by then is every score.
 
 Spark deals queries and candidates out in blocks of bounded size by a hash of their id, so that each
 task sees one block of either; every block gives its own exact top k, and a window keeps the best of
@@ -29,7 +31,9 @@ from pyspark.sql import functions as F
 CANDIDATES = 8192  # rows of a block, about
 QUERIES = 2048
 TOGETHER = 256  # queries whose bounds are held at once
-DEPTHS = (0.25, 0.5)
+FIRST_DEPTH = 0.125  # share of every list that the first read covers
+FEW = 0.125  # share of the candidates that may be left when scores are resolved one by one
+HOPELESS = 0.9  # share of the candidates that, left after a read, sends it to the end of the lists
 
 
 def integers(vectors: DataFrame, vec_id: str, embedding: str, scale: int) -> DataFrame:
@@ -64,6 +68,7 @@ class SortedLists:
         self.place = np.empty_like(self.order)
         np.put_along_axis(self.place, self.order, np.arange(len(ids))[:, None], 0)
         self.sorted = np.take_along_axis(self.values, self.order, 0)
+        self.resolved = 0  # scores worked out so far
 
     def read(self, depth: int) -> tuple[np.ndarray, ...]:
         """Upper and lower values, from the top for positive weights, from the bottom for negative ones."""
@@ -74,27 +79,33 @@ class SortedLists:
                 np.where(from_bottom, self.values, self.sorted[count - depth]), np.where(from_bottom, self.values, high))
 
 
+def outsiders_out(lists: SortedLists, some: np.ndarray, own: np.ndarray, k: int) -> np.ndarray:
+    """Which candidates may still be among the k best of each query when reading stops."""
+    count = len(lists.ids)
+    positive, negative = np.maximum(some, 0), np.minimum(some, 0)
+    left, depth = ~own, FIRST_DEPTH
+    while depth < 1 and lists.values.dtype != object and count > k:
+        top_upper, top_lower, bottom_upper, bottom_lower = lists.read(max(1, int(count * depth)))
+        lower = positive @ top_lower.T + negative @ bottom_lower.T
+        lower[own] = -np.inf
+        least = np.partition(lower, count - k, axis=1)[:, count - k]
+        left &= positive @ top_upper.T + negative @ bottom_upper.T >= least[:, None]
+        if left.mean() <= FEW or left.mean() > HOPELESS:
+            break
+        depth *= 2
+    return left
+
+
 def block_top(lists: SortedLists, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, ...]]:
     """(query, place, score) of the k best of the block for each query."""
-    count = len(lists.ids)
-    # a block of few candidates is read to the end at once
-    reads = [lists.read(max(1, int(count * d))) for d in DEPTHS] if count > 4 * k and lists.values.dtype != object else []
     for low in range(0, len(queries), TOGETHER):
         some = queries[low : low + TOGETHER].astype(lists.values.dtype)
-        own = lists.ids[None, :] == query_ids[low : low + TOGETHER, None]
-        positive, negative = np.maximum(some, 0), np.minimum(some, 0)
-        left = ~own
-        for top_upper, top_lower, bottom_upper, bottom_lower in reads:
-            lower = positive @ top_lower.T + negative @ bottom_lower.T
-            lower[own] = -np.inf
-            least = np.partition(lower, count - k, axis=1)[:, count - k]
-            left &= positive @ top_upper.T + negative @ bottom_upper.T >= least[:, None]
-            if left.sum() <= k * len(some):
-                break
-        scores = some @ lists.values.T
+        left = outsiders_out(lists, some, lists.ids[None, :] == query_ids[low : low + TOGETHER, None], k)
+        to_the_end = some @ lists.values.T if left.mean() > FEW else None
         for q in range(len(some)):
             places = np.flatnonzero(left[q])
-            got = scores[q, places]
+            got = lists.values[places] @ some[q] if to_the_end is None else to_the_end[q, places]
+            lists.resolved += len(places) if to_the_end is None else len(lists.ids)
             best = np.lexsort((places, -got))[:k] if len(places) <= 8 * k else _best(places, got, k)
             yield np.full(len(best), low + q), places[best], got[best]
 
