@@ -7,16 +7,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from review_pulse.llm import byte_bpe, language_id, minhash_dedup, mixing, quality_rules
-from review_pulse.llm.shared import packed, stored
+from review_pulse.llm.shared import packed, remove, stored
 
 MIN_LANGUAGE_SCORE = 0.5
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known with a probability of at least MIN_LANGUAGE_SCORE."""
+    """Documents whose language is known with a probability of at least MIN_LANGUAGE_SCORE.
+
+    ``lang`` holds the predicted language from here on: the quality rules go by it.
+    """
     named = language_id.identified(packed(docs), ["whole_row"])
     known = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)
-    return named.where(known).select("whole_row.*")
+    own = [F.col("lang_pred").alias(c) if c == "lang" else F.col("whole_row")[c].alias(c) for c in docs.columns]
+    return named.where(known).select(*own)
 
 
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +56,10 @@ ORACLE_SQL = None  # a learned language model and MinHash have no SQL form
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before is not None:
+            remove(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
