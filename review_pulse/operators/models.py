@@ -32,10 +32,6 @@ LOGISTIC_PARAMS = {"maxIter": 20, "regParam": 0.1, "elasticNetParam": 0.5}
 FAMILIES = ("svm", "logistic", "forest")
 
 
-# Training rows that justify one more task per optimiser pass.
-ROWS_PER_TASK = 20_000
-
-
 def wants_rebalancing(family: str) -> bool:
     """The logistic family weights the natural class mix instead."""
     return family != "logistic"
@@ -98,16 +94,6 @@ def training_splits(
     return sampling.rebalance(split.where(is_train), row_id), split.where(~is_train).withColumn("copy", F.lit(1))
 
 
-def sized(rows: DataFrame) -> DataFrame:
-    """Cached rows in no more partitions than their number justifies.
-
-    An optimiser runs hundreds of short jobs, where near-empty tasks cost more than they save.
-    Large inputs keep their partitions, and with them the cached blocks.
-    """
-    wanted = max(1, -(-rows.count() // ROWS_PER_TASK))
-    return rows.coalesce(wanted) if wanted < rows.rdd.getNumPartitions() else rows
-
-
 def _encode(train: DataFrame, front: list) -> tuple[PipelineModel, DataFrame]:
     """Fit the feature stages, and cache what the classifier reads.
 
@@ -135,14 +121,14 @@ def _training_columns(train: DataFrame, family: str) -> DataFrame:
 def fit(train: DataFrame, family: str = "svm", partitions: int | None = None, **overrides) -> PipelineModel:
     """Fit all stages and add one that turns the class index back into the class code.
 
-    ``partitions`` sets the tasks of the optimiser's many short jobs; else the row count does.
+    ``partitions`` coalesces the encoded rows for the optimiser's many short jobs.
 
     What is cached between passes is recomputed from its lineage should an executor be lost.
     """
     *front, classifier = stages(family, **overrides)
     encoder, encoded = _encode(_training_columns(train, family), front)
     try:
-        fitted = classifier.fit(sized(encoded) if partitions is None else encoded.coalesce(partitions))
+        fitted = classifier.fit(encoded if partitions is None else encoded.coalesce(partitions))
     finally:
         encoded.unpersist()
     return _assembled(encoder, fitted)
@@ -203,7 +189,7 @@ def grid_search(train: DataFrame, family: str = "logistic", reg_params=(0.01, 0.
             seed=sampling.SPLIT_SEED,
             parallelism=len(grid),
         )
-        found = search.fit(sized(encoded))
+        found = search.fit(encoded)
     finally:
         encoded.unpersist()
     return _assembled(encoder, found.bestModel), [

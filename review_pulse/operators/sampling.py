@@ -13,6 +13,8 @@ from review_pulse.operators.profile import class_distribution
 
 # The majority class may be at most this many times the negative class.
 MAJORITY_FACTOR = 3
+DIGEST_DIGITS = 32
+BUCKET_DIGITS = 4  # digits of a hash that are counted at once
 SPLIT_SEED = 42
 
 
@@ -37,10 +39,10 @@ class RebalancePlan:
 
     @property
     def target(self) -> int:
-        """Rows of the positive class to keep."""
+        """Rows of the positive class to keep: all of them where there are no negative rows to go by."""
         positive = self.counts.get(POSITIVE, 0)
         negative = self.counts.get(NEGATIVE, 0)
-        return min(MAJORITY_FACTOR * negative, positive)
+        return min(MAJORITY_FACTOR * negative, positive) if negative else positive
 
     def copies(self, label: int) -> int:
         """How often each row of a minority class appears; an empty class stays empty."""
@@ -85,17 +87,21 @@ def _boundary(sizes: DataFrame, key: str, target: int):
 def hash_cut(rows: DataFrame, row_id: str, target: int, seed: int) -> Cut | None:
     """Where to cut the hash order of ``rows`` so that ``target`` of them come first.
 
-    Two grouped counts: over 65,536 buckets of leading hash digits, then over the digests inside
-    the boundary bucket. The running totals see a bucket list of fixed length, and one bucket's
-    digests; copies of an id are counted, never gathered.
+    Grouped counts over the next ``BUCKET_DIGITS`` digits of the hash, each time inside the bucket that the
+    cut falls into, until that bucket is as small as a list of buckets; its digests are counted
+    last. No running total sees more than that, and copies of an id are counted, never gathered.
     """
-    digest = hashing.seeded_md5(F.col(row_id), seed)
-    tagged = rows.select(digest.alias("digest"), F.substring(digest, 1, 4).alias("bucket"))
-    bucket = _boundary(tagged.groupBy("bucket").agg(F.count("*").alias("n")), "bucket", target)
-    if bucket is None:  # nothing to keep, or fewer rows than wanted
-        return None
-    inside = tagged.where(F.col("bucket") == bucket["bucket"])
-    room = target - bucket["before"]
+    inside = rows.select(hashing.seeded_md5(F.col(row_id), seed).alias("digest"))
+    room, digits = target, 0
+    while digits < DIGEST_DIGITS:
+        digits += BUCKET_DIGITS
+        leading = F.substring("digest", 1, digits)
+        found = _boundary(inside.groupBy(leading.alias("leading")).agg(F.count("*").alias("n")), "leading", room)
+        if found is None:  # nothing to keep, or fewer rows than wanted
+            return None
+        inside, room = inside.where(leading == found["leading"]), room - found["before"]
+        if found["n"] <= 16**BUCKET_DIGITS:
+            break
     last = _boundary(inside.groupBy("digest").agg(F.count("*").alias("n")), "digest", room)
     return Cut(last["digest"], last["n"], room - last["before"])
 

@@ -242,6 +242,13 @@ def downsample_hash(spark, sf_dir):
     return sampling.rebalance(_lopsided(spark, sf_dir), "review_id")
 
 
+@query
+def rebalance_without_negatives(spark, sf_dir):
+    """No negative rows to go by: every positive row stays, the neutral ones are repeated."""
+    rows = views.ratings(spark, sf_dir).where(F.col("label") != labels.NEGATIVE).select("review_id", "label")
+    return sampling.rebalance(rows, "review_id", exact=True)
+
+
 @query
 def split_rows(spark, sf_dir):
     return sampling.with_split(views.ratings(spark, sf_dir).select("review_id", "label"), "review_id")
@@ -467,7 +474,7 @@ def grid_search(spark, sf_dir):
 
 @query
 def json_roundtrip(spark, sf_dir):
-    decoded = messages.accepted(messages.decode(messages.encode(views.reviews(spark, sf_dir))))
+    decoded = messages.accepted(messages.decode(messages.encode(views.all_reviews(spark, sf_dir))))
     return decoded.select(
         "review_id", F.col("reviewerID").alias("reviewer_id"), "asin",
         F.col("reviewTime").alias("review_time"), F.col("overall").cast("double").alias("overall"),
@@ -489,26 +496,26 @@ def ingest_stats(spark, sf_dir):
 @query
 def published_lines(spark, sf_dir):
     path = scratch_path(spark, "published")
-    messages.publish(views.reviews(spark, sf_dir), path=path)
+    messages.publish(views.all_reviews(spark, sf_dir), path=path)
     return tables.line_count(spark, path)
 
 
 @query
 def csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "csv")
-    tables.write_csv(views.curated(spark, sf_dir).select(*schemas.CURATED_CSV.names), path)
+    tables.write_csv(views.all_curated(spark, sf_dir).select(*schemas.CURATED_CSV.names), path)
     return tables.fill_missing_text(tables.read_csv(spark, path)).select(
-        "review_id", "reviewer_id", "asin", "overall", "cleaned_text", "label"
+        "review_id", "reviewer_id", "asin", "review_time", "overall", "cleaned_text", "lemmatized_text", "label"
     )
 
 
 @query
 def jsonl_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "jsonl")
-    tables.write_json_lines(views.reviews(spark, sf_dir).select(*messages.message_columns()), path)
+    tables.write_json_lines(views.all_reviews(spark, sf_dir).select(*messages.message_columns()), path)
     return tables.read_reviews(spark, path).select(
         "review_id", F.col("reviewerID").alias("reviewer_id"), "asin", "overall",
-        F.col("reviewText").alias("review_text"),
+        F.col("reviewTime").alias("review_time"), F.col("reviewText").alias("review_text"),
     )
 
 
@@ -523,7 +530,7 @@ def stream_scored(spark, sf_dir):
     model, _ = _fitted(spark, sf_dir, "svm")
     scorer = scoring.model_scorer(model)
     source, target, checkpoint = (scratch_path(spark, n) for n in ("messages", "predictions", "checkpoint"))
-    messages.publish(views.reviews(spark, sf_dir), path=source)
+    messages.publish(views.all_reviews(spark, sf_dir), path=source)
     stream = messages.read_stream(spark, path=source, maxFilesPerTrigger="2")
     scored = scoring.score_stream(stream, scorer, target, checkpoint, trigger=ONE_PASS)
     scoring.await_all([scored])
@@ -563,12 +570,17 @@ def stream_quarantine(spark, sf_dir):
     return refused.select("value")
 
 
+def _files_stream(rows: DataFrame, files_per_batch: int) -> DataFrame:
+    """Rows as a stream of files, so many files per micro-batch."""
+    spark, source = rows.sparkSession, scratch_path(rows.sparkSession, "replay")
+    rows.write.parquet(source)
+    schema = spark.read.parquet(source).schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
+
+
 def _replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The predictions as a stream of files, two files per micro-batch."""
-    source = scratch_path(spark, "replay")
-    views.predictions(spark, sf_dir).write.parquet(source)
-    schema = spark.read.parquet(source).schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(source)
+    return _files_stream(views.predictions(spark, sf_dir), 2)
 
 
 @query
@@ -581,24 +593,37 @@ def stream_trend(spark, sf_dir):
     return trend.current(spark, target).withColumn("day", display.display_day(F.col("day")))
 
 
-def _landed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
-    """Predictions stored by a stream that refreshes the marts after every batch."""
+def _land(spark: SparkSession, sf_dir: str, fan: int | None) -> tuple[str, str]:
+    """Predictions with their texts stored by a stream that refreshes the marts after every batch."""
     target, mart_path, checkpoint = (scratch_path(spark, n) for n in ("landed", "marts", "checkpoint"))
+    texts = views.documents(spark, sf_dir).select(F.col("doc_id").alias("event_id"), "text")
+    rows = views.predictions(spark, sf_dir, "event_id").join(texts, "event_id", "left").drop("event_id")
 
     def as_stored(batch: DataFrame) -> DataFrame:
         stored = batch.withColumns({
-            "text": F.lit(None).cast("string"),
-            "lemmatized_text": F.lit(None).cast("string"),
+            "lemmatized_text": text.clean_stream(F.col("text")),
             "review_time": F.date_format("ingestion_time", "yyyy-MM-dd"),
             "ingestion_time": F.col("ingestion_time").cast("timestamp"),
         })
         return stored.select(*schemas.PREDICTIONS.names)
 
     running = scoring.land(
-        _replayed(spark, sf_dir), as_stored, target, checkpoint,
-        after_batch=refresh.refresh(target, mart_path), trigger=ONE_PASS,
+        _files_stream(rows.repartition(8, "review_id"), 2), as_stored, target, checkpoint,
+        after_batch=refresh.refresh(target, mart_path, fan), trigger=ONE_PASS,
     )
     scoring.await_all([running])
+    return target, mart_path
+
+
+LANDED: dict[tuple[str, str], tuple[str, str]] = {}
+
+
+def _landed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """One landing for all mart queries of an application; some of its batches are merged, some are not."""
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in LANDED:
+        LANDED[key] = _land(spark, sf_dir, fan=3)
+    target, mart_path = LANDED[key]
     return tables.read_predictions(spark, target), mart_path
 
 
@@ -629,11 +654,44 @@ def stream_mart_products(spark, sf_dir):
 @query
 def stream_mart_recent(spark, sf_dir):
     _, mart_path = _landed(spark, sf_dir)
-    recent = refresh.recent_reviews(spark, mart_path)
-    return recent.select("review_id", "reviewer_id", "predicted_label", "sentiment", "ingestion_time")
+    return refresh.recent_reviews(spark, mart_path)
 
 
 @query
 def stream_mart_stats(spark, sf_dir):
     _, mart_path = _landed(spark, sf_dir)
     return refresh.store_stats(spark, mart_path)
+
+
+@query
+def stream_landed(spark, sf_dir):
+    """The rows of the landing itself, read from merged and single batches."""
+    stored, _ = _landed(spark, sf_dir)
+    return stored.select("review_id", "reviewer_id", "asin", "review_time", "predicted_label", "text", "lemmatized_text", "ingest_date")
+
+
+@query
+def stream_mart_merged(spark, sf_dir):
+    """Rows stored and class counts before a merge, after it, after a merged batch came again, and after
+    the old folders were deleted."""
+    target, mart_path = _land(spark, sf_dir, fan=None)
+    states = []
+
+    def look(state: str) -> None:
+        stored = tables.read_predictions(spark, target).count()
+        counts = refresh.sentiment_counts(spark, mart_path).select("label", "reviews").collect()
+        states.extend((state, stored, r["label"], r["reviews"]) for r in counts)
+
+    look("before")
+    first = tables.read_predictions(spark, target).agg(F.min_by(F.struct("stream", "batch_id"), "batch_id").alias("b")).first()["b"]
+    folder = scoring.batch_path(target, first["stream"], first["batch_id"])
+    kept = stored_rows(tables.read_batch(spark, target, folder).select(*schemas.PREDICTIONS.names), scratch_path(spark, "kept"))
+    tables.merge_predictions(spark, target, everything=True)
+    refresh.merge_marts(spark, mart_path, everything=True)
+    look("merged")
+    scoring.write_batch(kept, first["stream"], first["batch_id"], target)
+    refresh.refresh(target, mart_path)(spark, first["stream"], first["batch_id"])
+    look("replayed")
+    refresh.vacuum(spark, target, mart_path, keep=1)
+    look("vacuumed")
+    return spark.createDataFrame(states, "state string, stored long, label int, reviews long")

@@ -31,7 +31,7 @@ _RATINGS = """ratings AS (
 _REVIEWS = _RATINGS + """,
 reviews AS (
   SELECT r.*, d.text AS review_text, strftime(r.ts, '%Y-%m-%d') AS review_time
-  FROM ratings r JOIN documents d ON d.doc_id = r.event_id)"""
+  FROM ratings r LEFT JOIN documents d ON d.doc_id = r.event_id)"""
 
 _PREDICTIONS = _RATINGS + """,
 predictions AS (
@@ -184,8 +184,10 @@ def _restored(stem: str) -> str:
 
 _IRREGULAR = ", ".join(f"({_text(form)}, {_text(lemma)})" for form, lemma in lexicon.irregular_forms().items())
 
-_LEMMAS = f"""WITH cleaned AS (
-  SELECT doc_id, {_placeholder('c')} AS t FROM (SELECT doc_id, {_clean_batch('text')} AS c FROM documents)),
+def _lemmas(texts: str) -> str:
+    """CTEs that give ``lemmas``: doc_id, cleaned text and lemmatized_text of each row of ``texts``."""
+    return f"""cleaned AS (
+  SELECT doc_id, {_placeholder('c')} AS t FROM (SELECT doc_id, {_clean_batch('text')} AS c FROM {texts})),
 irregular(form, lemma) AS (VALUES {_IRREGULAR}),
 positioned AS (
   SELECT doc_id, unnest(string_split(t, ' ')) AS w, generate_subscripts(string_split(t, ' '), 1) AS pos
@@ -194,8 +196,11 @@ reduced AS (
   SELECT doc_id, pos, coalesce(lemma, {_lemma_case('w')}) AS l
   FROM positioned LEFT JOIN irregular ON form = w
   WHERE w NOT IN ({_texts(lexicon.CLEANED_STOP_WORDS)}) AND w <> ''),
-joined AS (SELECT doc_id, string_agg(l, ' ' ORDER BY pos) AS j FROM reduced GROUP BY doc_id)
-SELECT doc_id, coalesce(j, t) AS lemmatized_text FROM cleaned LEFT JOIN joined USING (doc_id)"""
+joined AS (SELECT doc_id, string_agg(l, ' ' ORDER BY pos) AS j FROM reduced GROUP BY doc_id),
+lemmas AS (SELECT doc_id, t, coalesce(j, t) AS lemmatized_text FROM cleaned LEFT JOIN joined USING (doc_id))"""
+
+
+_LEMMAS = f"WITH {_lemmas('documents')} SELECT doc_id, lemmatized_text FROM lemmas"
 
 
 def _draw(row_id: str, seed: int = 42) -> str:
@@ -210,7 +215,8 @@ _SPLIT = (
 _SPLIT_ROWS = f"{_RATINGS}, split_rows AS (SELECT review_id, label, {_SPLIT} AS split FROM ratings)"
 
 
-_REVIEW_SPLIT = f"{_REVIEWS}, split_rows AS (SELECT review_id, label, {_SPLIT} AS split FROM reviews)"
+_REVIEW_SPLIT = (f"{_REVIEWS}, split_rows AS (SELECT review_id, label, {_SPLIT} AS split FROM reviews"
+                 " WHERE review_text IS NOT NULL)")
 
 _HELD_OUT_ROWS = f"""WITH {_REVIEW_SPLIT}
 SELECT review_id, split, CAST(label AS DOUBLE) AS label, true AS agrees FROM split_rows WHERE split <> 'train'"""
@@ -220,7 +226,7 @@ def _rebalanced(source: str, keep: str) -> str:
     """CTEs: class sizes, the target, ranked rows and the rebalanced rows ``balanced``."""
     return f"""sizes AS (SELECT count(*) FILTER (label = 0) AS n0, count(*) FILTER (label = 1) AS n1,
                  count(*) FILTER (label = 2) AS n2 FROM {source}),
-plan AS (SELECT *, least(3 * n0, n2) AS target FROM sizes),
+plan AS (SELECT *, CASE WHEN n0 > 0 THEN least(3 * n0, n2) ELSE n2 END AS target FROM sizes),
 ranked AS (SELECT review_id, label, {_draw('review_id')} AS draw,
                   row_number() OVER (PARTITION BY label ORDER BY md5(review_id || ':42'), review_id) AS rank
            FROM {source}),
@@ -254,7 +260,8 @@ rates AS (
 per_class AS (SELECT *, coalesce(2 * precision * recall / nullif(precision + recall, 0), 0.0) AS f1 FROM rates)"""
 
 _QUARANTINE = f"""WITH {_REVIEWS}
-SELECT '{{"reviewTe' AS value FROM reviews WHERE event_id % 50 = 0"""
+SELECT CASE WHEN review_text IS NULL THEN '{{"overall"' ELSE '{{"reviewTe' END AS value
+FROM reviews WHERE event_id % 50 = 0"""
 
 _CODE_INDEX = "CAST(row_number() OVER (ORDER BY {order}) - 1 AS INTEGER) AS indexed_label"
 
@@ -292,7 +299,7 @@ SELECT CASE WHEN NOT cut THEN review_id END AS review_id,
        CASE WHEN cut THEN 'N/A' ELSE reviewer_id END AS reviewer_id,
        CASE WHEN cut THEN 'N/A' ELSE coalesce(asin, 'N/A') END AS asin,
        CASE WHEN cut OR event_id % 50 = 1 THEN 'N/A' ELSE CAST(overall AS VARCHAR) END AS rating,
-       CASE WHEN cut THEN '' ELSE left(review_text, 100) END AS preview
+       CASE WHEN cut THEN '' ELSE coalesce(left(review_text, 100), '') END AS preview
 FROM sent""",
     "text_snippets": f"SELECT doc_id, {_SNIPPET} AS snippet FROM documents",
     "lexicon_lemmas": _LEMMAS,
@@ -328,6 +335,9 @@ SELECT review_id, label, copy FROM balanced""",
     "rebalance_hash": f"""WITH {_RATINGS}, {_rebalanced('ratings', _KEEP_HASH)}
 SELECT review_id, label, copy FROM balanced""",
     "downsample_exact": f"""WITH {_LOPSIDED}, {_rebalanced('lopsided', _KEEP_EXACT)}
+SELECT review_id, label, copy FROM balanced""",
+    "rebalance_without_negatives": f"""WITH {_RATINGS},
+upper AS (SELECT review_id, label FROM ratings WHERE label > 0), {_rebalanced('upper', _KEEP_EXACT)}
 SELECT review_id, label, copy FROM balanced""",
     "downsample_hash": f"""WITH {_LOPSIDED}, {_rebalanced('lopsided', _KEEP_HASH)}
 SELECT review_id, label, copy FROM balanced""",
@@ -397,9 +407,12 @@ counted AS (SELECT count(*) AS total, count(*) FILTER (event_id % 50 NOT IN (0,
                    count(*) FILTER (event_id % 50 = 2) AS missing FROM reviews)
 SELECT *, CAST({_percent('sent', 'total')} AS DOUBLE) AS success_pct FROM counted""",
     "published_lines": f"WITH {_REVIEWS} SELECT count(*) AS lines FROM reviews",
-    "csv_roundtrip": f"""WITH {_REVIEWS}, cleaned AS (SELECT *, {_clean_batch('review_text')} AS t FROM reviews)
-SELECT review_id, reviewer_id, asin, overall, {_placeholder('t')} AS cleaned_text, label FROM cleaned""",
-    "jsonl_roundtrip": f"WITH {_REVIEWS} SELECT review_id, reviewer_id, asin, overall, review_text FROM reviews",
+    "csv_roundtrip": f"""WITH {_REVIEWS}, texts AS (SELECT event_id AS doc_id, review_text AS text FROM reviews),
+{_lemmas('texts')}
+SELECT review_id, reviewer_id, asin, review_time, overall, t AS cleaned_text, lemmatized_text, label
+FROM reviews JOIN lemmas ON doc_id = event_id""",
+    "jsonl_roundtrip": f"""WITH {_REVIEWS}
+SELECT review_id, reviewer_id, asin, overall, review_time, review_text FROM reviews""",
     "stream_stored": f"""WITH {_REVIEWS}, sent AS (SELECT *, event_id % 50 IN (0, 2) AS cut FROM reviews)
 SELECT CASE WHEN NOT cut THEN review_id END AS review_id, CASE WHEN NOT cut THEN reviewer_id END AS reviewer_id,
        CASE WHEN NOT cut THEN asin END AS asin, CASE WHEN NOT cut THEN review_time END AS review_time,
@@ -414,6 +427,13 @@ FROM predictions WHERE predicted_label IS NOT NULL GROUP BY CAST(ingestion_time
     "stream_mart_counts": _counts("label, sentiment, reviews, total"),
     "stream_mart_reviewers": _top("reviewer_id"),
     "stream_mart_products": _top("asin"),
-    "stream_mart_recent": _recent(15, ""),
+    "stream_mart_recent": _recent(15, f", CASE WHEN length({_clean_stream('text')}) > 200"
+                                  f" THEN left({_clean_stream('text')}, 200) || '...' ELSE {_clean_stream('text')} END AS lemmatized_text"),
+    "stream_landed": f"""WITH {_PREDICTIONS}
+SELECT review_id, reviewer_id, asin, strftime(ingestion_time, '%Y-%m-%d') AS review_time, predicted_label, text,
+       {_clean_stream('text')} AS lemmatized_text, CAST(ingestion_time AS DATE) AS ingest_date
+FROM predictions LEFT JOIN documents ON CAST(doc_id AS VARCHAR) = review_id""",
+    "stream_mart_merged": f"""SELECT state, (SELECT count(*) FROM events) AS stored, label, reviews
+FROM ({_counts("label, reviews")}), (SELECT unnest(['before', 'merged', 'replayed', 'vacuumed']) AS state)""",
     "stream_mart_stats": _STATS,
 }

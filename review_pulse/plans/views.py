@@ -34,18 +34,23 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("label", rating_label(F.col("overall")))
 
 
-def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rated reviews that have a document as their text."""
+def all_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a rated review, with the document of its id as text; most have none."""
     texts = documents(spark, sf_dir).select(
         F.col("doc_id").alias("event_id"), F.col("text").alias("review_text"), "lang", "source"
     )
-    return ratings(spark, sf_dir).join(texts, "event_id").withColumn(
+    return ratings(spark, sf_dir).join(texts, "event_id", "left").withColumn(
         "review_time", F.date_format("ts", "yyyy-MM-dd")
     )
 
 
-def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event as a stored prediction, with gaps and disagreements."""
+def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rated reviews that have a text, for the models."""
+    return all_reviews(spark, sf_dir).where(F.col("review_text").isNotNull())
+
+
+def predictions(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """Every event as a stored prediction, with gaps and disagreements; ``more`` columns of its rating stay."""
     predicted = (
         F.when(F.col("event_type") == "error", F.lit(None))
         .when(F.col("event_id") % 7 == 0, NEUTRAL)
@@ -54,7 +59,7 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return ratings(spark, sf_dir).select(
         "review_id", "reviewer_id", "asin", "label",
-        predicted.alias("predicted_label"), F.col("ts").alias("ingestion_time"),
+        predicted.alias("predicted_label"), F.col("ts").alias("ingestion_time"), *more,
     )
 
 
@@ -74,12 +79,21 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_id") % 50
     value = F.when(kind == 0, F.substring(body, 1, 10)).when(kind == 1, F.to_json(F.struct(*columns))).when(
         kind == 2, F.lit(None)).otherwise(body)
-    return reviews(spark, sf_dir).select(value.alias("value"))
+    return all_reviews(spark, sf_dir).select(value.alias("value"))
 
 
 def curated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reviews in the curated form."""
-    raw = reviews(spark, sf_dir).select(*messages.message_columns()).withColumn(
+    """Reviews with a text, in the curated form."""
+    return _curated(reviews(spark, sf_dir))
+
+
+def all_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every review in the curated form."""
+    return _curated(all_reviews(spark, sf_dir))
+
+
+def _curated(rated: DataFrame) -> DataFrame:
+    raw = rated.select(*messages.message_columns()).withColumn(
         "overall", F.col("overall").cast("double")
     )
     return curate(raw)

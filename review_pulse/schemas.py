@@ -53,3 +53,19 @@ PREDICTIONS = T.StructType([
     T.StructField("reviewer_id", T.StringType()),
     T.StructField("ingestion_time", T.TimestampType()),
 ])
+
+
+def _columns(**kinds: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
+
+
+_TALLIES = {name: T.LongType() for name in ("negative", "neutral", "positive")}
+
+# Partial results that a stored batch leaves for the dashboard.
+MARTS = {
+    "daily": _columns(day=T.DateType(), **_TALLIES, valid=T.LongType(), stored=T.LongType(), latest=T.TimestampType()),
+    "reviewers": _columns(reviewer_id=T.StringType(), **_TALLIES, total=T.LongType()),
+    "products": _columns(asin=T.StringType(), **_TALLIES, total=T.LongType()),
+    "recent": _columns(review_id=T.StringType(), reviewer_id=T.StringType(), predicted_label=T.IntegerType(),
+                       ingestion_time=T.TimestampType(), lemmatized_text=T.StringType()),
+}

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from review_pulse import schemas
 from review_pulse.functions.labels import parse_rating
+from review_pulse.streaming import generations
 
 
 def read_reviews(spark: SparkSession, path: str) -> DataFrame:
@@ -55,20 +56,27 @@ def fill_missing_text(df: DataFrame, column: str = "lemmatized_text") -> DataFra
     return df.fillna({column: ""})
 
 
+STORED = T.StructType([
+    *schemas.PREDICTIONS.fields,
+    T.StructField("stream", T.StringType()),
+    T.StructField("batch_id", T.LongType()),
+    T.StructField("ingest_date", T.DateType()),
+])
+
+
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
-    """Scored reviews of every batch; ``stream``, ``batch_id`` and ``ingest_date`` are folders."""
-    return read_batch(spark, path, path)
+    """Scored reviews of every batch, merged or not, with their stream, batch and day of storing."""
+    return generations.read(spark, path, STORED)
+
+
+def merge_predictions(spark: SparkSession, path: str, **options) -> generations.Generation:
+    """Merge the folders of stored batches; rows keep their stream and batch."""
+    return generations.merge(spark, path, STORED, partition_by=("ingest_date",), **options)
 
 
 def read_batch(spark: SparkSession, path: str, folder: str) -> DataFrame:
     """Scored reviews of one folder below ``path``; no other folder is listed."""
-    schema = T.StructType([
-        *schemas.PREDICTIONS.fields,
-        T.StructField("stream", T.StringType()),
-        T.StructField("batch_id", T.LongType()),
-        T.StructField("ingest_date", T.DateType()),
-    ])
-    return spark.read.schema(schema).option("basePath", path).parquet(folder)
+    return spark.read.schema(STORED).option("basePath", path).parquet(folder)
 
 
 def line_count(spark: SparkSession, path: str) -> DataFrame:

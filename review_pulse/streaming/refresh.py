@@ -2,7 +2,7 @@
 
 Each stored batch leaves its own small partial result; a dashboard query adds the partial results
 up. The work per refresh follows the size of the batch, not of the history, and replaying a batch
-replaces its partial result.
+replaces its partial result. Partial results of many batches are merged into one from time to time.
 """
 
 from __future__ import annotations
@@ -14,12 +14,16 @@ from pyspark.sql import functions as F
 
 from review_pulse.functions.labels import CLASS_NAMES
 from review_pulse.operators import marts
-from review_pulse.sources.tables import read_batch
+from review_pulse.schemas import MARTS
+from review_pulse.sources.tables import merge_predictions, read_batch
+from review_pulse.streaming import generations
 from review_pulse.streaming.scoring import batch_path
 
 # Fixed value: rows a pushed "recent reviews" panel shows; wider panels read the predictions.
 RECENT_ROWS = 15
 
+_TALLIES = [n.lower() for n in CLASS_NAMES.values()]
+
 
 def daily_counts(predictions: DataFrame) -> DataFrame:
     """Rows, class counts and latest time per ingestion day; unscored rows count in ``stored``."""
@@ -31,8 +35,11 @@ def daily_counts(predictions: DataFrame) -> DataFrame:
     )
 
 
-def refresh(predictions_path: str, marts_path: str):
-    """A callback for :func:`score_stream` that writes the partial results of the stored batch."""
+def refresh(predictions_path: str, marts_path: str, fan: int | None = None):
+    """A callback for :func:`score_stream` that writes the partial results of the stored batch.
+
+    With ``fan``, folders of batches are merged when there are as many, in the store and in the marts.
+    """
 
     def run(spark: SparkSession, stream: str, batch_id: int) -> None:
         batch = read_batch(spark, predictions_path, batch_path(predictions_path, stream, batch_id)).persist()
@@ -40,36 +47,59 @@ def refresh(predictions_path: str, marts_path: str):
             refresh_from(batch, stream, batch_id, marts_path)
         finally:
             batch.unpersist()
+        if fan:
+            merge_predictions(spark, predictions_path, fan=fan)
+            merge_marts(spark, marts_path, fan=fan)
 
     return run
 
 
+def _newest(rows: DataFrame) -> DataFrame:
+    return marts.newest(rows, RECENT_ROWS).select(*MARTS["recent"].names)
+
+
+def merge_marts(spark: SparkSession, marts_path: str, **options) -> dict[str, generations.Generation]:
+    """Merge the partial results of many batches: sums by day or key, and the newest rows of all."""
+    combine = {
+        "daily": generations.sums(["day"], [*_TALLIES, "valid", "stored"], ("latest",)),
+        "reviewers": generations.sums(["reviewer_id"], [*_TALLIES, "total"]),
+        "products": generations.sums(["asin"], [*_TALLIES, "total"]),
+        "recent": _newest,
+    }
+    return {name: generations.merge(spark, f"{marts_path}/{name}", MARTS[name], step, **options)
+            for name, step in combine.items()}
+
+
+def vacuum(spark: SparkSession, predictions_path: str, marts_path: str, keep: int = 2) -> int:
+    """Delete the folders that merging has left behind; gives their number."""
+    paths = [predictions_path, *(f"{marts_path}/{name}" for name in MARTS)]
+    return sum(generations.vacuum(spark, path, keep) for path in paths)
+
+
 def refresh_from(batch: DataFrame, stream: str, batch_id: int, marts_path: str) -> None:
     partials = {
         "daily": daily_counts(batch),
         "reviewers": marts.tallies_by(batch, "reviewer_id"),
         "products": marts.tallies_by(batch, "asin"),
-        "recent": marts.newest(batch, RECENT_ROWS).select(
-            "review_id", "reviewer_id", marts.PREDICTED, marts.MOMENT, "lemmatized_text"
-        ),
+        "recent": _newest(batch),
     }
     for name, partial in partials.items():
         partial.write.mode("overwrite").parquet(batch_path(f"{marts_path}/{name}", stream, batch_id))
 
 
 def _read(spark: SparkSession, marts_path: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{marts_path}/{name}")
+    return generations.read(spark, f"{marts_path}/{name}", MARTS[name])
 
 
 def _summed(partials: DataFrame, key: str) -> DataFrame:
-    names = [n.lower() for n in CLASS_NAMES.values()] + ["total"]
+    names = [*_TALLIES, "total"]
     return partials.groupBy(key).agg(*[F.sum(n).alias(n) for n in names])
 
 
 def sentiment_counts(spark: SparkSession, marts_path: str) -> DataFrame:
     daily = _read(spark, marts_path, "daily")
     sums = daily.agg(
-        *[F.coalesce(F.sum(n.lower()), F.lit(0)).alias(n.lower()) for n in CLASS_NAMES.values()]
+        *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in _TALLIES]
     )
     return marts.upright(sums)
 
@@ -84,7 +114,7 @@ def sentiment_trend(
     """Whole days from the daily partials; the two end days, which the range cuts, from the
     predictions of those days."""
     start, end = marts.trend_bounds(as_of, days_back)
-    names = [n.lower() for n in CLASS_NAMES.values()]
+    names = _TALLIES
     day = F.col("day")
     inner = (
         _read(spark, marts_path, "daily")
@@ -110,7 +140,7 @@ def top_products(spark: SparkSession, marts_path: str, limit: int = 10) -> DataF
 
 
 def product_sentiment(spark: SparkSession, marts_path: str, asin: str) -> DataFrame:
-    names = [n.lower() for n in CLASS_NAMES.values()] + ["total"]
+    names = [*_TALLIES, "total"]
     wanted = _read(spark, marts_path, "products").where(F.col("asin") == asin)
     sums = wanted.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
     return marts.with_percentages(sums.select(F.lit(asin).alias("asin"), "*"))

@@ -21,6 +21,7 @@ def rows_of(names, rows):
 
 TYPES = {
     "string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN",
+    "date": "DATE",
 }
 
 

@@ -155,8 +155,9 @@ def test_rebalance_edges(spark):
     assert counts(sampling.rebalance(labelled(spark, 50, 10, 60), "id", exact=True)) == {0: 50, 1: 60, 2: 60}
     # empty classes neither fail nor appear
     assert counts(sampling.rebalance(labelled(spark, 5, 0, 10), "id", exact=True)) == {0: 10, 2: 10}
-    assert counts(sampling.rebalance(labelled(spark, 0, 4, 10), "id", exact=True)) == {1: 4}
-    assert counts(sampling.rebalance(labelled(spark, 0, 4, 10), "id")) == {1: 4}
+    # without negative rows the positive class is left as it is
+    assert counts(sampling.rebalance(labelled(spark, 0, 4, 10), "id", exact=True)) == {1: 8, 2: 10}
+    assert counts(sampling.rebalance(labelled(spark, 0, 4, 10), "id")) == {1: 8, 2: 10}
     assert counts(sampling.rebalance(labelled(spark, 3, 2, 0), "id")) == {0: 3, 1: 2}
 
 
@@ -263,3 +264,22 @@ def test_vocabulary_vectors_agree_with_the_relational_form(spark):
     split = df.select("id", F.split("t", " ").alias("w"))
     rows = {(r.id, r.term): r.tfidf for r in features.vocab_tfidf(split, "id", "w").collect()}
     assert vectors == pytest.approx(rows)
+
+
+def test_rebalance_without_negatives_keeps_the_positive_rows(spark):
+    rows = spark.createDataFrame([(str(i), 2 if i % 5 else 1) for i in range(100)], "review_id string, label int")
+    for exact in (False, True):
+        counts = sampling.rebalance(rows, "review_id", exact=exact).groupBy("label").count().collect()
+        assert {r["label"]: r["count"] for r in counts} == {2: 80, 1: 80}
+
+
+def test_hash_cut_refines_large_buckets(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "BUCKET_DIGITS", 1)  # sixteen buckets: several rounds for 2,000 rows
+    rows = spark.createDataFrame([(str(i % 1500),) for i in range(2000)], "review_id string")
+    digests = sorted(hashlib.md5(f"{i % 1500}:7".encode()).hexdigest() for i in range(2000))
+    for target in (1, 700, 1999, 2000):
+        cut = sampling.hash_cut(rows, "review_id", target, 7)
+        assert cut.digest == digests[target - 1]
+        assert cut.rows == digests.count(cut.digest)
+        assert cut.room == target - digests.index(cut.digest)
+    assert sampling.hash_cut(rows, "review_id", 2001, 7) is None and sampling.hash_cut(rows, "review_id", 0, 7) is None
