@@ -22,6 +22,11 @@ def _trigger(args: argparse.Namespace) -> dict | None:
     return {"processingTime": args.every} if args.every else None
 
 
+def _add_trigger(parser: argparse.ArgumentParser) -> None:
+    parser.add_argument("--every", metavar="INTERVAL", help="micro-batch interval, such as '1 minute'")
+    parser.add_argument("--available-now", action="store_true", help="process what is there, then stop")
+
+
 def build_parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="review_pulse")
     sub = parser.add_subparsers(dest="job", required=True)
@@ -53,8 +58,29 @@ def build_parser() -> argparse.ArgumentParser:
     score.add_argument("--lemmatize", action="store_true", help="normalise texts as in training")
     score.add_argument("--format", default="text")
     score.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
-    score.add_argument("--every", metavar="INTERVAL", help="micro-batch interval, such as '1 minute'")
-    score.add_argument("--available-now", action="store_true", help="process what is there, then stop")
+    score.add_argument("--merge-every", type=int, metavar="BATCHES", help="merge the folders of so many batches")
+    _add_trigger(score)
+
+    preview = sub.add_parser("preview", help="print decoded messages as they come")
+    preview.add_argument("checkpoint")
+    preview.add_argument("--format", default="text")
+    preview.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
+    _add_trigger(preview)
+
+    trend = sub.add_parser("trend", help="keep the daily trend of a predictions table, corrected by late rows")
+    trend.add_argument("predictions")
+    trend.add_argument("target")
+    trend.add_argument("checkpoint")
+    trend.add_argument("--lateness-hours", type=float, default=24)
+    trend.add_argument("--horizon-days", type=float, default=30)
+    trend.add_argument("--merge-every", type=int, metavar="BATCHES")
+    _add_trigger(trend)
+
+    merge = sub.add_parser("merge", help="merge the folders of stored batches and of their partial results")
+    merge.add_argument("predictions")
+    merge.add_argument("marts")
+    merge.add_argument("--everything", action="store_true", help="into one folder, however few there are")
+    merge.add_argument("--vacuum", action="store_true", help="delete folders that no reader needs any more")
 
     show = sub.add_parser("dashboard", help="print every dashboard panel")
     show.add_argument("predictions")
@@ -82,10 +108,19 @@ def main(argv: list[str] | None = None) -> None:
         query = jobs.run_score(
             spark, args.models_base, args.target, args.marts, args.checkpoint,
             source_format=args.format, model_name=args.model, quarantine=args.quarantine,
-            lemmatize=args.lemmatize,
+            lemmatize=args.lemmatize, merge_every=args.merge_every,
             trigger=_trigger(args), **_options(args.option),
         )
         scoring.await_all([query])
+    elif args.job == "preview":
+        stream = messages.read_stream(spark, args.format, **_options(args.option))
+        scoring.await_all([scoring.console_preview(stream, args.checkpoint, _trigger(args))])
+    elif args.job == "trend":
+        jobs.run_trend(
+            spark, args.predictions, args.target, args.checkpoint, args.lateness_hours, args.horizon_days,
+            args.merge_every, _trigger(args))
+    elif args.job == "merge":
+        jobs.run_merge(spark, args.predictions, args.marts, args.everything, args.vacuum)
     else:
         predictions = tables.read_predictions(spark, args.predictions)
         options = {"days_back": args.days, "limit": args.limit, "asin": args.asin}

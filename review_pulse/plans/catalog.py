@@ -9,6 +9,7 @@ from pyspark.ml.feature import IDF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from review_pulse import schemas
 from review_pulse.functions import display, labels, lexicon, text
@@ -16,7 +17,7 @@ from review_pulse.operators import features, marts, metrics, models, profile, sa
 from review_pulse.plans import views
 from review_pulse.session import scratch_path
 from review_pulse.sources import messages, tables
-from review_pulse.streaming import refresh, scoring, trend
+from review_pulse.streaming import late, refresh, scoring, trend
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -578,21 +579,55 @@ def _files_stream(rows: DataFrame, files_per_batch: int) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
 
 
-def _replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The predictions as a stream of files, two files per micro-batch."""
-    return _files_stream(views.predictions(spark, sf_dir), 2)
+def _in_waves(spark: SparkSession, sf_dir: str, start: Callable[[DataFrame], StreamingQuery]) -> None:
+    """Predictions in four waves: ten days of the month each, and a thirteenth of the rows one wave later.
+
+    The stream is started anew for every wave and goes on from its checkpoint.
+    """
+    source = scratch_path(spark, "waves")
+    rows = views.predictions(spark, sf_dir, "event_id")
+    wave = F.floor((F.dayofmonth("ingestion_time") - 1) / 10) + (F.col("event_id") % 13 == 0).cast("int")
+    rows = rows.withColumn("wave", F.least(wave, F.lit(3))).drop("event_id")
+    for number in range(4):
+        rows.where(F.col("wave") == number).drop("wave").write.mode("append").parquet(source)
+        stream = spark.readStream.schema(rows.drop("wave").schema).parquet(source)
+        scoring.await_all([start(stream)])
 
 
 @query
 def stream_trend(spark, sf_dir):
-    """The continuous trend after a replay. Files arrive in no order of time, so the lateness
-    allowed covers the whole month they span."""
+    """The continuous trend: rows of days that the watermark has closed are not counted."""
     target, checkpoint = scratch_path(spark, "trend"), scratch_path(spark, "checkpoint")
-    running = trend.start(_replayed(spark, sf_dir), target, checkpoint, lateness="40 days", trigger=ONE_PASS)
-    scoring.await_all([running])
+    _in_waves(spark, sf_dir, lambda stream: trend.start(stream, target, checkpoint, trigger=ONE_PASS, fan=2))
     return trend.current(spark, target).withColumn("day", display.display_day(F.col("day")))
 
 
+CORRECTED: dict[tuple[str, str], str] = {}
+
+
+def _corrected(spark: SparkSession, sf_dir: str) -> str:
+    """One run of the correcting trend for both of its queries."""
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in CORRECTED:
+        target, checkpoint = scratch_path(spark, "corrected"), scratch_path(spark, "checkpoint")
+        _in_waves(spark, sf_dir, lambda stream: late.start(stream, target, checkpoint, salts=4, trigger=ONE_PASS, fan=2))
+        CORRECTED[key] = target
+    return CORRECTED[key]
+
+
+@query
+def stream_late(spark, sf_dir):
+    """Rows more than a day behind the newest row of earlier batches."""
+    found = late.late_rows(spark, _corrected(spark, sf_dir))
+    return found.select("review_id", "predicted_label", F.to_date("ingestion_time").alias("day"))
+
+
+@query
+def stream_late_trend(spark, sf_dir):
+    """The trend with late rows counted after all, and which days can change only by late rows."""
+    return late.trend(spark, _corrected(spark, sf_dir))
+
+
 def _land(spark: SparkSession, sf_dir: str, fan: int | None) -> tuple[str, str]:
     """Predictions with their texts stored by a stream that refreshes the marts after every batch."""
     target, mart_path, checkpoint = (scratch_path(spark, n) for n in ("landed", "marts", "checkpoint"))

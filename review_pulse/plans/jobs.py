@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from review_pulse.functions import lexicon, text
 from review_pulse.functions.labels import valid_labels, with_label
 from review_pulse.operators import marts, models, profile
 from review_pulse.sources import messages, tables
-from review_pulse.streaming import refresh, scoring
+from review_pulse.streaming import late, refresh, scoring
 
 
 def _row_key() -> Column:
@@ -78,19 +78,45 @@ def run_train(
 def run_score(
     spark: SparkSession, models_base: str, target: str, marts_path: str, checkpoint: str,
     source_format: str = "text", model_name: str | None = None, quarantine: str | None = None,
-    lemmatize: bool = False, trigger: dict | None = None, **source_options: str,
+    lemmatize: bool = False, trigger: dict | None = None, merge_every: int | None = None, **source_options: str,
 ):
-    """Start scoring a message stream into the predictions table and its marts."""
+    """Start scoring a message stream into the predictions table and its marts.
+
+    With ``merge_every``, the folders of so many batches are merged, in the table and the marts.
+    """
     _, model = models.resolve(spark, models_base, model_name)
     stream = messages.read_stream(spark, source_format, **source_options)
     return scoring.score_stream(
         stream, scoring.model_scorer(model), target, checkpoint, quarantine=quarantine,
         normalise=scoring.lemmatized if lemmatize else text.clean_stream,
-        after_batch=refresh.refresh(target, marts_path), trigger=trigger,
+        after_batch=refresh.refresh(target, marts_path, merge_every), trigger=trigger,
         report=lambda batch_id, counts: print(f"batch {batch_id}: {counts}"),
     )
 
 
+def run_trend(
+    spark: SparkSession, predictions: str, target: str, checkpoint: str, lateness_hours: float = 24,
+    horizon_days: float = 30, merge_every: int | None = None, trigger: dict | None = None,
+) -> None:
+    """Follow the batches a scoring stream stores and keep the trend that late rows correct."""
+    stream = spark.readStream.schema(tables.STORED).option("basePath", predictions).parquet(f"{predictions}/stream=*/batch_id=*")
+    scoring.await_all([late.start(
+        stream, target, checkpoint, timedelta(hours=lateness_hours), timedelta(days=horizon_days),
+        trigger=trigger, fan=merge_every)])
+    late.trend(spark, target).orderBy("day").show(truncate=False)
+
+
+def run_merge(spark: SparkSession, predictions: str, marts_path: str, everything: bool = False, vacuum: bool = False) -> None:
+    """Merge stored batches and partial results; print what each store's newest generation has."""
+    merged = {"predictions": tables.merge_predictions(spark, predictions, everything=everything)}
+    merged |= refresh.merge_marts(spark, marts_path, everything=everything)
+    for name, generation in merged.items():
+        batches = sum(len(ids) for f in generation.folders for ids in f.batches.values())
+        print(f"{name}: generation {generation.number}, {batches} batches in {len(generation.folders)} folders")
+    if vacuum:
+        print(f"deleted folders: {refresh.vacuum(spark, predictions, marts_path)}")
+
+
 def dashboard(
     predictions: DataFrame, as_of: datetime | None = None, days_back: int = 7,
     limit: int = 10, asin: str | None = None,

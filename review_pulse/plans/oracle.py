@@ -42,6 +42,18 @@ predictions AS (
   FROM ratings)"""
 
 
+# Rows in the waves they arrive in, with the newest time of earlier waves as the watermark has it.
+_WAVES = _PREDICTIONS + """,
+waved AS (
+  SELECT *, least(3, (day(ingestion_time) - 1) // 10 + CASE WHEN CAST(review_id AS BIGINT) % 13 = 0 THEN 1 ELSE 0 END) AS wave
+  FROM predictions WHERE predicted_label IS NOT NULL),
+seen AS (
+  SELECT wave, max(max(date_trunc('milliseconds', ingestion_time))) OVER (
+    ORDER BY wave ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest
+  FROM waved GROUP BY wave),
+arrived AS (SELECT * FROM waved JOIN seen USING (wave))"""
+
+
 def _percent(part: str, total: str) -> str:
     return (
         f"CASE WHEN {total} > 0 THEN CAST((2000 * {part} + {total}) // (2 * {total}) AS DOUBLE) / 10"
@@ -420,9 +432,19 @@ SELECT CASE WHEN NOT cut THEN review_id END AS review_id, CASE WHEN NOT cut THEN
        CASE WHEN NOT cut AND event_id % 50 <> 1 THEN label END AS predicted_label
 FROM sent""",
     "stream_quarantine": _QUARANTINE,
-    "stream_trend": f"""WITH {_PREDICTIONS}
-SELECT strftime(CAST(ingestion_time AS DATE), '%Y-%m-%d') AS day, {_TALLIES}
-FROM predictions WHERE predicted_label IS NOT NULL GROUP BY CAST(ingestion_time AS DATE)""",
+    "stream_trend": f"""WITH {_WAVES}
+SELECT strftime(CAST(ingestion_time AS DATE), '%Y-%m-%d') AS day, {_TALLIES} FROM arrived
+WHERE newest IS NULL OR CAST(ingestion_time AS DATE) + INTERVAL 1 DAY > newest - INTERVAL 1 DAY
+GROUP BY CAST(ingestion_time AS DATE)""",
+    "stream_late": f"""WITH {_WAVES}
+SELECT review_id, predicted_label, CAST(ingestion_time AS DATE) AS day FROM arrived
+WHERE ingestion_time < newest - INTERVAL 1 DAY""",
+    "stream_late_trend": f"""WITH {_WAVES}
+SELECT CAST(ingestion_time AS DATE) AS day, {_TALLIES},
+       count(*) FILTER (ingestion_time < newest - INTERVAL 1 DAY) AS late,
+       CAST(ingestion_time AS DATE) + INTERVAL 1 DAY <= (SELECT max(date_trunc('milliseconds', ingestion_time)) FROM arrived) - INTERVAL 1 DAY
+         AS closed
+FROM arrived GROUP BY CAST(ingestion_time AS DATE)""",
     "stream_mart_refresh": _TREND,
     "stream_mart_counts": _counts("label, sentiment, reviews, total"),
     "stream_mart_reviewers": _top("reviewer_id"),

@@ -87,3 +87,29 @@ def test_command_line_covers_every_job():
     for line in ("curate in out --csv c", "train in m --family forest --order legacy", "publish in --option path=x",
                  "score m p marts c --available-now --lemmatize --option path=x", "dashboard p --marts m --days 3 --asin a"):
         assert parser.parse_args(line.split()).job == line.split()[0]
+
+
+def test_merge_and_trend_jobs_follow_a_scored_stream(spark, tmp_path, capsys):
+    at = {n: str(tmp_path / n) for n in ("messages", "predictions", "marts", "checkpoint", "trend", "trend_checkpoint")}
+    for part in range(4):
+        lines = [json.dumps({"reviewText": "x", "overall": 5.0, "review_id": f"{part}-{i}", "reviewerID": "r", "asin": "p"}) for i in range(5)]
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(at["messages"])
+    scoring.await_all([scoring.score_stream(
+        messages.read_stream(spark, path=at["messages"], maxFilesPerTrigger="1"),
+        lambda rows: rows.withColumn("predicted_label", F.lit(2)), at["predictions"], at["checkpoint"],
+        after_batch=refresh.refresh(at["predictions"], at["marts"]), trigger={"availableNow": True})])
+    jobs.run_trend(spark, at["predictions"], at["trend"], at["trend_checkpoint"], trigger={"availableNow": True})
+    assert "20" in capsys.readouterr().out
+    jobs.run_merge(spark, at["predictions"], at["marts"], everything=True, vacuum=True)
+    printed = capsys.readouterr().out
+    assert "predictions: generation 1, 3 batches in 1 folders" in printed and "recent: generation 1" in printed
+    assert tables.read_predictions(spark, at["predictions"]).count() == 20
+    counts = refresh.sentiment_counts(spark, at["marts"]).collect()
+    assert {r["label"]: r["reviews"] for r in counts} == {0: 0, 1: 0, 2: 20}
+
+
+def test_every_job_has_arguments():
+    parser = cli.build_parser()
+    assert parser.parse_args(["preview", "c", "--option", "path=m", "--available-now"]).available_now
+    assert parser.parse_args(["trend", "p", "t", "c", "--merge-every", "5"]).merge_every == 5
+    assert parser.parse_args(["merge", "p", "m", "--vacuum"]).vacuum

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from review_pulse import schemas
 from review_pulse.operators import marts
 from review_pulse.sources import messages, tables
-from review_pulse.streaming import refresh, scoring, trend
+from review_pulse.streaming import generations, late, refresh, scoring, trend
 
 ONE_PASS = {"availableNow": True}
 
@@ -180,3 +180,40 @@ def test_console_preview_runs(spark, paths, capfd):
     messages.publish(reviews(spark, 0, 2), path=paths["messages"])
     stream = messages.read_stream(spark, path=paths["messages"])
     scoring.await_all([scoring.console_preview(stream, paths["checkpoint"], trigger=ONE_PASS)])
+
+
+EVENTS = "review_id string, ingestion_time timestamp, predicted_label int"
+
+
+def test_late_rows_correct_their_day_until_the_horizon(spark, tmp_path):
+    source, target, checkpoint = (str(tmp_path / n) for n in ("source", "target", "checkpoint"))
+    at = lambda day, hour=12: dt.datetime(2024, 1, day, hour)
+    waves = [
+        [(f"a{i}", at(1 + i % 10), i % 3) for i in range(30)],
+        [("late 2", at(2), 0), ("edge", at(9, 12), 0), ("none", at(20), None), ("on time", at(9, 13), 1), ("far", at(25), 2)],
+        [("dropped", at(2), 0), ("late 10", at(10), 0), ("last", at(26), 1)],
+    ]
+    for rows in waves:
+        spark.createDataFrame(rows, EVENTS).coalesce(2).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(EVENTS).parquet(source)
+        scoring.await_all([late.start(
+            stream, target, checkpoint, dt.timedelta(days=1), dt.timedelta(days=16), salts=3, trigger=ONE_PASS, fan=2)])
+    found = {r["review_id"]: r["batch_id"] for r in late.late_rows(spark, target).collect()}
+    assert set(found) == {"late 2", "late 10"} and found["late 2"] < found["late 10"]
+    days = {r["day"].day: r for r in late.trend(spark, target).collect()}
+    counts = {day: r["negative"] + r["neutral"] + r["positive"] for day, r in days.items()}
+    assert counts == {1: 3, 2: 4, 3: 3, 4: 3, 5: 3, 6: 3, 7: 3, 8: 3, 9: 5, 10: 4, 25: 1, 26: 1}
+    assert {day for day, r in days.items() if r["late"]} == {2, 10} and not days[26]["closed"] and days[10]["closed"]
+    assert generations.current(spark, f"{target}/versions").folders  # versions were merged on the way
+
+
+def test_trend_versions_are_merged(spark, tmp_path):
+    source, target, checkpoint = (str(tmp_path / n) for n in ("source", "target", "checkpoint"))
+    for k in range(4):
+        rows = [(f"{k}-{i}", dt.datetime(2024, 1, 1 + i, k), 2) for i in range(3)]
+        spark.createDataFrame(rows, EVENTS).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(EVENTS).parquet(source)
+        scoring.await_all([trend.start(stream, target, checkpoint, lateness="5 days", trigger=ONE_PASS, fan=2)])
+    assert {r["day"].day: r["positive"] for r in trend.current(spark, target).collect()} == {1: 4, 2: 4, 3: 4}
+    folder = generations.current(spark, target).folders[0]
+    assert spark.read.parquet(f"{target}/{generations.MERGED}/{folder.name}").count() == 3
