@@ -119,6 +119,11 @@ def tallies_by(predictions: DataFrame, key: str) -> DataFrame:
     return with_prediction(predictions).groupBy(key).agg(*class_tallies(), F.count("*").alias("total"))
 
 
+def summed(partials: DataFrame, key: str) -> DataFrame:
+    """Class counts per key from partial counts."""
+    return partials.groupBy(key).agg(*[F.sum(n).alias(n) for n in (*(n.lower() for n in CLASS_NAMES.values()), "total")])
+
+
 def top_keys(predictions: DataFrame, key: str, limit: int = 10, min_reviews: int = 2) -> DataFrame:
     """The keys with most reviews (two at least), with counts and percentages per class."""
     return top_of(tallies_by(predictions, key), key, limit, min_reviews)

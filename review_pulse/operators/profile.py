@@ -5,27 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from review_pulse.operators import selection
+
 
 def rating_summary(df: DataFrame, rating: str = "overall") -> DataFrame:
-    """Count, mean, sample deviation, extremes and interpolated quartiles, in one pass.
-
-    The exact ``percentile`` keeps a counter per distinct value; ratings have a handful.
-    """
-    value = F.col(rating)
-    present = df.where(value.isNotNull() & ~F.isnan(value))
-    stats = present.agg(
-        F.count(value).alias("n"),
-        F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("std"),
-        F.min(value).alias("min"),
-        F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"),
-        F.max(value).alias("max"),
-    )
-    return stats.select(
-        "n", "mean", "std", "min",
-        F.get("q", F.lit(0)).alias("q25"), F.get("q", F.lit(1)).alias("q50"),
-        F.get("q", F.lit(2)).alias("q75"), "max",
+    """Count, mean, sample deviation, extremes and interpolated quartiles of a column."""
+    stats = selection.present(df, rating).agg(
+        F.count(rating).alias("n"),
+        F.avg(rating).alias("mean"),
+        F.stddev_samp(rating).alias("std"),
+        F.min(rating).alias("min"),
+        F.max(rating).alias("max"),
     )
+    quartiles = selection.quantiles(df, rating, [0.25, 0.5, 0.75])
+    named = [F.lit(q).cast("double").alias(name) for name, q in zip(("q25", "q50", "q75"), quartiles)]
+    return stats.select("n", "mean", "std", "min", *named, "max")
 
 
 def histogram(df: DataFrame, column: str = "overall") -> DataFrame:

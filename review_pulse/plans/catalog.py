@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from review_pulse import schemas
 from review_pulse.functions import display, labels, lexicon, text
-from review_pulse.operators import features, marts, metrics, models, profile, sampling
+from review_pulse.operators import features, marts, metrics, models, profile, sampling, threshold
 from review_pulse.plans import views
 from review_pulse.session import scratch_path
 from review_pulse.sources import messages, tables
@@ -68,6 +68,22 @@ def top_products(spark, sf_dir):
     return marts.top_products(views.predictions(spark, sf_dir))
 
 
+def _daily_partials(spark: SparkSession, sf_dir: str, key: Column) -> DataFrame:
+    rows = views.predictions(spark, sf_dir).withColumns({"key": key, "part": F.to_date(marts.MOMENT)})
+    return marts.with_prediction(rows).groupBy("part", "key").agg(*marts.class_tallies(), F.count("*").alias("total"))
+
+
+@query
+def top_by_threshold(spark, sf_dir):
+    """Top reviewers, and top keys of a skewed column, from daily counts without summing every key."""
+    def top(name: str, key: Column) -> DataFrame:
+        found = threshold.top_keys(_daily_partials(spark, sf_dir, key), "key", "part")
+        return found.select(F.lit(name).alias("keys"), "key", "negative", "neutral", "positive", "total")
+
+    skewed = F.concat(F.lit("k"), F.floor(F.log2(F.col("reviewer_id").cast("int") + 1) * 4).cast("string"))
+    return top("reviewers", F.col("reviewer_id")).unionByName(top("skewed", skewed))
+
+
 @query
 def product_lookup(spark, sf_dir):
     return marts.product_sentiment(views.predictions(spark, sf_dir), KNOWN_ASIN)
@@ -182,6 +198,13 @@ def rating_summary(spark, sf_dir):
     return _rounded(profile.rating_summary(views.ratings(spark, sf_dir)))
 
 
+@query
+def value_quartiles(spark, sf_dir):
+    """The summary of a column in which nearly every value is another one."""
+    rows = views.table(spark, sf_dir, "events").select((F.col("value") + F.col("event_id") / 3.0).alias("measure"))
+    return _rounded(profile.rating_summary(rows, "measure"))
+
+
 @query
 def rating_histogram(spark, sf_dir):
     return profile.histogram(views.ratings(spark, sf_dir))

@@ -290,6 +290,13 @@ SQL: dict[str, str] = {
     "sentiment_share": _counts(f"label, sentiment, CAST({_percent('reviews', 'total')} AS DOUBLE) AS share_pct"),
     "top_reviewers": _top("reviewer_id"),
     "top_products": _top("asin"),
+    "top_by_threshold": f"""WITH {_PREDICTIONS},
+keyed AS (
+  SELECT 'reviewers' AS keys, reviewer_id AS key, predicted_label FROM predictions
+  UNION ALL SELECT 'skewed', 'k' || CAST(floor(log2(CAST(reviewer_id AS INTEGER) + 1) * 4) AS BIGINT), predicted_label FROM predictions),
+grouped AS (
+  SELECT keys, key, {_TALLIES}, count(*) AS total FROM keyed WHERE predicted_label IS NOT NULL GROUP BY ALL HAVING count(*) >= 2)
+SELECT * FROM grouped QUALIFY row_number() OVER (PARTITION BY keys ORDER BY total DESC, key) <= 10""",
     "product_lookup": _product("42"),
     "product_lookup_missing": _product("no-such-product"),
     "recent_reviews": _recent(10, f", {_SNIPPET} AS lemmatized_text"),
@@ -330,6 +337,11 @@ SELECT count(overall) AS n, round(avg(overall), 6) AS mean, round(stddev_samp(ov
        min(overall) AS min, quantile_cont(overall, 0.25) AS q25, quantile_cont(overall, 0.5) AS q50,
        quantile_cont(overall, 0.75) AS q75, max(overall) AS max
 FROM ratings""",
+    "value_quartiles": """WITH measures AS (SELECT value + event_id / 3.0::DOUBLE AS m FROM events)
+SELECT count(m) AS n, round(avg(m), 6) AS mean, round(stddev_samp(m), 6) AS std, round(min(m), 6) AS min,
+       round(quantile_cont(m, 0.25), 6) AS q25, round(quantile_cont(m, 0.5), 6) AS q50,
+       round(quantile_cont(m, 0.75), 6) AS q75, round(max(m), 6) AS max
+FROM measures""",
     "rating_histogram": f"WITH {_RATINGS} SELECT overall, count(*) AS n FROM ratings GROUP BY overall",
     "null_profile": f"""WITH {_PREDICTIONS}
 """ + "\nUNION ALL ".join(

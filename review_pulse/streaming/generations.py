@@ -22,7 +22,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -116,19 +116,26 @@ def finished_batches(spark: SparkSession, path: str) -> dict[tuple[str, int], st
     return found
 
 
-def _rows(spark: SparkSession, path: str, schema: T.StructType, merged: list[Folder], live: list[str]) -> DataFrame:
-    parts = [spark.read.schema(schema).parquet(f"{path}/{MERGED}/{f.name}") for f in merged]
+def _rows(spark: SparkSession, path: str, schema: T.StructType, merged: list[Folder], live: list[str],
+          part: str | None = None) -> DataFrame:
+    def named(rows: DataFrame, folder: Column) -> DataFrame:
+        return rows.select(*schema.names, *([folder.alias(part)] if part else []))
+
+    parts = [named(spark.read.schema(schema).parquet(f"{path}/{MERGED}/{f.name}"), F.lit(f.name)) for f in merged]
     if live:
-        parts.append(spark.read.schema(schema).option("basePath", path).parquet(*sorted(live)))
-    parts = [part.select(*schema.names) for part in parts] or [spark.createDataFrame([], schema)]
-    return functools.reduce(DataFrame.unionByName, parts)
+        rows = spark.read.schema(schema).option("basePath", path).parquet(*sorted(live))
+        parts.append(named(rows, F.concat_ws("/", "stream", "batch_id")))
+    return functools.reduce(DataFrame.unionByName, parts or [named(spark.createDataFrame([], schema), F.lit(""))])
+
 
+def read(spark: SparkSession, path: str, schema: T.StructType, part: str | None = None) -> DataFrame:
+    """All rows of the store once, merged or not. ``schema`` may have columns that are folder names.
 
-def read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All rows of the store once, merged or not. ``schema`` may have columns that are folder names."""
+    ``part`` names a column for the folder that a row comes from.
+    """
     generation = current(spark, path)
     live = [folder for key, folder in finished_batches(spark, path).items() if not generation.covers(*key)]
-    return _rows(spark, path, schema, generation.folders, live)
+    return _rows(spark, path, schema, generation.folders, live, part)
 
 
 def merge(spark: SparkSession, path: str, schema: T.StructType, combine: Callable[[DataFrame], DataFrame] | None = None,

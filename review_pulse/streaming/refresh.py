@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from review_pulse.functions.labels import CLASS_NAMES
-from review_pulse.operators import marts
+from review_pulse.operators import marts, threshold
 from review_pulse.schemas import MARTS
 from review_pulse.sources.tables import merge_predictions, read_batch
 from review_pulse.streaming import generations
@@ -87,13 +87,8 @@ def refresh_from(batch: DataFrame, stream: str, batch_id: int, marts_path: str)
         partial.write.mode("overwrite").parquet(batch_path(f"{marts_path}/{name}", stream, batch_id))
 
 
-def _read(spark: SparkSession, marts_path: str, name: str) -> DataFrame:
-    return generations.read(spark, f"{marts_path}/{name}", MARTS[name])
-
-
-def _summed(partials: DataFrame, key: str) -> DataFrame:
-    names = [*_TALLIES, "total"]
-    return partials.groupBy(key).agg(*[F.sum(n).alias(n) for n in names])
+def _read(spark: SparkSession, marts_path: str, name: str, part: str | None = None) -> DataFrame:
+    return generations.read(spark, f"{marts_path}/{name}", MARTS[name], part)
 
 
 def sentiment_counts(spark: SparkSession, marts_path: str) -> DataFrame:
@@ -132,11 +127,12 @@ def sentiment_trend(
 
 
 def top_reviewers(spark: SparkSession, marts_path: str, limit: int = 10) -> DataFrame:
-    return marts.top_of(_summed(_read(spark, marts_path, "reviewers"), "reviewer_id"), "reviewer_id", limit)
+    """Few keys are summed over all batches: the batches' own counts rule out the others."""
+    return threshold.top_keys(_read(spark, marts_path, "reviewers", part="part"), "reviewer_id", "part", limit)
 
 
 def top_products(spark: SparkSession, marts_path: str, limit: int = 10) -> DataFrame:
-    return marts.top_of(_summed(_read(spark, marts_path, "products"), "asin"), "asin", limit)
+    return threshold.top_keys(_read(spark, marts_path, "products", part="part"), "asin", "part", limit)
 
 
 def product_sentiment(spark: SparkSession, marts_path: str, asin: str) -> DataFrame:

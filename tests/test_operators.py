@@ -1,12 +1,14 @@
 import datetime as dt
 import hashlib
+import random
 
+import numpy as np
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF, CountVectorizer, StringIndexer
 from pyspark.sql import functions as F
 
-from review_pulse.operators import features, marts, metrics, profile, sampling
+from review_pulse.operators import features, marts, metrics, profile, sampling, selection, threshold
 
 
 def moment(day, hour=0, minute=0, second=0):
@@ -283,3 +285,42 @@ def test_hash_cut_refines_large_buckets(spark, monkeypatch):
         assert cut.rows == digests.count(cut.digest)
         assert cut.room == target - digests.index(cut.digest)
     assert sampling.hash_cut(rows, "review_id", 2001, 7) is None and sampling.hash_cut(rows, "review_id", 0, 7) is None
+
+
+@pytest.mark.parametrize("shape", ["skewed", "uniform", "few", "ties", "none"])
+def test_top_keys_by_threshold(spark, shape):
+    draw = random.Random(1)
+    key = {"skewed": lambda: int(draw.paretovariate(0.8)) % 2000, "uniform": lambda: draw.randrange(400),
+           "few": lambda: draw.randrange(4), "ties": lambda: draw.randrange(60) // 2 * 2, "none": lambda: 0}[shape]
+    rows = [(f"p{draw.randrange(8)}", f"u{key()}" if draw.random() > 0.02 else None, draw.randrange(3)) for _ in range(6000)]
+    rows = rows if shape != "none" else []
+    predictions = spark.createDataFrame(rows, "part string, reviewer_id string, predicted_label int").withColumn(
+        "reviewer_id", F.col("reviewer_id"))
+    partials = predictions.groupBy("part", "reviewer_id").agg(*marts.class_tallies(), F.count("*").alias("total"))
+    got = threshold.top_keys(partials, "reviewer_id", "part").collect()
+    assert list(map(tuple, got)) == list(map(tuple, marts.top_reviewers(predictions).collect()))
+    used = threshold.rows_used(partials, "reviewer_id", "part").first()
+    if shape == "skewed":  # the long tail is neither summed nor asked for again
+        assert used["heavy_rows"] < 0.25 * used["rows"] and used["candidate_rows"] < 0.25 * used["rows"]
+    assert max(used["heavy_rows"], used["candidate_rows"]) <= used["rows"]
+
+
+@pytest.mark.parametrize("shape", ["distinct", "outliers", "one", "signs", "longs", "huge"])
+def test_quantiles_of_any_column(spark, monkeypatch, shape):
+    monkeypatch.setattr(selection, "BUCKETS", 16)  # many passes for 3,000 rows
+    draw = random.Random(2)
+    values = {
+        "distinct": lambda: draw.random() * 1000, "outliers": lambda: draw.choice([draw.random(), 10.0 ** draw.randint(-300, 300)]),
+        "one": lambda: 7.25, "signs": lambda: draw.choice([0.0, -0.0, draw.gauss(0, 1), -1e-320, 1e-320]),
+        "longs": lambda: draw.randrange(-2**40, 2**40), "huge": lambda: draw.choice([-1.7e308, 1.7e308, draw.uniform(-1e308, 1e308)]),
+    }[shape]
+    rows = [values() for _ in range(3000)]
+    kind = "long" if shape == "longs" else "double"
+    table = spark.createDataFrame([(v,) for v in [*rows, None, *([] if kind == "long" else [float("nan")])]], f"v {kind}")
+    ranks = [0, 1, 749, 1500, 2998, 2999, 3000]
+    got = selection.order_statistics(table, "v", ranks)
+    assert got == {r: sorted(rows)[r] for r in ranks[:-1]}
+    if shape != "huge":
+        want = [float(x) for x in np.quantile(np.array(rows, float), [0, 0.25, 0.5, 0.9, 1])]
+        assert selection.quantiles(table, "v", [0, 0.25, 0.5, 0.9, 1]) == pytest.approx(want)
+    assert selection.quantiles(table.where("v IS NULL"), "v", [0.5]) == [None]
