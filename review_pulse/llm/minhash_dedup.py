@@ -38,6 +38,8 @@ MARGIN = 0.15  # four standard deviations of a signature's agreement at the thre
 COMPARED = 1 << 22  # signature values compared at once
 BLOCK_BYTES = 1 << 24  # of a bucket's members that one task sees twice at most, in two blocks
 MEMBER_BYTES = 1 << 12  # what a member counts for besides its set
+MAX_BITS = 1 << 26  # of the ids that are picked by their hashes: 8 MB
+SETS = 1000  # sets that a task puts together
 _SEED = 20240101
 
 
@@ -119,17 +121,41 @@ def signed(documents: DataFrame, width: int) -> DataFrame:
         run, "id long, n long, digest binary, signature binary, bands array<long>")
 
 
+def id_bits(ids: DataFrame) -> np.ndarray:
+    """A bit for the hash of every id, in words of 64: a few times as many bits as ids, ``MAX_BITS`` at most."""
+    size = min(MAX_BITS, max(1 << 12, 1 << (16 * ids.count()).bit_length()))
+    place = F.pmod(F.xxhash64("id"), F.lit(size))
+    words = ids.select(F.shiftright(place, 6).alias("word"), F.expr("1L").alias("one"), (place % 64).cast("int").alias("bit"))
+    rows = words.groupBy("word").agg(F.bit_or(F.expr("shiftleft(one, bit)")).alias("mask")).toPandas()
+    out = np.zeros(size // 64, np.int64)
+    out[rows["word"].to_numpy()] = rows["mask"].to_numpy()
+    return out
+
+
 def full_sets(documents: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """id, digest and sorted set of the rows whose id is asked for."""
+    """id, digest and sorted set of the rows whose id is asked for, and of some others.
+
+    Texts are not shuffled: they are picked where they are, by bits of the hashes of the ids. What passes
+    besides the ids asked for meets nothing in the joins that follow.
+    """
+    bits = documents.sparkSession.sparkContext.broadcast(id_bits(ids))
+    size = len(bits.value) * 64
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [s.view(np.int64) for s in shingle_sets(batch.column(1), width)]
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([digest_of(s) for s in sets], pa.binary()),
-                pa.array(sets, pa.list_(pa.int64()))], ["id", "digest", "values"])
-
-    rows = documents.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("t"))
-    return rows.join(ids, "id", "left_semi").mapInArrow(run, "id long, digest binary, values array<long>")
+            place = batch.column(2).to_numpy()
+            batch = batch.filter(pa.array((bits.value[place >> 6] >> (place & 63)) & 1 == 1))
+            for low in range(0, batch.num_rows, SETS):
+                some = batch.slice(low, SETS)
+                sets = [s.view(np.int64) for s in shingle_sets(some.column(1), width)]
+                yield pa.RecordBatch.from_arrays([
+                    some.column(0), pa.array([digest_of(s) for s in sets], pa.binary()),
+                    pa.array(sets, pa.list_(pa.int64()))], ["id", "digest", "values"])
+
+    own = F.col("doc_id").cast("long")
+    rows = documents.where("doc_id IS NOT NULL").select(
+        own.alias("id"), F.col("text").alias("t"), F.pmod(F.xxhash64(own), F.lit(size)).alias("place"))
+    return rows.mapInArrow(run, "id long, digest binary, values array<long>")
 
 
 def _agreeing(pairs: DataFrame, signatures: DataFrame, least: float) -> DataFrame:
