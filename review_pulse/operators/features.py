@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
     IDF,
@@ -20,11 +22,15 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from review_pulse.functions import hashing
+from review_pulse.functions.text import ngrams
+
 # Sizes of the hashed feature spaces and of the vocabulary.
 HASHED_SIZE = 1_000
 HASHED_SIZE_WIDE = 10_000
 VOCABULARY_SIZE = 5_000
 MIN_TERM_CHARS = 2
+TERM_BUCKETS = 4_096  # of the table that a term's weight is looked up in
 
 
 def document_frequency(df: DataFrame, words: str) -> DataFrame:
@@ -40,17 +46,27 @@ def idf_terms(df: DataFrame, words: str) -> DataFrame:
     return frequency.withColumn("idf", F.log((total + 1.0) / (F.col("doc_freq") + 1.0)))
 
 
-def term_counts(df: DataFrame, row_id: str, words: str) -> DataFrame:
-    """Occurrences per (row, term).
+def row_counts(words: Column) -> Column:
+    """``array<struct<term, tf>>`` of the words of a row, by term; short words are left out.
 
-    Rows are co-located by id before the words are exploded: text moves once, and this grouping
-    as well as later per-row steps need no further exchange. Short words are dropped inside the
-    array: exploding the bare column lets Spark infer a size filter, which would repeat the
-    expressions that made the words.
+    The words are sorted, and a term's count is the distance between its first place and the next term's.
     """
-    kept = F.filter(F.col(words), lambda w: F.length(w) >= MIN_TERM_CHARS)
-    exploded = df.repartition(row_id).select(row_id, F.explode(kept).alias("term"))
-    return exploded.groupBy(row_id, "term").agg(F.count("*").alias("tf"))
+    def counted(ordered: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(ordered) - 1)
+        firsts = F.filter(places, lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)))
+        return F.transform(F.array(firsts), lambda begun: F.transform(begun, lambda i, k: F.struct(
+            F.get(ordered, i).alias("term"),
+            (F.coalesce(F.get(begun, k + 1), F.size(ordered)) - i).cast("bigint").alias("tf"))))[0]
+
+    kept = F.sort_array(F.filter(words, lambda w: F.length(w) >= MIN_TERM_CHARS))
+    empty = F.array().cast("array<struct<term:string,tf:bigint>>")
+    return F.transform(F.array(kept), lambda ordered: F.when(F.size(ordered) > 0, counted(ordered)).otherwise(empty))[0]
+
+
+def term_counts(df: DataFrame, row_id: str, words: str) -> DataFrame:
+    """Occurrences per row and term: (row, term, tf), counted inside the row. A row is a document of its own."""
+    counted = df.select(row_id, F.inline_outer(row_counts(F.col(words))))
+    return counted.where("term IS NOT NULL")  # inline() lets Spark repeat the counting in a filter
 
 
 def vocabulary(counts: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:
@@ -62,18 +78,31 @@ def vocabulary(counts: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:
 def vocab_tfidf(df: DataFrame, row_id: str, words: str, size: int = VOCABULARY_SIZE) -> DataFrame:
     """Smoothed TF-IDF over the top terms, each row scaled to unit length: (row, term, tf, tfidf).
 
-    The vocabulary is at most ``size`` rows, which bounds both the broadcast and the per-row
-    window. Both branches read the same exchange of the text.
+    Words are counted inside their row; what is shuffled is one total per term and task. The ``size`` terms
+    and their weights come back as a literal table, in buckets by hash, so a term is found without a
+    join and a row never leaves its partition.
     """
     total = df.agg(F.count("*")).scalar()
     idf = F.log((total + 1.0) / (F.col("doc_freq") + 1.0)) + 1.0
-    counts = term_counts(df, row_id, words)
-    terms = vocabulary(counts, size).select("term", idf.alias("idf"))
-    weighted = counts.join(F.broadcast(terms), "term").select(
-        row_id, "term", "tf", (F.col("tf") * F.col("idf")).alias("raw")
-    )
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(row_id)))
-    return weighted.select(row_id, "term", "tf", (F.col("raw") / norm).alias("tfidf"))
+    place = lambda term: F.pmod(F.xxhash64(term), F.lit(TERM_BUCKETS)).cast("int")
+    terms = vocabulary(term_counts(df, row_id, words), size).select("term", idf.alias("idf"), place(F.col("term")).alias("place"))
+    slots: list[list[dict]] = [[] for _ in range(TERM_BUCKETS)]
+    for r in terms.collect():
+        slots[r["place"]].append({"term": r["term"], "idf": r["idf"]})
+    table = F.from_json(F.lit(json.dumps(slots)), "array<array<struct<term: string, idf: double>>>")
+
+    def weight(term: Column) -> Column:
+        return F.get(F.filter(F.get(table, place(term)), lambda e: e["term"] == term), F.lit(0))["idf"]
+
+    def scaled(entries: Column) -> Column:
+        norm = F.sqrt(F.aggregate(entries, F.lit(0.0), lambda s, c: s + c["raw"] * c["raw"]))
+        return F.transform(F.array(norm), lambda n: F.transform(
+            entries, lambda c: F.struct(c["term"], c["tf"], (c["raw"] / n).alias("tfidf"))))[0]
+
+    raw = F.transform(row_counts(F.col(words)), lambda c: F.struct(c["term"], c["tf"], (c["tf"] * weight(c["term"])).alias("raw")))
+    known = F.filter(raw, lambda c: c["raw"].isNotNull())
+    out = df.select(row_id, F.inline_outer(F.transform(F.array(known), scaled)[0]))
+    return out.where("term IS NOT NULL")
 
 
 def nonzero(vector: Column) -> Column:
@@ -89,6 +118,24 @@ def nonzero(vector: Column) -> Column:
         lambda entry: entry["value"] != 0))[0]
 
 
+def hashed_terms(df: DataFrame, row_id: str, words: str, size: int = HASHED_SIZE) -> DataFrame:
+    """One row per word, bigram and trigram of a row: (row, space, bucket), as the hashing stages number them.
+
+    ``space`` is 0, 1 or 2; its block of the assembled vector begins at ``space * size``.
+    """
+    def placed(space: int, grams: Column) -> Column:
+        return F.transform(grams, lambda g: F.struct(F.lit(space).alias("space"), g.alias("term")))
+
+    every = [F.col(words), ngrams(F.col(words), 2), ngrams(F.col(words), 3)]
+    terms = df.select(row_id, F.inline(F.concat(*[placed(k, grams) for k, grams in enumerate(every)])))
+    return hashing.with_bucket(terms, "term", "bucket", size).select(row_id, "space", "bucket")
+
+
+def hashed_counts(df: DataFrame, row_id: str, words: str, size: int = HASHED_SIZE) -> DataFrame:
+    """The hashed count vectors in relational form: (row, space, bucket, n), without zeros."""
+    return hashed_terms(df, row_id, words, size).groupBy(row_id, "space", "bucket").agg(F.count("*").alias("n"))
+
+
 def label_index_frequency(df: DataFrame, label: str = "label") -> DataFrame:
     """Index by falling class size (ties by label). The ranked table has one row per class code."""
     counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n"))

@@ -208,13 +208,11 @@ def logistic_stage(model: PipelineModel) -> LogisticRegressionModel:
     return next(s for s in model.stages if isinstance(s, LogisticRegressionModel))
 
 
-def logistic_margins(model: PipelineModel) -> tuple[list[tuple[int, list[float]]], list[float], list[str]]:
-    """Non-zero coefficients by feature, intercepts, and the class name of each margin."""
+def logistic_margins(model: PipelineModel) -> tuple[list[list[float]], list[float], list[str]]:
+    """Coefficients by feature, intercept and class name of each margin."""
     fitted = logistic_stage(model)
-    weights = fitted.coefficientMatrix.toArray()
-    used = weights.any(axis=0).nonzero()[0]
     names = next(s for s in model.stages if isinstance(s, IndexToString)).getLabels()
-    return ([(int(k), weights[:, k].tolist()) for k in used], fitted.interceptVector.toArray().tolist(),
+    return (fitted.coefficientMatrix.toArray().tolist(), fitted.interceptVector.toArray().tolist(),
             list(names)[: fitted.numClasses])
 
 

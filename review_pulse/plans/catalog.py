@@ -4,9 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import IDF
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -343,20 +340,21 @@ def vocab_tfidf(spark, sf_dir):
 
 @query
 def hashed_features(spark, sf_dir):
-    """Hashed word, bigram and trigram counts per document, summed per block of the vector."""
-    rows = _words(spark, sf_dir)
-    stages = [s for s in features.ngram_tfidf_stages() if not isinstance(s, IDF)]
-    hashed = Pipeline(stages=stages).fit(rows).transform(rows)
-
-    def block(column: str) -> Column:
-        counts = vector_to_array(F.col(column))
-        return F.aggregate(counts, F.lit(0.0), lambda total, x: total + x).cast("bigint")
-
-    return hashed.select(
-        "doc_id", block("tf_uni").alias("n_words"), block("tf_bi").alias("n_bigrams"),
-        block("tf_tri").alias("n_trigrams"),
-        F.size(vector_to_array(F.col("tf"))).cast("bigint").alias("dimensions"),
-    )
+    """Hashed words, bigrams and trigrams per document: their number, and sums over their buckets."""
+    terms = features.hashed_terms(_words(spark, sf_dir), "doc_id", "filtered_words")
+    sums = []
+    for space, name in enumerate(("words", "bigrams", "trigrams")):
+        bucket = F.when(F.col("space") == space, F.col("bucket").cast("bigint"))
+        sums += [F.count(bucket).alias(f"n_{name}"), F.coalesce(F.sum(bucket), F.lit(0)).alias(f"{name}_sum"),
+                 F.coalesce(F.sum(bucket * bucket), F.lit(0)).alias(f"{name}_squares")]
+    return terms.groupBy("doc_id").agg(*sums)
+
+
+@query
+def hashed_buckets(spark, sf_dir):
+    """Every bucket of the hashed words of every document, with its count."""
+    counts = features.hashed_counts(_words(spark, sf_dir), "doc_id", "filtered_words")
+    return counts.where(F.col("space") == 0).select("doc_id", "bucket", "n")
 
 
 @query
@@ -413,9 +411,9 @@ def stored_rows(rows: DataFrame, path: str) -> DataFrame:
 
 
 def _fitted(spark: SparkSession, sf_dir: str, family: str):
-    """A model fitted on the training split, and the other rows."""
-    train, held_out = models.training_splits(
-        views.curated(spark, sf_dir), rebalance=models.wants_rebalancing(family))
+    """A model fitted on the training split, and the other rows; texts are curated once for both."""
+    curated = stored_rows(views.curated(spark, sf_dir), scratch_path(spark, "curated"))
+    train, held_out = models.training_splits(curated, rebalance=models.wants_rebalancing(family))
     return models.fit(train, family), held_out
 
 
@@ -440,22 +438,19 @@ def svm_scores(spark, sf_dir):
 def logistic_scores(spark, sf_dir):
     """Every held-out row, and whether its class is the one with the largest margin.
 
-    Margins are summed from the model's non-zero coefficients, a table bounded by the feature size.
+    Margins are summed inside the row, from the non-zero features and the model's coefficients, lists
+    as long as the feature space.
     """
     model, held_out = _fitted(spark, sf_dir, "logistic")
     coefficients, intercepts, names = models.logistic_margins(model)
-    weights = spark.createDataFrame(coefficients, "index int, weights array<double>")
-    keys = ["review_id", "split", "label", "predicted_label"]
-    entries = models.score(model, held_out).select(
-        *keys, F.explode_outer(features.nonzero(F.col("features"))).alias("entry")).select(*keys, "entry.*")
-    sums = entries.join(F.broadcast(weights), "index", "left").groupBy(*keys).agg(*[
-        F.coalesce(F.sum(F.col("value") * F.col("weights")[k]), F.lit(0.0)).alias(f"margin_{k}")
-        for k in range(len(names))
-    ])
-    margins = F.array(*[F.col(f"margin_{k}") + F.lit(b) for k, b in enumerate(intercepts)])
+    entries = features.nonzero(F.col("features"))
+    margins = F.transform(F.array(entries), lambda row: F.array(*[
+        F.aggregate(row, F.lit(b), lambda s, e: s + e["value"] * F.get(F.lit(weights), e["index"]))
+        for weights, b in zip(coefficients, intercepts)]))[0]
     classes = F.array(*[F.lit(int(float(name))) for name in names])
-    largest = F.element_at(classes, F.array_position(margins, F.array_max(margins)).cast("int"))
-    return sums.select(*keys[:3], F.col("predicted_label").eqNullSafe(largest).alias("agrees"))
+    scored = models.score(model, held_out).select("review_id", "split", "label", "predicted_label", margins.alias("margins"))
+    largest = F.element_at(classes, F.array_position("margins", F.array_max("margins")).cast("int"))
+    return scored.select("review_id", "split", "label", F.col("predicted_label").eqNullSafe(largest).alias("agrees"))
 
 
 @query

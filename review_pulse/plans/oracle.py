@@ -149,6 +149,52 @@ words AS (
   FROM (SELECT doc_id, string_split(t, ' ') AS ws FROM cleaned))"""
 
 
+def _gram(n: int) -> str:
+    """n words in a row, joined, for every place of the list ``fs``."""
+    joined = " || ' ' || ".join(f"fs[i + {k}]" if k else "fs[i]" for k in range(n))
+    return f"list_transform(generate_series(1, len(fs) - {n - 1}), lambda i: {joined})"
+
+
+# Murmur hash of a term's bytes, written over lists of bytes: four of them at a time, then the rest.
+_ROTATED = "((({x}) << {n}) & 4294967295) | (({x}) >> (32 - {n}))".format
+_MULTIPLIED = "(({x})::HUGEINT * {c} % 4294967296)::UBIGINT".format
+
+
+def _mixed(k: str) -> str:
+    once = _MULTIPLIED(x=k, c=0xCC9E2D51)
+    return _MULTIPLIED(x=_ROTATED(x=once, n=15), c=0x1B873593)
+
+
+def _finished(h: str) -> list[str]:
+    """Expressions of three steps, each over the ``h`` of the one before."""
+    return [_MULTIPLIED(x=f"xor({h}, {h} >> 16)", c=0x85EBCA6B), _MULTIPLIED(x=f"xor({h}, {h} >> 13)", c=0xC2B2AE35), f"xor({h}, {h} >> 16)"]
+
+
+_STEP_1, _STEP_2, _STEP_3 = _finished("h")
+_HASHED = f"""{_WORDS},
+terms AS MATERIALIZED (
+  SELECT doc_id, 0 AS space, unnest(fs) AS term FROM words
+  UNION ALL SELECT doc_id, 1, unnest({_gram(2)}) FROM words
+  UNION ALL SELECT doc_id, 2, unnest({_gram(3)}) FROM words),
+coded AS (SELECT term, list_transform(string_split(term, ''), lambda c: ord(c)::UBIGINT) AS b
+          FROM (SELECT DISTINCT term FROM terms)),
+blocks AS (
+  SELECT term, len(b)::UBIGINT AS size,
+    list_transform(range(0, len(b) // 4), lambda i: b[4 * i + 1] + (b[4 * i + 2] << 8) + (b[4 * i + 3] << 16) + (b[4 * i + 4] << 24)) AS k,
+    coalesce(b[len(b) // 4 * 4 + 1], 0) + (coalesce(b[len(b) // 4 * 4 + 2], 0) << 8) + (coalesce(b[len(b) // 4 * 4 + 3], 0) << 16) AS rest
+  FROM coded),
+mixed AS (
+  SELECT term, size, rest, list_reduce(list_prepend(42::UBIGINT, list_transform(k, lambda x: {_mixed('x')})),
+    lambda h, x: (({_ROTATED(x='xor(h, x)', n=13)}) * 5 + 3864292196) % 4294967296) AS h
+  FROM blocks),
+rested AS (SELECT term, xor(xor(h, {_mixed('rest')}), size) AS h FROM mixed),
+first_step AS (SELECT term, {_STEP_1} AS h FROM rested),
+second_step AS (SELECT term, {_STEP_2} AS h FROM first_step),
+hashed AS (SELECT term, {_STEP_3} AS h FROM second_step),
+buckets AS MATERIALIZED (
+  SELECT term, (((h::BIGINT - CASE WHEN h >= 2147483648 THEN 4294967296 ELSE 0 END) % 1000) + 1000) % 1000 AS bucket FROM hashed)"""
+
+
 def _listed(words: str, name: str) -> str:
     return f"""WITH {_WORDS}
 SELECT doc_id, CAST(len({words}) AS BIGINT) AS n_{name}, coalesce(list_aggregate({words}, 'string_agg', '|'), '')
@@ -389,10 +435,14 @@ vocab AS (SELECT term, ln(((SELECT count(*) FROM documents) + 1.0) / (count(*) +
           GROUP BY term ORDER BY sum(tf) DESC, term LIMIT 5000),
 raw AS (SELECT doc_id, term, tf, tf * idf AS x FROM tf JOIN vocab USING (term))
 SELECT doc_id, term, tf, round(x / sqrt(sum(x * x) OVER (PARTITION BY doc_id)), 6) AS tfidf FROM raw""",
-    "hashed_features": f"""WITH {_WORDS}
-SELECT doc_id, CAST(len(fs) AS BIGINT) AS n_words, CAST(greatest(len(fs) - 1, 0) AS BIGINT) AS n_bigrams,
-       CAST(greatest(len(fs) - 2, 0) AS BIGINT) AS n_trigrams, CAST(3000 AS BIGINT) AS dimensions
-FROM words""",
+    "hashed_features": f"""WITH {_HASHED}
+SELECT doc_id, {", ".join(f"count(*) FILTER (space = {k}) AS n_{n}, "
+                          f"coalesce(sum(bucket) FILTER (space = {k}), 0)::BIGINT AS {n}_sum, "
+                          f"coalesce(sum(bucket * bucket) FILTER (space = {k}), 0)::BIGINT AS {n}_squares"
+                          for k, n in enumerate(("words", "bigrams", "trigrams")))}
+FROM terms JOIN buckets USING (term) GROUP BY doc_id""",
+    "hashed_buckets": f"""WITH {_HASHED}
+SELECT doc_id, CAST(bucket AS INTEGER) AS bucket, count(*) AS n FROM terms JOIN buckets USING (term) WHERE space = 0 GROUP BY ALL""",
     "label_index_freq": _label_index("n DESC, label"),
     "label_index_alpha": _label_index("label"),
     "confusion_matrix": f"WITH {_CONFUSION} SELECT * FROM confusion",

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF, CountVectorizer, StringIndexer
 from pyspark.sql import functions as F
@@ -324,3 +325,14 @@ def test_quantiles_of_any_column(spark, monkeypatch, shape):
         want = [float(x) for x in np.quantile(np.array(rows, float), [0, 0.25, 0.5, 0.9, 1])]
         assert selection.quantiles(table, "v", [0, 0.25, 0.5, 0.9, 1]) == pytest.approx(want)
     assert selection.quantiles(table.where("v IS NULL"), "v", [0.5]) == [None]
+
+
+def test_hashed_terms_have_the_buckets_of_the_hashing_stages(spark):
+    draw = random.Random(3)
+    words = lambda: ["".join(draw.choice("abcdé日𐐷") for _ in range(draw.randint(1, 9))) for _ in range(draw.randint(0, 30))]
+    df = spark.createDataFrame([(i, words()) for i in range(40)], "id long, filtered_words array<string>")
+    stages = [s for s in features.ngram_tfidf_stages(50) if not isinstance(s, IDF)]
+    vectors = Pipeline(stages=stages).fit(df).transform(df).select("id", "tf").collect()
+    want = {(r["id"], int(k)): int(v) for r in vectors for k, v in enumerate(r["tf"].toArray()) if v}
+    got = {(r["id"], 50 * r["space"] + r["bucket"]): r["n"] for r in features.hashed_counts(df, "id", "filtered_words", 50).collect()}
+    assert got == want
