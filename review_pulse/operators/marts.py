@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -194,18 +195,25 @@ def recent_reviews(
     predictions: DataFrame,
     limit: int = 10,
     texts: DataFrame | None = None,
+    lookup: Callable[[list[str]], DataFrame] | None = None,
 ) -> DataFrame:
     """Most recent reviews with readable time, class name and a text snippet.
 
-    ``texts`` (``review_id, lemmatized_text``, one row per id) supplies the text when the
-    predictions lack it: it is looked up for the ``limit`` chosen rows only, which are what is
-    broadcast.
+    Where the predictions lack the text, ``texts`` (``review_id, lemmatized_text``, one row per id) is joined
+    with the ``limit`` chosen rows, which are what is broadcast; or ``lookup`` gets their ids and gives
+    their texts, so that it can read just what holds them.
     """
-    chosen = newest_with_text(predictions, limit) if texts is None else newest(predictions, limit)
-    if texts is not None:
-        keys = chosen.select("review_id")
-        found = texts.join(F.broadcast(keys), "review_id", "left_semi")
-        chosen = chosen.join(found, "review_id", "left")
+    if texts is None and lookup is None:
+        chosen = newest_with_text(predictions, limit)
+    else:
+        chosen = newest(predictions, limit)
+        if lookup:
+            rows = chosen.collect()  # ``limit`` rows
+            chosen = predictions.sparkSession.createDataFrame(rows, chosen.schema)
+            texts = lookup([r["review_id"] for r in rows])
+        else:
+            texts = texts.join(F.broadcast(chosen.select("review_id")), "review_id", "left_semi")
+        chosen = chosen.join(texts, "review_id", "left")
     return chosen.orderBy(F.desc(MOMENT), F.asc("review_id")).select(
         "review_id",
         "reviewer_id",

@@ -13,7 +13,7 @@ from review_pulse.functions import display, labels, lexicon, text
 from review_pulse.operators import features, marts, metrics, models, profile, sampling, threshold
 from review_pulse.plans import views
 from review_pulse.session import scratch_path
-from review_pulse.sources import messages, tables
+from review_pulse.sources import file_index, messages, tables
 from review_pulse.streaming import late, refresh, scoring, trend
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,8 +94,20 @@ def product_lookup_missing(spark, sf_dir):
 @query
 def recent_reviews(spark, sf_dir):
     return marts.recent_reviews(
-        views.predictions(spark, sf_dir), texts=views.prediction_texts(spark, sf_dir)
-    )
+        views.predictions(spark, sf_dir), lookup=lambda ids: views.texts_of(spark, sf_dir, ids))
+
+
+@query
+def indexed_lookup(spark, sf_dir):
+    """The documents of the newest and of the oldest reviews, out of a table of many files, by its side table."""
+    stored, side = scratch_path(spark, "documents"), scratch_path(spark, "file-index")
+    views.documents(spark, sf_dir).repartition(24, "doc_id").write.parquet(stored)
+    file_index.build(spark, stored, "doc_id", side)
+    scored = marts.with_prediction(views.predictions(spark, sf_dir))
+    ends = [marts.newest(scored, 10), scored.orderBy(marts.MOMENT, "review_id").limit(10)]
+    ids = [int(r["review_id"]) for end in ends for r in end.select("review_id").collect()]
+    found = file_index.read_ids(spark, stored, "doc_id", side, ids)
+    return found.select("doc_id", "lang", "n_chars", F.md5("text").alias("text_md5"))
 
 
 @query

@@ -346,6 +346,11 @@ SELECT * FROM grouped QUALIFY row_number() OVER (PARTITION BY keys ORDER BY tota
     "product_lookup": _product("42"),
     "product_lookup_missing": _product("no-such-product"),
     "recent_reviews": _recent(10, f", {_SNIPPET} AS lemmatized_text"),
+    "indexed_lookup": f"""WITH {_PREDICTIONS}, scored AS (SELECT * FROM predictions WHERE predicted_label IS NOT NULL),
+wanted AS (
+  (SELECT review_id FROM scored ORDER BY ingestion_time DESC, review_id LIMIT 10)
+  UNION (SELECT review_id FROM scored ORDER BY ingestion_time, review_id LIMIT 10))
+SELECT doc_id, lang, n_chars, md5(text) AS text_md5 FROM documents JOIN wanted ON CAST(doc_id AS VARCHAR) = review_id""",
     "store_stats": _STATS,
     "latest_prediction": f"""WITH {_PREDICTIONS}
 SELECT strftime(max(ingestion_time), '%Y-%m-%d %H:%M:%S.%f') AS latest FROM predictions""",

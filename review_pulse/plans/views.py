@@ -63,11 +63,10 @@ def predictions(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     )
 
 
-def prediction_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Text per review id, for the reviews that have one."""
-    return table(spark, sf_dir, "documents").select(
-        F.col("doc_id").cast("string").alias("review_id"), F.col("text").alias("lemmatized_text")
-    )
+def texts_of(spark: SparkSession, sf_dir: str, review_ids: list[str]) -> DataFrame:
+    """Texts of a few reviews. The key stays a number, so that the scan can skip what cannot hold it."""
+    rows = documents(spark, sf_dir).where(F.col("doc_id").isin([int(i) for i in review_ids]))
+    return rows.select(F.col("doc_id").cast("string").alias("review_id"), F.col("text").alias("lemmatized_text"))
 
 
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
