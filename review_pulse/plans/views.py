@@ -69,16 +69,16 @@ def texts_of(spark: SparkSession, sf_dir: str, review_ids: list[str]) -> DataFra
     return rows.select(F.col("doc_id").cast("string").alias("review_id"), F.col("text").alias("lemmatized_text"))
 
 
-def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+def payloads(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     """Reviews as JSON messages; of each 50 ids one arrives cut short, one with a rating that is no
-    number, and one without a payload."""
+    number, and one without a payload. ``more`` columns of the review stay."""
     columns = messages.message_columns()
     body = F.to_json(F.struct(*columns))
     columns[1] = F.lit("bad").alias("overall")
     kind = F.col("event_id") % 50
     value = F.when(kind == 0, F.substring(body, 1, 10)).when(kind == 1, F.to_json(F.struct(*columns))).when(
         kind == 2, F.lit(None)).otherwise(body)
-    return all_reviews(spark, sf_dir).select(value.alias("value"))
+    return all_reviews(spark, sf_dir).select(value.alias("value"), *more)
 
 
 def curated(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,8 +26,8 @@ def encode(reviews: DataFrame) -> DataFrame:
     return reviews.select(F.to_json(F.struct(*message_columns())).alias("value"))
 
 
-def decode(messages: DataFrame) -> DataFrame:
-    """Fields of each JSON ``value``, and whether the payload was NULL or blank.
+def decode(messages: DataFrame, *keep: str) -> DataFrame:
+    """Fields of each JSON ``value``, and whether the payload was NULL or blank; columns ``keep`` stay.
 
     Malformed text gives an all-NULL row that keeps the original in ``_corrupt_record``; a
     wrong-typed field gives NULL for that field, and keeps the original as well.
@@ -41,7 +41,7 @@ def decode(messages: DataFrame) -> DataFrame:
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT},
     )
     blank = F.coalesce(F.trim(F.col("value").cast("string")) == "", F.lit(True))
-    return messages.select(blank.alias(schemas.MISSING), F.inline(F.array(payload)))
+    return messages.select(*keep, blank.alias(schemas.MISSING), F.inline(F.array(payload)))
 
 
 def malformed() -> Column:
