@@ -21,12 +21,13 @@ of all their texts; rows without an id are vertices of their own, kept, with a N
 
 from __future__ import annotations
 
+import base64
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from review_pulse.llm import bytewise
@@ -38,7 +39,8 @@ MARGIN = 0.15  # four standard deviations of a signature's agreement at the thre
 COMPARED = 1 << 22  # signature values compared at once
 BLOCK_BYTES = 1 << 24  # of a bucket's members that one task sees twice at most, in two blocks
 MEMBER_BYTES = 1 << 12  # what a member counts for besides its set
-MAX_BITS = 1 << 26  # of the ids that are picked by their hashes: 8 MB
+MAX_BITS = 1 << 25  # of the ids that are picked by their hashes: 4 MB
+BITS = 4  # of one id
 SETS = 1000  # sets that a task puts together
 _SEED = 20240101
 
@@ -121,30 +123,48 @@ def signed(documents: DataFrame, width: int) -> DataFrame:
         run, "id long, n long, digest binary, signature binary, bands array<long>")
 
 
-def id_bits(ids: DataFrame) -> np.ndarray:
-    """A bit for the hash of every id, in words of 64: a few times as many bits as ids, ``MAX_BITS`` at most."""
+def may_be_in(ids: DataFrame) -> Callable[[Column], Column]:
+    """A condition that holds for every one of some ids, and for few others: all bits of its hashes are set.
+
+    There are a few times as many bits as ids, ``MAX_BITS`` at most. They are a literal of the plan, so rows are
+    picked where they are and no text is shuffled to find out.
+    """
     size = min(MAX_BITS, max(1 << 12, 1 << (16 * ids.count()).bit_length()))
-    place = F.pmod(F.xxhash64("id"), F.lit(size))
-    words = ids.select(F.shiftright(place, 6).alias("word"), F.expr("1L").alias("one"), (place % 64).cast("int").alias("bit"))
-    rows = words.groupBy("word").agg(F.bit_or(F.expr("shiftleft(one, bit)")).alias("mask")).toPandas()
-    out = np.zeros(size // 64, np.int64)
-    out[rows["word"].to_numpy()] = rows["mask"].to_numpy()
-    return out
 
+    def places(own: Column) -> Column:
+        return F.array(*[F.pmod(F.xxhash64(own, F.lit(k)), F.lit(size)) for k in range(BITS)])
 
-def full_sets(documents: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """id, digest and sorted set of the rows whose id is asked for, and of some others.
+    found = ids.select(F.explode(places(F.col("id"))).alias("place")).select(
+        F.shiftright("place", 3).alias("byte"), F.expr("shiftleft(1, CAST(place % 8 AS INT))").alias("bit"))
+    rows = found.groupBy("byte").agg(F.bit_or("bit").alias("mask")).toPandas()
+    bits = np.zeros(size // 8, np.uint8)
+    bits[rows["byte"].to_numpy()] = rows["mask"].to_numpy()
+    table = F.unbase64(F.lit(base64.b64encode(bits.tobytes()).decode()))
+
+    def is_set(at: Column) -> Column:
+        byte = F.conv(F.hex(F.substring(table, (F.shiftright(at, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+        return F.call_function("shiftright", byte, (at % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
 
-    Texts are not shuffled: they are picked where they are, by bits of the hashes of the ids. What passes
-    besides the ids asked for meets nothing in the joins that follow.
+    return lambda own: F.forall(places(own), is_set)
+
+
+def without(rows: DataFrame, number: str, dropped: DataFrame) -> DataFrame:
+    """The rows whose number is not among the column ``id`` of ``dropped``.
+
+    Rows that cannot be among them stay where they are. Of the others, only the numbers are joined; that
+    gives the few that looked dropped and are not, and those alone are shuffled.
     """
-    bits = documents.sparkSession.sparkContext.broadcast(id_bits(ids))
-    size = len(bits.value) * 64
+    asked = may_be_in(dropped)(F.col(number))
+    kept = stored(rows.where(asked).select(F.col(number).alias("id")).join(dropped, "id", "left_anti"), "dedup-kept")
+    few = rows.where(asked & may_be_in(kept)(F.col(number))).join(kept.withColumnRenamed("id", number), number, "left_semi")
+    return rows.where(~asked).unionByName(few.select(*rows.columns))
 
+
+def full_sets(documents: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """id, digest and sorted set of the rows whose id is asked for, and of a few others, which meet
+    nothing in the joins that follow."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            place = batch.column(2).to_numpy()
-            batch = batch.filter(pa.array((bits.value[place >> 6] >> (place & 63)) & 1 == 1))
             for low in range(0, batch.num_rows, SETS):
                 some = batch.slice(low, SETS)
                 sets = [s.view(np.int64) for s in shingle_sets(some.column(1), width)]
@@ -153,8 +173,7 @@ def full_sets(documents: DataFrame, ids: DataFrame, width: int) -> DataFrame:
                     pa.array(sets, pa.list_(pa.int64()))], ["id", "digest", "values"])
 
     own = F.col("doc_id").cast("long")
-    rows = documents.where("doc_id IS NOT NULL").select(
-        own.alias("id"), F.col("text").alias("t"), F.pmod(F.xxhash64(own), F.lit(size)).alias("place"))
+    rows = documents.where(may_be_in(ids)(own)).select(own.alias("id"), F.col("text").alias("t"))
     return rows.mapInArrow(run, "id long, digest binary, values array<long>")
 
 
@@ -339,7 +358,7 @@ def _late_links(documents: DataFrame, members: DataFrame, components: DataFrame,
     asked = stored(agree.select("id", "digest").distinct(), "dedup-asked")
     sets = stored(full_sets(documents, asked.select("id").distinct(), width).dropDuplicates(["id", "digest"]).join(
         asked, ["id", "digest"], "left_semi"), "dedup-sets")
-    whole = vertices.join(sets, ["id", "digest"])
+    whole = vertices.where(may_be_in(asked)(F.col("id"))).join(sets, ["id", "digest"])
     weights = sets.select("id", "digest", (F.size("values") * 8 + MEMBER_BYTES).cast("long").alias("bytes"))
     found = in_blocks(agree.join(weights, ["id", "digest"]), BLOCK_BYTES).join(whole, ["id", "digest"])
     links = stored(found.groupBy("bucket", "first", "second").applyInArrow(
@@ -401,6 +420,6 @@ def deduplicated(documents: DataFrame, width: int = 5, threshold: float = 0.8) -
         F.monotonically_increasing_id().alias("number")), "dedup-rows")
     groups = grouped(rows.select(F.col("number").alias("doc_id"), F.col("whole_row.text").alias("text")), width, threshold)
     named = groups.join(rows.select(F.col("number").alias("id"), F.col("whole_row.doc_id").alias("doc_id")), "id")
-    best = named.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "id")).alias("best"))
-    kept = stored(best.select(F.col("best.id").alias("number")), "dedup-kept")
-    return rows.join(kept, "number", "left_semi").select("whole_row.*")
+    named = stored(named.select("id", "component", F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "id").alias("place")), "dedup-named")
+    best = named.groupBy("component").agg(F.min("place").alias("best")).select(F.col("best.id").alias("id"))
+    return without(rows, "number", stored(named.select("id").join(best, "id", "left_anti"), "dedup-dropped")).select("whole_row.*")

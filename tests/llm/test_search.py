@@ -271,3 +271,19 @@ def test_search_edges(spark, edges, empty):
     assert sorted(((r["item_id"], r["rank"], r["doc_id"], r["score"]) for r in got), key=repr) == want
     assert lexical.ranked(empty, queries).count() == 0
     assert lexical.ranked(edges, items_of(spark, [])).count() == 0
+
+
+# picking rows by bits of their ids
+
+@pytest.mark.parametrize("bits", [1 << 25, 1 << 12])
+def test_rows_are_dropped_exactly(spark, monkeypatch, bits):
+    from review_pulse.llm import minhash_dedup
+
+    monkeypatch.setattr(minhash_dedup, "MAX_BITS", bits)  # with few bits nearly all rows look dropped
+    rows = spark.range(20_000).selectExpr("id AS number", "id * 2 AS more")
+    dropped = spark.range(0, 20_000, 7)
+    got = {r["number"] for r in minhash_dedup.without(rows, "number", dropped).collect()}
+    assert got == {k for k in range(20_000) if k % 7}
+    asked = minhash_dedup.may_be_in(dropped)
+    assert dropped.where(asked(dropped["id"])).count() == dropped.count()
+    assert minhash_dedup.without(rows, "number", dropped.where("id < 0")).count() == 20_000
