@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 from review_pulse.operators.models import FAMILIES
 from review_pulse.plans import jobs
 from review_pulse.sources import messages, tables
-from review_pulse.streaming import refresh, scoring
+from review_pulse.streaming import refresh, scoring, versions
 
 
 def _options(pairs: list[str]) -> dict[str, str]:
@@ -76,6 +76,10 @@ def build_parser() -> argparse.ArgumentParser:
     trend.add_argument("--merge-every", type=int, metavar="BATCHES")
     _add_trigger(trend)
 
+    use = sub.add_parser("use", help="put a stored model into use for the later batches of scoring streams")
+    use.add_argument("models_base")
+    use.add_argument("model")
+
     merge = sub.add_parser("merge", help="merge the folders of stored batches and of their partial results")
     merge.add_argument("predictions")
     merge.add_argument("marts")
@@ -119,6 +123,8 @@ def main(argv: list[str] | None = None) -> None:
         jobs.run_trend(
             spark, args.predictions, args.target, args.checkpoint, args.lateness_hours, args.horizon_days,
             args.merge_every, _trigger(args))
+    elif args.job == "use":
+        print(f"entry {versions.put_into_use(spark, args.models_base, args.model)}: {args.model}")
     elif args.job == "merge":
         jobs.run_merge(spark, args.predictions, args.marts, args.everything, args.vacuum)
     else:

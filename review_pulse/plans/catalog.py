@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -14,7 +16,7 @@ from review_pulse.operators import features, marts, metrics, models, profile, sa
 from review_pulse.plans import views
 from review_pulse.session import scratch_path
 from review_pulse.sources import file_index, messages, tables
-from review_pulse.streaming import late, rates, refresh, scoring, trend
+from review_pulse.streaming import late, rates, refresh, scoring, trend, versions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -583,6 +585,31 @@ def stream_scored(spark, sf_dir):
     return tables.read_predictions(spark, target).join(at_once, "review_id", "left").select("review_id", "asin", agrees)
 
 
+def _length_model(shift: int) -> PipelineModel:
+    """A stored model whose class is known: the length of the text, shifted, modulo three."""
+    return PipelineModel(stages=[SQLTransformer(
+        statement=f"SELECT *, CAST((length(lemmatized_text) + {shift}) % 3 AS STRING) AS predicted_class FROM __THIS__")])
+
+
+@query
+def stream_model_change(spark, sf_dir):
+    """Two versions in one stream: messages of the second half of the month find another model in use."""
+    base, target, checkpoint = (scratch_path(spark, n) for n in ("models", "predictions", "checkpoint"))
+    for name, shift in (("first", 0), ("second", 1)):
+        models.save(_length_model(shift), f"{base}/{name}")
+    entries = iter(["first", "second"])
+
+    def start(stream: DataFrame) -> StreamingQuery:
+        versions.put_into_use(spark, base, next(entries))
+        return scoring.score_stream(stream, versions.scorer(base, target), target, checkpoint, versioned=True, trigger=ONE_PASS)
+
+    rows = messages.encode(views.all_reviews(spark, sf_dir))
+    day = F.dayofmonth(F.to_date(F.get_json_object("value", "$.reviewTime")))
+    _in_waves(rows, F.when(day <= 15, 0).otherwise(1), 2, start)
+    scored = tables.read_predictions(spark, target).join(F.broadcast(versions.records(spark, target)), ["stream", "batch_id"])
+    return scored.select("review_id", "predicted_label", "model")
+
+
 def _payload_stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Messages of mixed quality through the scoring stream: stored rows and quarantined originals.
 

@@ -12,7 +12,7 @@ from review_pulse.functions import lexicon, text
 from review_pulse.functions.labels import valid_labels, with_label
 from review_pulse.operators import marts, models, profile
 from review_pulse.sources import messages, tables
-from review_pulse.streaming import late, refresh, scoring
+from review_pulse.streaming import late, refresh, scoring, versions
 
 
 def _row_key() -> Column:
@@ -84,10 +84,13 @@ def run_score(
 
     With ``merge_every``, the folders of so many batches are merged, in the table and the marts.
     """
-    _, model = models.resolve(spark, models_base, model_name)
+    if model_name is None:  # the version in use may change while the stream runs
+        scorer = versions.scorer(models_base, target)
+    else:
+        scorer = scoring.model_scorer(models.resolve(spark, models_base, model_name)[1])
     stream = messages.read_stream(spark, source_format, **source_options)
     return scoring.score_stream(
-        stream, scoring.model_scorer(model), target, checkpoint, quarantine=quarantine,
+        stream, scorer, target, checkpoint, quarantine=quarantine, versioned=model_name is None,
         normalise=scoring.lemmatized if lemmatize else text.clean_stream,
         after_batch=refresh.refresh(target, marts_path, merge_every), trigger=trigger,
         report=lambda batch_id, counts: print(f"batch {batch_id}: {counts}"),

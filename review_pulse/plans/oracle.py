@@ -502,6 +502,10 @@ SELECT CASE WHEN NOT cut THEN review_id END AS review_id, CASE WHEN NOT cut THEN
        CASE WHEN cut THEN '' ELSE {_clean_stream('review_text')} END AS lemmatized_text,
        CASE WHEN NOT cut AND event_id % 50 <> 1 THEN label END AS predicted_label
 FROM sent""",
+    "stream_model_change": f"""WITH {_REVIEWS}, halves AS (SELECT *, CASE WHEN day(ts) <= 15 THEN 0 ELSE 1 END AS half FROM reviews)
+SELECT review_id, CAST((length({_clean_stream('review_text')}) + half) % 3 AS INTEGER) AS predicted_label,
+       CASE half WHEN 0 THEN 'first' ELSE 'second' END AS model
+FROM halves""",
     "stream_quarantine": _QUARANTINE,
     "stream_batch_times": "SELECT count(*) AS stored, true AS one_time_each, true AS always_known, true AS rising FROM events",
     "stream_side_by_side": """WITH kinds AS (SELECT event_id % 50 AS kind FROM events)

@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from review_pulse.streaming.files import Files
+
 LOG, MERGED = "_generations", "_merged"
 FAN = 8
 _BATCH = re.compile(r"/stream=([^/]+)/batch_id=(\d+)/_SUCCESS$")
@@ -48,56 +50,13 @@ class Generation:
         return any(batch_id in f.batches.get(stream, ()) for f in self.folders)
 
 
-class _Files:
-    """The file system of a path, whichever it is."""
-
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        self._hadoop = spark._jvm.org.apache.hadoop.fs
-        self._conf = spark._jsc.hadoopConfiguration()
-        self._gateway = spark.sparkContext._gateway
-        self.system = self.path(path).getFileSystem(self._conf)
-
-    def path(self, name: str):
-        return self._hadoop.Path(name)
-
-    def glob(self, pattern: str) -> list[str]:
-        return [status.getPath().toString() for status in self.system.globStatus(self.path(pattern)) or []]
-
-    def read(self, name: str) -> str:
-        stream = self.system.open(self.path(name))
-        try:
-            return bytes(stream.readAllBytes()).decode()
-        finally:
-            stream.close()
-
-    def create(self, name: str, content: str) -> bool:
-        """Put a whole new file in place at once; False if there is one of that name already."""
-        draft = f"{name}.{uuid.uuid4().hex}.draft"
-        stream = self.system.create(self.path(draft), False)
-        stream.write(bytearray(content.encode()))
-        stream.close()
-        context = self._hadoop.FileContext.getFileContext(self.path(name).toUri(), self._conf)
-        keep = self._gateway.new_array(getattr(self._hadoop, "Options$Rename"), 0)
-        try:
-            context.rename(self.path(draft), self.path(name), keep)
-            return True
-        except Exception as error:
-            self.system.delete(self.path(draft), False)
-            if "FileAlreadyExists" in str(error):
-                return False
-            raise
-
-    def delete(self, name: str) -> None:
-        self.system.delete(self.path(name), True)
-
-
-def _log_files(files: _Files, path: str) -> list[str]:
+def _log_files(files: Files, path: str) -> list[str]:
     return sorted(files.glob(f"{path}/{LOG}/*.json"))
 
 
 def current(spark: SparkSession, path: str) -> Generation:
     """The newest generation; generation 0, of a store that was never merged, has no folders."""
-    files = _Files(spark, path)
+    files = Files(spark, path)
     found = _log_files(files, path)
     return _parsed(files.read(found[-1])) if found else Generation()
 
@@ -110,7 +69,7 @@ def _parsed(content: str) -> Generation:
 def finished_batches(spark: SparkSession, path: str) -> dict[tuple[str, int], str]:
     """Folder of every batch whose write has ended, by stream and number."""
     found = {}
-    for marker in _Files(spark, path).glob(f"{path}/stream=*/batch_id=*/_SUCCESS"):
+    for marker in Files(spark, path).glob(f"{path}/stream=*/batch_id=*/_SUCCESS"):
         stream, batch_id = _BATCH.search(marker).groups()
         found[stream, int(batch_id)] = marker.rpartition("/")[0]
     return found
@@ -175,7 +134,7 @@ def merge(spark: SparkSession, path: str, schema: T.StructType, combine: Callabl
         inside.setdefault(stream, []).append(batch_id)
     merged = Folder(name, max([level, *(f.level for f in taken)]), {s: sorted(ids) for s, ids in inside.items()})
     following = Generation(generation.number + 1, [*folders, merged])
-    files = _Files(spark, path)
+    files = Files(spark, path)
     if not files.create(f"{path}/{LOG}/{following.number:012d}.json", json.dumps(asdict(following))):
         files.delete(f"{path}/{MERGED}/{name}")  # another merge was first
         return current(spark, path)
@@ -184,7 +143,7 @@ def merge(spark: SparkSession, path: str, schema: T.StructType, combine: Callabl
 
 def vacuum(spark: SparkSession, path: str, keep: int = 2) -> int:
     """Delete what neither of the newest ``keep`` generations reads; gives the number of folders."""
-    files = _Files(spark, path)
+    files = Files(spark, path)
     log = _log_files(files, path)
     kept = [_parsed(files.read(name)) for name in log[-keep:]]
     if not kept:

@@ -86,15 +86,18 @@ def start_batches(writer, handle: Callable[[DataFrame, str, int], None], trigger
 
 def land(
     stream: DataFrame,
-    transform: Callable[[DataFrame], DataFrame],
+    transform: Callable[..., DataFrame],
     path: str,
     checkpoint: str,
     after_batch: AfterBatch | None = None,
     side_output: Callable[[DataFrame, str, int], None] | None = None,
     trigger: dict | None = None,
+    numbered: bool = False,
 ) -> StreamingQuery:
     """Turn each micro-batch into predictions and store it; empty batches are skipped.
 
+    With ``numbered``, ``transform`` gets the stream's id and the batch number as well.
+
     The batch is kept while it is handled, so that its source is read once. ``side_output`` sees the raw batch; ``after_batch`` runs once the batch is stored.
     """
 
@@ -103,7 +106,8 @@ def land(
         try:
             if batch.isEmpty():
                 return
-            write_batch(transform(batch), stream_id, batch_id, path)
+            rows = transform(batch, stream_id, batch_id) if numbered else transform(batch)
+            write_batch(rows, stream_id, batch_id, path)
             if side_output:
                 side_output(batch, stream_id, batch_id)
         finally:
@@ -117,10 +121,12 @@ def land(
 def score_stream(
     stream: DataFrame, scorer: Scorer, path: str, checkpoint: str, quarantine: str | None = None,
     normalise: Normaliser = text.clean_stream, report: Report | None = None,
-    after_batch: AfterBatch | None = None, **options,
+    after_batch: AfterBatch | None = None, versioned: bool = False, **options,
 ) -> StreamingQuery:
     """Start the scoring query over a stream of ``value`` messages.
 
+    A ``versioned`` scorer gets the stream's id and the batch number too, and so can change its model.
+
     Every message is scored, malformed ones as empty text; with ``quarantine`` the originals of
     the malformed ones are stored as well. One-vs-rest models cannot transform a streaming frame
     directly, so scoring happens per micro-batch. ``report`` receives the message counts of each
@@ -128,12 +134,13 @@ def score_stream(
     """
     observed: dict[str, Observation] = {}
 
-    def transform(batch: DataFrame) -> DataFrame:
+    def transform(batch: DataFrame, stream_id: str, batch_id: int) -> DataFrame:
         decoded = messages.decode(batch)
         if report:
             observed["batch"] = Observation()
             decoded = decoded.observe(observed["batch"], *messages.message_counts())
-        return to_predictions(scorer(preprocess(decoded, normalise)))
+        rows = preprocess(decoded, normalise)
+        return to_predictions(scorer(rows, stream_id, batch_id) if versioned else scorer(rows))
 
     def stored(spark: SparkSession, stream_id: str, batch_id: int) -> None:
         if report:
@@ -148,7 +155,7 @@ def score_stream(
         )
 
     return land(
-        stream, transform, path, checkpoint, after_batch=stored,
+        stream, transform, path, checkpoint, after_batch=stored, numbered=True,
         side_output=refuse if quarantine else None, **options,
     )
 

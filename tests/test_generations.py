@@ -84,7 +84,7 @@ def test_a_failed_merge_and_a_lost_race_change_nothing(spark, tmp_path, monkeypa
         generations.merge(spark, path, SCHEMA, lambda rows: rows.withColumn("n", F.raise_error(F.lit("lost")).cast("long")), fan=2)
     assert generations.current(spark, path).number == 0 and rows_of(spark, path) == before
 
-    real = generations._Files.create
+    real = generations.Files.create
 
     def late(self, name, content):  # another merge becomes generation 1 meanwhile
         entry = json.loads(content)
@@ -92,7 +92,7 @@ def test_a_failed_merge_and_a_lost_race_change_nothing(spark, tmp_path, monkeypa
         assert real(self, name, json.dumps(entry))
         return real(self, name, content)
 
-    monkeypatch.setattr(generations._Files, "create", late)
+    monkeypatch.setattr(generations.Files, "create", late)
     assert generations.merge(spark, path, SCHEMA, fan=2).folders == []
     monkeypatch.undo()
     assert rows_of(spark, path) == before
