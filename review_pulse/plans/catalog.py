@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from review_pulse import schemas
 from review_pulse.functions import display, labels, lexicon, text
 from review_pulse.operators import features, marts, metrics, models, profile, sampling, threshold
-from review_pulse.plans import views
+from review_pulse.plans import jobs, views
 from review_pulse.session import scratch_path
 from review_pulse.sources import file_index, messages, tables
 from review_pulse.streaming import late, rates, refresh, scoring, trend, versions
@@ -319,6 +319,13 @@ def training_rows(spark, sf_dir):
     return train.unionByName(held_out).groupBy("split", F.col("label").cast("int").alias("label")).agg(F.count("*").alias("n"))
 
 
+@query
+def training_mix(spark, sf_dir):
+    """The training report's class counts: before, after rebalancing, and of the rows held out."""
+    reviews = views.ratings(spark, sf_dir).select("review_id", "label", F.col("asin").alias("lemmatized_text"))
+    return jobs.class_mix(reviews, *models.training_splits(reviews))
+
+
 # --- features --------------------------------------------------------------------------------
 
 
@@ -665,6 +672,18 @@ def stream_side_by_side(spark, sf_dir):
     return counts[0].unionByName(counts[1])
 
 
+@query
+def stream_generated_ids(spark, sf_dir):
+    """Messages without an id: those that differ in any field get different ones."""
+    source, target, checkpoint = (scratch_path(spark, n) for n in ("messages", "predictions", "checkpoint"))
+    rows = views.all_reviews(spark, sf_dir).withColumn("review_id", F.lit(None).cast("string"))
+    messages.publish(rows, path=source)
+    rated = lambda decoded: decoded.withColumn("predicted_label", labels.rating_label(F.col("overall")))
+    scoring.await_all([scoring.score_stream(messages.read_stream(spark, path=source), rated, target, checkpoint, trigger=ONE_PASS)])
+    return tables.read_predictions(spark, target).agg(
+        F.count("*").alias("stored"), F.count("review_id").alias("with_id"), F.count_distinct("review_id").alias("ids"))
+
+
 @query
 def stream_quarantine(spark, sf_dir):
     _, refused = _payload_stream(spark, sf_dir)

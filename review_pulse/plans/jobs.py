@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from review_pulse import schemas
 from review_pulse.functions import lexicon, text
 from review_pulse.functions.labels import valid_labels, with_label
-from review_pulse.operators import marts, models, profile
+from review_pulse.operators import marts, metrics, models, profile
 from review_pulse.sources import messages, tables
 from review_pulse.streaming import late, refresh, scoring, versions
 
@@ -43,6 +44,7 @@ def curate(raw: DataFrame) -> DataFrame:
 
 def run_curate(spark: SparkSession, source: str, target: str, csv: str | None = None) -> None:
     raw = tables.read_reviews(spark, source)
+    profile.null_profile(raw.drop(schemas.CORRUPT)).show(truncate=False)
     profile.rating_summary(raw).show(truncate=False)
     profile.histogram(raw).show()
     tables.write_curated(curate(raw), target)
@@ -55,6 +57,14 @@ def run_curate(spark: SparkSession, source: str, target: str, csv: str | None =
         tables.write_csv(stored.select(*schemas.CURATED_CSV.names), csv)
 
 
+def class_mix(curated: DataFrame, train: DataFrame, held_out: DataFrame) -> DataFrame:
+    """Rows per class: of all curated rows, of the training rows as rebalanced, and of the other splits."""
+    parts = [curated.select(F.lit("curated").alias("rows"), "label"), train.select(F.lit("train").alias("rows"), "label"),
+             held_out.select(F.col("split").alias("rows"), "label")]
+    every = functools.reduce(DataFrame.unionByName, [p.withColumn("label", F.col("label").cast("int")) for p in parts])
+    return every.groupBy("rows", "label").agg(F.count("*").alias("n")).orderBy("rows", "label")
+
+
 def run_train(
     spark: SparkSession, source: str, model_path: str, family: str = "svm",
     order: str = "split_first", test_export: str | None = None,
@@ -68,7 +78,11 @@ def run_train(
         test = held_out.where(F.col("split") == "test")
         tables.write_json_lines(test.select(*messages.message_columns(), "label"), f"{test_export}/json")
         tables.write_csv(test.select(*schemas.CURATED_CSV.names), f"{test_export}/csv")
-    result = models.evaluate(models.score(model, held_out), "split")
+    scored = models.score(model, held_out)
+    result = models.evaluate(scored, "split")
+    class_mix(curated, train, held_out).show()
+    metrics.prediction_distribution(scored, "predicted_label").show()
+    profile.preview(scored.select("review_id", "split", "label", "predicted_label", "lemmatized_text"), "review_id").show(truncate=False)
     result.confusion.orderBy("split", "label", "prediction").show()
     result.per_class.orderBy("split", "class").show()
     result.overall.orderBy("split").show()

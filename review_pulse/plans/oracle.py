@@ -428,6 +428,11 @@ SELECT review_id, label, copy FROM balanced""",
 SELECT 'train' AS split, label, count(*) AS n FROM balanced GROUP BY label
 UNION ALL
 SELECT split, label, count(*) AS n FROM split_rows WHERE split <> 'train' GROUP BY ALL""",
+    "training_mix": f"""WITH {_SPLIT_ROWS}, train AS (SELECT * FROM split_rows WHERE split = 'train'),
+{_rebalanced('train', _KEEP_HASH)}
+SELECT 'curated' AS rows, label, count(*) AS n FROM split_rows GROUP BY label
+UNION ALL SELECT 'train', label, count(*) FROM balanced GROUP BY label
+UNION ALL SELECT split, label, count(*) FROM split_rows WHERE split <> 'train' GROUP BY ALL""",
     "tokens": _listed("ws", "words"),
     "stopwords_removed": _listed("fs", "words"),
     "bigrams": _grams(2, "bigrams"),
@@ -497,7 +502,8 @@ FROM reviews JOIN lemmas ON doc_id = event_id""",
     "jsonl_roundtrip": f"""WITH {_REVIEWS}
 SELECT review_id, reviewer_id, asin, overall, review_time, review_text FROM reviews""",
     "stream_stored": f"""WITH {_REVIEWS}, sent AS (SELECT *, event_id % 50 IN (0, 2) AS cut FROM reviews)
-SELECT CASE WHEN NOT cut THEN review_id END AS review_id, CASE WHEN NOT cut THEN reviewer_id END AS reviewer_id,
+SELECT CASE WHEN NOT cut THEN review_id WHEN event_id % 50 = 0
+         THEN md5(CASE WHEN review_text IS NULL THEN '{{"overall"' ELSE '{{"reviewTe' END) END AS review_id, CASE WHEN NOT cut THEN reviewer_id END AS reviewer_id,
        CASE WHEN NOT cut THEN asin END AS asin, CASE WHEN NOT cut THEN review_time END AS review_time,
        CASE WHEN cut THEN '' ELSE {_clean_stream('review_text')} END AS lemmatized_text,
        CASE WHEN NOT cut AND event_id % 50 <> 1 THEN label END AS predicted_label
@@ -506,11 +512,14 @@ FROM sent""",
 SELECT review_id, CAST((length({_clean_stream('review_text')}) + half) % 3 AS INTEGER) AS predicted_label,
        CASE half WHEN 0 THEN 'first' ELSE 'second' END AS model
 FROM halves""",
+    "stream_generated_ids": f"""WITH {_REVIEWS}
+SELECT count(*) AS stored, count(*) AS with_id, (SELECT count(*) FROM (
+  SELECT DISTINCT review_text, overall, review_time, reviewer_id, asin FROM reviews)) AS ids FROM reviews""",
     "stream_quarantine": _QUARANTINE,
     "stream_batch_times": "SELECT count(*) AS stored, true AS one_time_each, true AS always_known, true AS rising FROM events",
     "stream_side_by_side": """WITH kinds AS (SELECT event_id % 50 AS kind FROM events)
 SELECT unnest(['cleaned', 'lemmas']) AS query, count(*) FILTER (kind <> 2) AS stored,
-       count(*) FILTER (kind > 2) AS scored, count(*) FILTER (kind NOT IN (0, 2)) AS reviews FROM kinds""",
+       count(*) FILTER (kind > 2) AS scored, count(*) FILTER (kind NOT IN (0, 2)) + 2 AS reviews FROM kinds""",
     "ingest_rate": f"""WITH placed AS (
   SELECT event_id % 50 AS kind, time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') - INTERVAL 6 HOUR * unnest([0, 1]) AS begun
   FROM events),
