@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from review_pulse import schemas
-from review_pulse.functions import display, labels, lexicon, text
+from review_pulse.functions import display, labels, lemma_rules, lexicon, text
 from review_pulse.operators import features, marts, metrics, models, profile, sampling, threshold
 from review_pulse.plans import jobs, views
 from review_pulse.session import scratch_path
@@ -183,6 +183,28 @@ def lexicon_lemmas(spark, sf_dir):
     return rows.select("doc_id", lexicon.lemmatize(F.col("cleaned_text")).alias("lemmatized_text"))
 
 
+# Forms and their lemmas to learn endings from.
+LEMMA_PAIRS = (
+    "walked walk,talked talk,reading read,eating eat,singing sing,houses house,dogs dog,cats cat,tables table,"
+    "stories story,cities city,running run,making make,taken take,went go,children child,better good,thing thing,"
+    "bring bring,king king,red red,need need,this this,was be,is be,nations nation,motion motion,quickly quickly"
+)
+
+
+def lemma_pairs(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([tuple(pair.split()) for pair in LEMMA_PAIRS.split(",")], "form string, lemma string")
+
+
+@query
+def learned_lemmas(spark, sf_dir):
+    """Distinct words of all documents, and their lemmas by the rules learned from the pairs."""
+    lemma = lemma_rules.applier(lemma_rules.learn(lemma_pairs(spark)), lemma_pairs(spark))
+    words = text.cleaned_words(text.clean_batch(F.col("text")))
+    distinct = _documents(spark, sf_dir).select(F.explode(F.array_distinct(words)).alias("word")).distinct()
+    lemmas = F.transform(F.array("word"), lemma)[0]
+    return distinct.select("word", lemmas.alias("lemma"))
+
+
 # --- labels and profile ----------------------------------------------------------------------
 
 

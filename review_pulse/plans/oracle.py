@@ -330,6 +330,36 @@ SELECT label, n, {_CODE_INDEX.format(order=order)}
 FROM (SELECT label, count(*) AS n FROM ratings GROUP BY label)"""
 
 
+# Written out once more, apart from the list that the other side learns from.
+_LEMMA_PAIRS = """('walked', 'walk'), ('talked', 'talk'), ('reading', 'read'), ('eating', 'eat'), ('singing', 'sing'),
+  ('houses', 'house'), ('dogs', 'dog'), ('cats', 'cat'), ('tables', 'table'), ('stories', 'story'), ('cities', 'city'),
+  ('running', 'run'), ('making', 'make'), ('taken', 'take'), ('went', 'go'), ('children', 'child'), ('better', 'good'),
+  ('thing', 'thing'), ('bring', 'bring'), ('king', 'king'), ('red', 'red'), ('need', 'need'), ('this', 'this'), ('was', 'be'),
+  ('is', 'be'), ('nations', 'nation'), ('motion', 'motion'), ('quickly', 'quickly')"""
+
+# Every ending keeps its best edit; a word takes the one of its longest ending, by a join.
+_LEARNED = f"""WITH pairs(form, lemma) AS (VALUES {_LEMMA_PAIRS}),
+edits AS (
+  SELECT form, length(form) - k AS cut, lemma[k + 1:] AS added
+  FROM (SELECT *, coalesce(list_max(list_filter(range(1, least(length(form), length(lemma)) + 1), lambda i: form[:i] = lemma[:i])), 0) AS k
+        FROM pairs)),
+votes AS (
+  SELECT ending, cut, added, count(*) AS n FROM (
+    SELECT right(form, n::BIGINT) AS ending, cut, added FROM (SELECT *, unnest(range(1, least(length(form), 5) + 1)) AS n FROM edits) WHERE n >= cut
+    UNION ALL SELECT '^' || form, cut, added FROM edits) GROUP BY ALL),
+rules AS (SELECT * FROM votes QUALIFY row_number() OVER (PARTITION BY ending ORDER BY n DESC, cut, added) = 1),
+cleaned AS (SELECT {_clean_batch('text')} AS t FROM documents),
+vocabulary AS (SELECT DISTINCT unnest(string_split(t, ' ')) AS word FROM cleaned),
+endings AS (
+  SELECT word, right(word, unnest(range(1, least(length(word), 5) + 1))::BIGINT) AS ending FROM vocabulary
+  UNION ALL SELECT word, '^' || word FROM vocabulary),
+longest AS (
+  SELECT word, arg_max(cut, length(ending)) AS cut, arg_max(added, length(ending)) AS added
+  FROM endings JOIN rules USING (ending) GROUP BY word)
+SELECT v.word, CASE WHEN cut IS NULL THEN v.word ELSE left(v.word, length(v.word) - cut) || added END AS lemma
+FROM vocabulary v LEFT JOIN longest l ON l.word = v.word"""
+
+
 SQL: dict[str, str] = {
     "sentiment_trend": _TREND,
     "sentiment_counts": _counts("label, sentiment, reviews, total"),
@@ -373,6 +403,7 @@ SELECT CASE WHEN NOT cut THEN review_id END AS review_id,
 FROM sent""",
     "text_snippets": f"SELECT doc_id, {_SNIPPET} AS snippet FROM documents",
     "lexicon_lemmas": _LEMMAS,
+    "learned_lemmas": _LEARNED,
     "document_preview": """SELECT CAST(doc_id AS VARCHAR) AS doc_id, source,
        CASE WHEN length(text) > 30 THEN left(text, 27) || '...' ELSE text END AS text
 FROM documents ORDER BY documents.doc_id LIMIT 5""",

@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.ml.feature import NGram, StopWordsRemover, Tokenizer
 from pyspark.sql import functions as F
 
-from review_pulse.functions import display, labels, lexicon, text
+from review_pulse.functions import display, labels, lemma_rules, lexicon, text
 
 
 def apply(spark, values, expression, kind="string"):
@@ -144,3 +144,21 @@ def test_percent_is_within_half_a_tenth(spark):
         F.abs(display.percent(F.col("n.id"), F.col("t.id")) - F.col("n.id") * 100 / F.col("t.id")).alias("d")
     )
     assert off.agg(F.max("d")).first()[0] <= 0.0500001
+
+
+def test_lemmas_are_learned_from_pairs(spark):
+    pairs = spark.createDataFrame(
+        [("walked", "walk"), ("talked", "talk"), ("red", "red"), ("stories", "story"), ("cities", "city"), ("went", "go"),
+         ("dogs", "dog"), ("cats", "cat"), ("this", "this"), (None, "x"), ("", "")], "form string, lemma string")
+    rules = lemma_rules.learn(pairs)
+    lemma = lemma_rules.applier(rules, pairs)
+    words = {"walked": "walk", "red": "red", "jumped": "jump", "parties": "party", "went": "go", "spent": "spent", "this": "this",
+             "birds": "bird", "x": "x", "": ""}
+    rows = spark.createDataFrame([(w,) for w in words], "w string").select("w", F.transform(F.array("w"), lemma)[0].alias("l"))
+    assert dict(map(tuple, rows.collect())) == words
+    by_ending = {r.ending: (r.cut, r.added) for r in rules}
+    assert by_ending["ies"] == (3, "y") and "ked" not in by_ending  # "ed" says the same
+    with pytest.raises(ValueError):
+        lemma_rules.learn(pairs, max_rules=2)
+    none = lemma_rules.applier([], pairs)
+    assert spark.createDataFrame([("walked",)], "w string").select(none(F.col("w"))).first()[0] == "walked"
