@@ -46,7 +46,8 @@ def _classifier(family: str, overrides: dict):
     if family == "logistic":
         return LogisticRegression(**columns, weightCol="weight", **{**LOGISTIC_PARAMS, **overrides})
     if family == "forest":
-        return RandomForestClassifier(**columns, seed=sampling.SPLIT_SEED, **overrides)
+        # Without bootstrap draws, which go by partition, the same rows give the same trees in any layout.
+        return RandomForestClassifier(**columns, seed=sampling.SPLIT_SEED, bootstrap=False, **overrides)
     raise ValueError(f"unknown model family {family!r}, expected one of {FAMILIES}")
 
 
