@@ -11,8 +11,9 @@ Defined results: NULL or empty text has no words, fails the base rules and is no
 is judged by a histogram only above a minimum length (``MIN_CHARS``, ``MIN_WORDS``); shorter
 documents are kept if they pass the base rules. A document without a language, or in one of fewer than
 ``MIN_LIST_DOCS`` documents or beyond the ``MAX_LISTS`` most frequent of those without a list here, is
-judged by its smallest distance to any reference. A distance is NULL, and rejects nothing, where a histogram has no counts or there is no reference at all. Repeated rows get the same
-verdict each. Texts are read whole.
+judged by its smallest distance to any reference. A distance is NULL, and rejects nothing, where a
+histogram has no counts or there is no reference at all. Repeated rows get the same verdict each.
+Texts are read whole.
 """
 
 from __future__ import annotations
