@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from review_pulse.functions import display
-from review_pulse.functions.labels import CLASS_CODES, CLASS_NAMES, sentiment_name
+from review_pulse.functions.labels import CLASS_NAMES, sentiment_name
 
 PREDICTED = "predicted_label"
 MOMENT = "ingestion_time"

@@ -110,7 +110,8 @@ def land(
 
     With ``numbered``, ``transform`` gets the stream's id and the batch number as well.
 
-    The batch is kept while it is handled, so that its source is read once. ``side_output`` sees the raw batch; ``after_batch`` runs once the batch is stored.
+    The batch is kept while it is handled, so that its source is read once. ``side_output`` sees the raw
+    batch; ``after_batch`` runs once the batch is stored.
     """
 
     def handle(batch: DataFrame, stream_id: str, batch_id: int) -> None:
