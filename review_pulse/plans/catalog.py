@@ -17,6 +17,7 @@ from review_pulse.plans import jobs, views
 from review_pulse.session import scratch_path
 from review_pulse.sources import file_index, messages, tables
 from review_pulse.streaming import late, rates, refresh, scoring, trend, versions
+from review_pulse.streaming.files import Files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -750,7 +751,7 @@ CORRECTED: dict[tuple[str, str], str] = {}
 def _corrected(spark: SparkSession, sf_dir: str) -> str:
     """One run of the correcting trend for both of its queries."""
     key = spark.sparkContext.applicationId, sf_dir
-    if key not in CORRECTED:
+    if key not in CORRECTED or not Files(spark, CORRECTED[key]).exists(CORRECTED[key]):
         target, checkpoint = scratch_path(spark, "corrected"), scratch_path(spark, "checkpoint")
         _late_waves(spark, sf_dir, lambda stream: late.start(stream, target, checkpoint, salts=4, trigger=ONE_PASS, fan=2))
         CORRECTED[key] = target
@@ -809,7 +810,7 @@ LANDED: dict[tuple[str, str], tuple[str, str]] = {}
 def _landed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
     """One landing for all mart queries of an application; some of its batches are merged, some are not."""
     key = spark.sparkContext.applicationId, sf_dir
-    if key not in LANDED:
+    if key not in LANDED or not Files(spark, LANDED[key][0]).exists(LANDED[key][0]):
         LANDED[key] = _land(spark, sf_dir, fan=3)
     target, mart_path = LANDED[key]
     return tables.read_predictions(spark, target), mart_path
