@@ -26,12 +26,25 @@ def lemmatized(review_text: Column) -> Column:
     return lexicon.lemmatize(text.with_placeholder(text.clean_batch(review_text)))
 
 
+def message_id(decoded: DataFrame) -> Column:
+    """The id a message brought along, else a digest: of its original if that is malformed, else of its fields.
+
+    A message without a payload has none. So rows that tie on time are told apart as long as they differ.
+    """
+    names = [f.name for f in schemas.MESSAGE.fields if f.name in decoded.columns and f.name not in ("review_id", schemas.CORRUPT)]
+    content = F.md5(F.to_json(F.struct(*names), {"ignoreNullFields": "false"}))
+    if schemas.CORRUPT in decoded.columns:
+        content = F.coalesce(F.md5(schemas.CORRUPT), F.when(~F.col(schemas.MISSING), content))
+    return F.coalesce("review_id", content)
+
+
 def preprocess(decoded: DataFrame, normalise: Normaliser = text.clean_stream) -> DataFrame:
-    """Normalised text under the name the model reads, and the dummy label.
+    """An id for every message, normalised text under the name the model reads, and the dummy label.
 
     Cleaning alone is the default; pass :func:`lemmatized` to treat texts as in training.
     """
     return decoded.withColumns({
+        "review_id": message_id(decoded),
         "lemmatized_text": normalise(F.col("reviewText")),
         "label": F.lit(0.0),
     })
@@ -41,22 +54,10 @@ def model_scorer(model: PipelineModel) -> Scorer:
     return lambda rows: models.score(model, rows)
 
 
-def message_id(decoded: DataFrame) -> Column:
-    """The id a message brought along, else a digest: of its original if that is malformed, else of its fields.
-
-    A message without a payload has none. So rows that tie on time are told apart as long as they differ.
-    """
-    names = [f.name for f in schemas.MESSAGE.fields if f.name in decoded.columns and f.name not in ("review_id", schemas.CORRUPT)]
-    content = F.md5(F.to_json(F.struct(*names), {"ignoreNullFields": "false"}))
-    if schemas.CORRUPT in decoded.columns:
-        content = F.coalesce(F.md5(schemas.CORRUPT), F.when(~F.col(schemas.MISSING), content))
-    return F.coalesce("review_id", content)
-
-
 def to_predictions(scored: DataFrame) -> DataFrame:
     """Stored columns, stamped with the time of the batch."""
     return scored.select(
-        message_id(scored).alias("review_id"),
+        "review_id",
         F.col("reviewText").alias("text"),
         "lemmatized_text",
         "predicted_label",
