@@ -23,3 +23,12 @@ def test_yields_rows(spark, name):
 
 def test_every_statement_has_a_query():
     assert set(oracle.SQL) <= set(catalog.QUERIES)
+
+
+def test_models_store_only_the_columns_they_read(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(catalog, "stored_rows", lambda rows, path: stored.append(rows.columns) or rows)
+    model, held_out = catalog._fitted(spark, "/root/testdata/sf0.001", "svm")
+    assert stored == [list(catalog.MODEL_COLUMNS)]
+    assert {"review_id", "split", "label", "lemmatized_text"} <= set(held_out.columns)
+    assert catalog.models.score(model, held_out).count() == held_out.count()
