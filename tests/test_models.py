@@ -2,6 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from review_pulse.operators import models
+from review_pulse.session import shared_dir
+from review_pulse.streaming.files import Files
 
 WORDS = {0: "awful broken refund waste", 1: "okay average fair medium", 2: "great love perfect excellent"}
 
@@ -84,3 +86,40 @@ def test_grid_search_returns_a_usable_model(spark):
     model, scores = models.grid_search(rows, reg_params=(0.01, 10.0), folds=2)
     assert dict(scores)[0.01] > dict(scores)[10.0]
     assert agreement(models.score(model, rows)) > 0.9
+
+
+def cached(spark):
+    return set(spark.sparkContext._jsc.getPersistentRDDs().keySet())
+
+
+@pytest.mark.parametrize("family, small", [("forest", {"numTrees": 2}), ("logistic", {"maxIter": 1})])
+def test_features_of_all_rows_are_not_kept_in_memory(spark, monkeypatch, family, small):
+    kind = {"forest": models.RandomForestClassifier, "logistic": models.LogisticRegression}[family]
+    before, seen, fit = cached(spark), [], kind.fit
+
+    def probed(self, rows, params=None):
+        rows.count()  # whatever is marked for the cache is there by now
+        seen.append(cached(spark) - before)
+        return fit(self, rows, params)
+
+    monkeypatch.setattr(kind, "fit", probed)
+    models.fit(models.prepare(reviews(spark)), family, **small)
+    assert seen == [set()]
+
+
+def test_kept_rows_go_when_they_have_been_read(spark):
+    def held():
+        return Files(spark, shared_dir(spark)).glob(f"{shared_dir(spark)}/features-*")
+
+    before = held()
+    models.fit(models.prepare(reviews(spark)), "forest", numTrees=2)
+    with pytest.raises(RuntimeError), models._kept(reviews(spark)) as rows:
+        assert rows.count() == 92 and len(held()) == len(before) + 1
+        raise RuntimeError
+    assert held() == before
+
+
+def test_kept_rows_without_a_shared_folder(spark, monkeypatch):
+    monkeypatch.setattr(models, "scratch_path", lambda *_: (_ for _ in ()).throw(RuntimeError("no folder")))
+    with models._kept(reviews(spark)) as rows:
+        assert rows.count() == 92 and rows.storageLevel.useDisk and not rows.storageLevel.useMemory
