@@ -92,9 +92,9 @@ def cached(spark):
     return set(spark.sparkContext._jsc.getPersistentRDDs().keySet())
 
 
-@pytest.mark.parametrize("family, small", [("forest", {"numTrees": 2}), ("logistic", {"maxIter": 1})])
+@pytest.mark.parametrize("family, small", [("svm", {"maxIter": 1}), ("forest", {"numTrees": 2}), ("logistic", {"maxIter": 1})])
 def test_features_of_all_rows_are_not_kept_in_memory(spark, monkeypatch, family, small):
-    kind = {"forest": models.RandomForestClassifier, "logistic": models.LogisticRegression}[family]
+    kind = {"svm": models.LinearSVC, "forest": models.RandomForestClassifier, "logistic": models.LogisticRegression}[family]
     before, seen, fit = cached(spark), [], kind.fit
 
     def probed(self, rows, params=None):
@@ -104,7 +104,7 @@ def test_features_of_all_rows_are_not_kept_in_memory(spark, monkeypatch, family,
 
     monkeypatch.setattr(kind, "fit", probed)
     models.fit(models.prepare(reviews(spark)), family, **small)
-    assert seen == [set()]
+    assert seen == [set()] * (3 if family == "svm" else 1)
 
 
 def test_kept_rows_go_when_they_have_been_read(spark):
@@ -123,3 +123,16 @@ def test_kept_rows_without_a_shared_folder(spark, monkeypatch):
     monkeypatch.setattr(models, "scratch_path", lambda *_: (_ for _ in ()).throw(RuntimeError("no folder")))
     with models._kept(reviews(spark)) as rows:
         assert rows.count() == 92 and rows.storageLevel.useDisk and not rows.storageLevel.useMemory
+
+
+def test_one_vs_rest_over_stored_rows_is_that_of_mllib(spark):
+    rows = models.prepare(reviews(spark))
+    *front, stored = models.stages("svm", maxIter=3)
+    with models._encoded(rows.select("lemmatized_text", "label"), front) as (_, encoded):
+        binary = models.LinearSVC(featuresCol="features", labelCol="indexed_label", **{**models.SVM_PARAMS, "maxIter": 3})
+        plain = models.OneVsRest(classifier=binary, featuresCol="features", labelCol="indexed_label").fit(encoded)
+        ours = stored.fit(encoded)
+    assert len(ours.models) == len(plain.models) == 3
+    for a, b in zip(ours.models, plain.models):
+        assert a.coefficients.toArray() == pytest.approx(b.coefficients.toArray(), abs=1e-6)
+        assert a.intercept == pytest.approx(b.intercept, abs=1e-6)
